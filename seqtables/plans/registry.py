@@ -31,37 +31,33 @@ def _two_places(df: DataFrame, *columns: str) -> DataFrame:
 
 # --- readers -------------------------------------------------------------------------------
 
-def _with_header(lines: DataFrame, header: str) -> DataFrame:
-    """Lines of each experiment with a header and an empty line, as its file has them."""
-    uids = lines.select("uid").distinct()
-    extra = uids.select("uid", F.explode(F.array(F.lit(header), F.lit(""))).alias("value"))
-    return lines.unionByName(extra)
-
-
-def _lines(df: DataFrame, fields, separator: str, null_word: str | None = None) -> DataFrame:
+def _lines(df: DataFrame, fields, separator: str, header: str, null_word: str | None = None) -> DataFrame:
+    """Rows as the lines of result files. Each line stands below a header and an empty line, as the
+    reader must drop both; generating them also keeps the text building out of the reader's plan."""
     names = [F.col(n).cast("string") for n, _ in fields]
     if null_word:
         names = [F.coalesce(n, F.lit(null_word)) for n in names]
-    return df.select("uid", F.concat_ws(separator, *names).alias("value"))
+    line = F.concat_ws(separator, *names)
+    return df.select("uid", F.explode(F.array(F.lit(header), F.lit(""), line)).alias("value"))
 
 
 @query
 def read_isoforms(spark, sf):
-    lines = _lines(table(spark, sf, "isoforms"), readers.ISOFORM_FIELDS, ",")
-    return readers.accepted(readers.isoforms(
-        _with_header(lines, "RefseqId,GeneId,Chrom,TxStart,TxEnd,Strand,TotalReads,Rpkm")))
+    header = "RefseqId,GeneId,Chrom,TxStart,TxEnd,Strand,TotalReads,Rpkm"
+    lines = _lines(table(spark, sf, "isoforms"), readers.ISOFORM_FIELDS, ",", header)
+    return readers.accepted(readers.isoforms(lines))
 
 
 @query
 def read_peaks(spark, sf):
-    lines = _lines(table(spark, sf, "peaks"), readers.PEAK_FIELDS, "\t", "NULL")
-    return readers.accepted(readers.peaks(_with_header(lines, "refseq_id\tgene_id\ttxStart")))
+    lines = _lines(table(spark, sf, "peaks"), readers.PEAK_FIELDS, "\t", "refseq_id\tgene_id\ttxStart", "NULL")
+    return readers.accepted(readers.peaks(lines))
 
 
 @query
 def read_atdp(spark, sf):
-    lines = _lines(table(spark, sf, "atdp"), readers.PROFILE_FIELDS, "\t")
-    return readers.accepted(readers.profile(_with_header(lines, "X\tY")))
+    lines = _lines(table(spark, sf, "atdp"), readers.PROFILE_FIELDS, "\t", "X\tY")
+    return readers.accepted(readers.profile(lines))
 
 
 @query

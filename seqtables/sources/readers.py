@@ -1,7 +1,7 @@
 """Readers of per-experiment result files.
 
 A reader takes lines (``uid``, ``value``) of any number of files and gives typed rows plus a
-``reject`` column: null for a good row, else why the line cannot be loaded. ``accepted`` and
+``reject`` column: null for a good row, else the line that cannot be loaded. ``accepted`` and
 ``rejected`` split the two. Header lines are recognised by a substring anywhere in the line, so
 a data line holding that text is skipped too.
 """
@@ -47,77 +47,85 @@ def _named(files: DataFrame, suffix: str) -> DataFrame:
     return files.filter(F.endswith(name, F.lit(suffix))).select(uid.alias("uid"), "value")
 
 
-def _stripped(value: Column) -> Column:
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+def _words(value: Column) -> Column:
+    """Text with one space between words and none at its ends.
+
+    Lines normally have single tabs or spaces already, which byte-wise replacement handles; the
+    regular expression runs only on the others.
+    """
+    spaced = F.trim(F.replace(value, F.lit("\t"), F.lit(" ")))
+    unusual = F.contains(spaced, F.lit("  "))
+    for blank in ("\r", "\n", "\x0b", "\x0c"):
+        unusual = unusual | F.contains(value, F.lit(blank))
+    return F.when(unusual, F.trim(F.regexp_replace(value, r"\s+", " "))).otherwise(spaced)
 
 
-def _typed(lines: DataFrame, tokens: Column, fields: Sequence[tuple[str, str]], null_word: str | None = None) -> DataFrame:
-    """Tokens as typed columns; a wrong count or an unreadable number makes a reject.
+def _typed(
+    lines: DataFrame, text: Column, fields: Sequence[tuple[str, str]], separator: str, null_word: str | None = None
+) -> DataFrame:
+    """Separated text as typed columns; ``reject`` holds the text of a line with a wrong field
+    count or an unreadable number.
 
     The columns come out of one generator over one struct, so that a filter on ``reject`` stays
-    above it and the line is split once.
+    above it and the line is parsed once.
     """
-    def text(i: int) -> Column:
-        token = F.get("t", F.lit(i))
-        return F.nullif(token, F.lit(null_word)) if null_word else token
-
-    columns = {name: text(i).try_cast(kind) for i, (name, kind) in enumerate(fields)}
-    bad = [
-        F.when(text(i).isNotNull() & columns[name].isNull(), F.lit(f"bad {name}"))
-        for i, (name, kind) in enumerate(fields) if kind != "string"
-    ]
-    reject = F.when(F.size("t") != len(fields), F.lit("wrong field count")).otherwise(F.coalesce(*bad))
-    row = F.struct(*[c.alias(name) for name, c in columns.items()], reject.alias("reject"))
-    return lines.select("uid", "value", tokens.alias("t")).select("uid", F.inline(F.array(row)), "value")
+    schema = ", ".join(f"{name} {kind}" for name, kind in fields) + ", reject string"
+    options = {
+        "sep": separator, "quote": "", "nullValue": null_word or "\u0001",
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "reject",
+    }
+    rows = lines.select("uid", text.alias("text")).select("uid", F.inline(F.array(F.from_csv("text", schema, options))))
+    if null_word:
+        return rows
+    # an empty field is empty text, or null where a number belongs
+    return rows.withColumns({name: F.coalesce(name, F.lit("")) for name, kind in fields if kind == "string"})
 
 
 def accepted(rows: DataFrame) -> DataFrame:
-    return rows.filter("reject is null").drop("reject", "value")
+    return rows.filter("reject is null").drop("reject")
 
 
 def rejected(rows: DataFrame) -> DataFrame:
-    """Lines that could not be loaded: uid, reject, value."""
-    return rows.filter("reject is not null").select("uid", "reject", "value")
+    """Lines that could not be loaded: uid and the line."""
+    return rows.filter("reject is not null").select("uid", F.col("reject").alias("line"))
 
 
-def _without(lines: DataFrame, value: Column, *words: str) -> DataFrame:
-    kept = value != ""
+def _without(lines: DataFrame, *words: str) -> DataFrame:
+    """Lines that are not blank and contain none of the words."""
+    kept = F.col("value").rlike(r"\S")
     for word in words:
-        kept = kept & ~F.contains(value, F.lit(word))
+        kept = kept & ~F.contains("value", F.lit(word))
     return lines.filter(kept)
 
 
 def isoforms(lines: DataFrame) -> DataFrame:
     """Isoform counts: comma-separated, 8 fields."""
-    return _typed(_without(lines, F.col("value"), "RefseqId", "GeneId"), F.split("value", ","), ISOFORM_FIELDS)
+    return _typed(_without(lines, "RefseqId", "GeneId"), F.col("value"), ISOFORM_FIELDS, ",")
 
 
 def peaks(lines: DataFrame) -> DataFrame:
     """Annotated peaks: 15 fields between blanks, 'NULL' is null, long ids shortened."""
-    stripped = lines.select("uid", _stripped(F.col("value")).alias("value"))
-    rows = _typed(
-        _without(stripped, F.col("value"), "gene_id", "pileup"), F.split("value", r"\s+"), PEAK_FIELDS, "NULL"
-    )
+    rows = _typed(_without(lines, "gene_id", "pileup"), _words(F.col("value")), PEAK_FIELDS, " ", "NULL")
     short = lambda c: F.when(F.length(c) > LONG_ID, F.substring(c, 1, SHORT_ID)).otherwise(F.col(c))
     return rows.withColumns({c: short(c) for c in ("refseq_id", "gene_id")})
 
 
 def profile(lines: DataFrame) -> DataFrame:
     """Average tag density: X and Y between blanks."""
-    stripped = lines.select("uid", _stripped(F.col("value")).alias("value"))
-    return _typed(_without(stripped, F.col("value"), "X", "Y"), F.split("value", r"\s+"), PROFILE_FIELDS)
+    return _typed(_without(lines, "X", "Y"), _words(F.col("value")), PROFILE_FIELDS, " ")
 
 
 def align_stat(bodies: DataFrame) -> DataFrame:
     """Alignment counts, one body per experiment: 5 numbers, or 4 where ribo equals suppressed."""
-    tokens = F.split(_stripped(F.col("value")), r"\s+")
-    five = F.when(F.size(tokens) == 4, F.array_insert(tokens, 3, F.get(tokens, F.lit(2)))).otherwise(tokens)
-    return _typed(bodies, five, ALIGN_FIELDS)
+    tokens = F.split(_words(F.col("value")), " ")
+    split = bodies.select("uid", tokens.alias("t"))
+    five = F.when(F.size("t") == 4, F.array_insert("t", 3, F.get("t", F.lit(2)))).otherwise(F.col("t"))
+    return _typed(split, F.array_join(five, " "), ALIGN_FIELDS, " ")
 
 
 def fragment_stat(bodies: DataFrame) -> DataFrame:
     """Fragment statistics, one body per experiment: 3 numbers."""
-    return _typed(bodies, F.split(_stripped(F.col("value")), r"\s+"), FRAGMENT_FIELDS)
+    return _typed(bodies, _words(F.col("value")), FRAGMENT_FIELDS, " ")
 
 
 # loader name -> reader, for the loaders whose files hold rows
