@@ -17,39 +17,32 @@ def booleans_unquoted(text: Column) -> Column:
     return text
 
 
-def set_inputs_sorted(text: Column) -> Column:
-    """A JSON object without the keys that hold 'null' or 'None' at any depth, keys sorted.
+def parsed(text: Column) -> Column:
+    """A JSON object as a map of variants; null for any other text."""
+    return F.from_json(text, JSON_OBJECT)
 
-    Real nulls stay. Text that is not a JSON object gives null.
+
+def set_inputs_sorted(text: Column, obj: Column) -> Column:
+    """A JSON object, given as text and ``parsed``, without the keys that hold 'null' or 'None' at
+    any depth, keys sorted. Real nulls stay.
+
+    The entries are looked at one by one only where the text holds such a word, or an escape that
+    could spell one.
     """
-    entries = F.transform(
-        F.map_entries(F.from_json(text, JSON_OBJECT)),
-        lambda e: F.struct(e["key"].alias("key"), F.coalesce(F.to_json(e["value"]), F.lit("null")).alias("json")),
-    )
-    kept = F.array_sort(F.filter(entries, lambda e: ~e["json"].rlike(_UNSET)))
-    return object_text(kept)
-
-
-def object_text(entries: Column) -> Column:
-    """An array of (key, json) structs as compact JSON object text."""
-    # to_json quotes and escapes the key: {"k":1} without the braces and the value
-    quoted = lambda key: F.regexp_replace(F.to_json(F.create_map(key, F.lit(1))), r"^\{|:1\}$", "")
-    body = F.array_join(F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["json"])), ",")
-    return F.concat(F.lit("{"), body, F.lit("}"))
-
-
-def with_entry(text: Column, key: str, json: Column) -> Column:
-    """A JSON object with ``key`` set to a JSON value; it becomes the last entry."""
-    entries = F.transform(
-        F.map_entries(F.from_json(text, JSON_OBJECT)),
-        lambda e: F.struct(e["key"].alias("key"), F.coalesce(F.to_json(e["value"]), F.lit("null")).alias("json")),
-    )
-    kept = F.filter(entries, lambda e: e["key"] != key)
-    return object_text(F.concat(kept, F.array(F.struct(F.lit(key).alias("key"), json.alias("json")))))
-
-
-def entry_json(text: Column, key: str, default: str) -> Column:
-    """The JSON text of one entry; ``default`` where the object lacks the key."""
-    obj = F.from_json(text, JSON_OBJECT)
-    found = F.coalesce(F.to_json(F.try_element_at(obj, F.lit(key))), F.lit("null"))
-    return F.when(obj.isNull(), None).when(F.map_contains_key(obj, key), found).otherwise(default)
+    may_be_unset = F.contains(text, F.lit('"null"')) | F.contains(text, F.lit('"None"')) | F.contains(text, F.lit("\\u"))
+    is_set = lambda _, v: ~F.coalesce(F.to_json(v).rlike(_UNSET), F.lit(False))
+    kept = F.when(may_be_unset, F.map_filter(obj, is_set)).otherwise(obj)
+    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).otherwise(1)  # keys are unique
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(kept), by_key)))
+
+
+def with_entry(obj: Column, key: str, value: Column) -> Column:
+    """A ``parsed`` object with ``key`` set to a variant, as text; it becomes the last entry."""
+    others = F.map_filter(obj, lambda k, _: k != key)
+    return F.to_json(F.map_concat(others, F.create_map(F.lit(key), value)))
+
+
+def entry(obj: Column, key: str, default: str) -> Column:
+    """One entry of a ``parsed`` object, the JSON text ``default`` where the object lacks the key."""
+    found = F.coalesce(F.try_element_at(obj, F.lit(key)), F.parse_json(F.lit("null")))
+    return F.when(F.map_contains_key(obj, key), found).when(obj.isNotNull(), F.parse_json(F.lit(default)))

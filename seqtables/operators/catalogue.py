@@ -38,15 +38,20 @@ def upload_rules(etype: str) -> tuple[str, ...]:
 
 
 def seed(spark: SparkSession) -> DataFrame:
-    """The seed types: etype, workflow, template, upload_rules, insert_position (null: update only)."""
+    """The seed types: etype, workflow, template, upload_rules, insert_position (null: update only).
+
+    Built from literals, so that the planner knows how small it is.
+    """
     rows, position = [], 0
     for etype, workflow, inserted in fixed.EXPERIMENT_TYPES:
         position += inserted
         rules = "[" + ",".join(f'"{r}"' for r in upload_rules(etype)) + "]"
-        rows.append((etype, workflow, job_template(etype), rules, position if inserted else None))
-    return spark.createDataFrame(
-        rows, "etype string, workflow string, template string, upload_rules string, insert_position int"
-    )
+        rows.append(F.struct(
+            F.lit(etype).alias("etype"), F.lit(workflow).alias("workflow"),
+            F.lit(job_template(etype)).alias("template"), F.lit(rules).alias("upload_rules"),
+            F.lit(position if inserted else None).cast("int").alias("insert_position"),
+        ))
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def upsert(current: DataFrame, seeds: DataFrame) -> DataFrame:

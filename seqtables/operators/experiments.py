@@ -135,16 +135,20 @@ def job_inputs(paths: DataFrame) -> DataFrame:
         return F.when(F.col(name), "True").otherwise("False") if name in FLAGS else F.col(name)
 
     filled = text.fill_parts(F.col("template_parts"), [value(f) for f in JOB_FIELDS])
-    return paths.select(
-        "uid", "etype", "workflow",
-        jobjson.set_inputs_sorted(jobjson.booleans_unquoted(filled)).alias("job"),
+    return (
+        paths.select("uid", "etype", "workflow", jobjson.booleans_unquoted(filled).alias("filled"))
+        .withColumn("object", jobjson.parsed(F.col("filled")))
+        .select("uid", "etype", "workflow", jobjson.set_inputs_sorted(F.col("filled"), F.col("object")).alias("job"))
     )
 
 
 def result_params(labdata: DataFrame, results: DataFrame) -> DataFrame:
     """New params of finished experiments: the result object plus the promoter kept from the old."""
-    old = F.when(F.length("l.params") > 0, F.col("l.params")).otherwise("{}")
-    promoter = jobjson.entry_json(old, "promoter", str(fixed.DEFAULT_PROMOTER))
-    return labdata.alias("l").join(results.alias("r"), "uid").select(
-        "uid", jobjson.with_entry(F.col("r.result"), "promoter", promoter).alias("params")
+    old = F.when(F.length("params") > 0, F.col("params")).otherwise("{}")
+    return (
+        labdata.select("uid", jobjson.parsed(old).alias("old"))
+        .join(results.select("uid", jobjson.parsed(F.col("result")).alias("new")), "uid")
+        .select("uid", jobjson.with_entry(
+            F.col("new"), "promoter", jobjson.entry(F.col("old"), "promoter", str(fixed.DEFAULT_PROMOTER))
+        ).alias("params"))
     )
