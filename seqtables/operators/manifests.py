@@ -56,11 +56,12 @@ def track_registry(labdata: DataFrame, rules: DataFrame, genome: DataFrame, sett
     )
 
 
-def _objects(database: Column, prefix: Column, kind: str, suffixes: Sequence[str]) -> list[Column]:
-    return [
+def _objects(database: Column, prefix: Column, groups: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """The objects of one experiment in one database, from (kind, suffixes)."""
+    return F.array(*[
         F.struct(database.alias("db"), F.concat(prefix, F.lit(s)).alias("name"), F.lit(kind).alias("kind"))
-        for s in suffixes
-    ]
+        for kind, suffixes in groups for s in suffixes
+    ])
 
 
 def cleanup_manifest(
@@ -69,31 +70,30 @@ def cleanup_manifest(
     """Tables and views to drop for each queued experiment, in every browser database and in the
     results database.
 
-    The distinct browser databases are counted first. Up to ``max_inline`` they travel as one
-    array; a larger catalogue is cut into chunks of about that size, and queue rows reach every
-    chunk by an equi-join on the chunk number.
+    The queue is read once and each row is expanded in place. The distinct browser databases are
+    counted first. Up to ``max_inline`` they travel as one array; a larger catalogue is cut into
+    chunks of about that size, and queue rows reach every chunk by an equi-join on its number.
     """
     databases = genome.select("db").distinct()
     count = databases.count()
     if count <= max_inline:
         listed = databases.agg(F.array_sort(F.collect_set("db")).alias("dbs")).scalar()
-        chunked = queue.select("uid").withColumn("dbs", listed)
+        chunked = queue.select("uid", F.lit(0).alias("chunk")).withColumn("dbs", listed)
     else:
         chunks = -(-count // max_inline)
         by_chunk = databases.withColumn("chunk", F.pmod(F.xxhash64("db"), F.lit(chunks)).cast("int"))
         by_chunk = by_chunk.groupBy("chunk").agg(F.array_sort(F.collect_set("db")).alias("dbs"))
         reach = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")
-        chunked = queue.select("uid", reach).join(by_chunk, "chunk").select("uid", "dbs")
-    browser_uid, uid = text.browser_name(F.col("uid")), F.col("uid")
-    browser = chunked.select("uid", F.explode("dbs").alias("db")).select("uid", F.inline(F.array(
-        *_objects(F.col("db"), browser_uid, "table", fixed.BROWSER_TABLE_SUFFIXES),
-        *_objects(F.col("db"), browser_uid, "view", fixed.BROWSER_VIEW_SUFFIXES),
-    )))
-    results_db = F.col("results_db")
-    results = queue.select("uid").withColumn("results_db", settings_row(settings).getField("experimentsdb")).select(
-        "uid", F.inline(F.array(
-            *_objects(results_db, uid, "table", fixed.RESULT_TABLE_SUFFIXES),
-            *_objects(results_db, uid, "view", fixed.RESULT_VIEW_SUFFIXES),
-        ))
+        chunked = queue.select("uid", reach).join(by_chunk, "chunk", "left")
+    browser_groups = (("table", fixed.BROWSER_TABLE_SUFFIXES), ("view", fixed.BROWSER_VIEW_SUFFIXES))
+    result_groups = (("table", fixed.RESULT_TABLE_SUFFIXES), ("view", fixed.RESULT_VIEW_SUFFIXES))
+    no_databases = F.array().cast("array<string>")
+    # the results database follows the browser databases of the first chunk, as a null
+    results_place = F.when(F.col("chunk") == 0, F.array(F.lit(None).cast("string"))).otherwise(no_databases)
+    per_database = chunked.withColumn("s", settings_row(settings)).select(
+        "uid", text.browser_name(F.col("uid")).alias("browser_uid"), F.col("s.experimentsdb").alias("results_db"),
+        F.explode(F.concat(F.coalesce("dbs", no_databases), results_place)).alias("db"),
     )
-    return browser.unionByName(results)
+    in_results = _objects(F.col("results_db"), F.col("uid"), result_groups)
+    in_browser = _objects(F.col("db"), F.col("browser_uid"), browser_groups)
+    return per_database.select("uid", F.inline(F.when(F.col("db").isNull(), in_results).otherwise(in_browser)))

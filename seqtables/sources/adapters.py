@@ -143,11 +143,17 @@ select concat('exp-', cast(user_id as string)) as uid, ts, event_id,
   case when event_type = 'error' then concat('can''t read ', cast(event_id as string)) else null end as message
 from events""",
     "local_paths": """
-select concat('/wardrobe/upload/lane', cast(n_nationkey as string), '_sample_R', cast(r.k as string), '.fastq.gz') as path
-from nation join (values (1),(2),(3)) r(k) on r.k = 1 or (r.k = 2 and n_nationkey % 2 = 0) or (r.k = 3 and n_nationkey % 4 = 0)""",
+select concat('/wardrobe/upload/lane', cast(n_nationkey as string), '_sample_R1.fastq.gz') as path from nation
+union all
+select concat('/wardrobe/upload/lane', cast(n_nationkey as string), '_sample_R2.fastq.gz') as path from nation
+where n_nationkey % 2 = 0
+union all
+select concat('/wardrobe/upload/lane', cast(n_nationkey as string), '_sample_R3.fastq.gz') as path from nation
+where n_nationkey % 4 = 0""",
     "fastq_files": """
-select concat('exp-', cast(o_orderkey as string)) as uid, m.mate from orders join (values (1),(2)) m(mate)
-on (m.mate = 1 and o_orderkey % 3 <> 0) or (m.mate = 2 and o_orderkey % 4 <> 0)""",
+select concat('exp-', cast(o_orderkey as string)) as uid, 1 as mate from orders where o_orderkey % 3 <> 0
+union all
+select concat('exp-', cast(o_orderkey as string)) as uid, 2 as mate from orders where o_orderkey % 4 <> 0""",
     "current_types": """
 select p_partkey + 1000 as id, concat('Custom ', p_name, ' ', cast(p_partkey as string)) as etype,
   concat(lower(p_brand), '.cwl') as workflow, p_type as template, '[]' as upload_rules

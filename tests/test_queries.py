@@ -34,11 +34,8 @@ def plan(df) -> str:
 @pytest.mark.parametrize("name", [n for n in entry.queries() if "stream" not in n and n != "queue_claim"])
 def test_no_pairwise_join_and_no_python(spark, sf, name):
     text = plan(entry.queries()[name](spark, sf))
-    # the fixtures local_paths and fastq_files join a table with a fixed list of two or three rows
-    if name not in ("local_files", "files_present", "cleanup_manifest", "launch_requests", "lifecycle_next"):
-        assert "BroadcastNestedLoopJoin" not in text
-    assert "CartesianProduct" not in text
-    for word in ("BatchEvalPython", "ArrowEvalPython", "PythonMapInArrow", "MapInPandas", "FlatMapGroups"):
+    for word in ("BroadcastNestedLoopJoin", "CartesianProduct",
+                 "BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroups"):
         assert word not in text
 
 
@@ -58,5 +55,6 @@ def test_queue_filters_reach_the_scan(spark, sf, tmp_path):
 
     path = str(tmp_path / "labdata")
     table(spark, sf, "labdata").write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     text = plan(queues.download_queue(spark.read.parquet(path)).select("uid"))
     assert "EqualTo(libstatus,0)" in text and "EqualTo(deleted,0)" in text and "IsNotNull(url)" in text
