@@ -123,14 +123,20 @@ def local_files(experiments: DataFrame, paths: DataFrame) -> DataFrame:
     )
 
 
-def files_present(queue: DataFrame, dim: DataFrame, files: DataFrame) -> DataFrame:
-    """Whether each queued experiment has the read files it needs: mate 1, and mate 2 if paired."""
+def files_present(queue: DataFrame, experimenttype: DataFrame, genome: DataFrame, files: DataFrame) -> DataFrame:
+    """Whether each queued experiment has the read files it needs: mate 1, and mate 2 if paired.
+
+    Experiments of an unknown type or genome are left out, as they have no job.
+    """
     by_uid = files.groupBy("uid").agg(
         F.bool_or(F.col("mate") == 1).alias("has_1"), F.bool_or(F.col("mate") == 2).alias("has_2")
     )
+    types = experimenttype.select(F.col("id").alias("experimenttype_id"), "workflow",
+                                  F.contains("etype", F.lit("pair")).alias("pair"))
+    known = queue.join(types, "experimenttype_id").join(genome.select(F.col("id").alias("genome_id")), "genome_id")
     has = lambda name: F.coalesce(name, F.lit(False))
-    return queue.select("uid", "action").join(dim.select("uid", "pair"), "uid").join(by_uid, "uid", "left").select(
-        "uid", "action", "pair", (has("has_1") & (~F.col("pair") | has("has_2"))).alias("present")
+    return known.join(by_uid, "uid", "left").select(
+        "uid", "action", "pair", "workflow", (has("has_1") & (~F.col("pair") | has("has_2"))).alias("present")
     )
 
 

@@ -244,7 +244,7 @@ select uid, case rule when 'upload_bigwig_upstream' then '+' when 'upload_bigwig
   path as file_name
 from manifest where rule like 'upload_bigwig%'""", _RULES)
 _PRESENT = """present as (
-select l.uid, case when l.deleted = 1 then 'delete' else 'reprocess' end as action, e.etype like '%pair%' as pair,
+select l.uid, case when l.deleted = 1 then 'delete' else 'reprocess' end as action, e.etype like '%pair%' as pair, e.workflow,
   exists (select 1 from fastq_files f where f.uid = l.uid and f.mate = 1)
   and (e.etype not like '%pair%' or exists (select 1 from fastq_files f where f.uid = l.uid and f.mate = 2)) as present
 from labdata l join experimenttype e on e.id = l.experimenttype_id

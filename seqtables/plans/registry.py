@@ -206,8 +206,9 @@ def local_files(spark, sf):
 
 
 def _present(spark, sf) -> DataFrame:
-    queue = queues.reprocess_queue(table(spark, sf, "labdata"))
-    return queues.files_present(queue, _dim(spark, sf), table(spark, sf, "fastq_files"))
+    t = lambda name: table(spark, sf, name)
+    queue = queues.reprocess_queue(t("labdata"))
+    return queues.files_present(queue, t("experimenttype"), t("genome"), t("fastq_files"))
 
 
 def _ready(spark, sf) -> DataFrame:
@@ -229,13 +230,13 @@ def plugin_match(spark, sf):
 def launch_requests(spark, sf):
     t = lambda name: table(spark, sf, name)
     first = lambda df: df.withColumn("attempt", F.lit(1))
-    dim = _dim(spark, sf)
-    reruns = _ready(spark, sf).filter("action = 'reprocess'").join(dim.select("uid", "workflow"), "uid")
+    downloaded = t("labdata").filter("libstatus = 10").join(
+        t("experimenttype").withColumnRenamed("id", "experimenttype_id"), "experimenttype_id")
     finished = t("labdata").filter("libstatus = 12")
     return queues.launch_requests(
         first(queues.download_queue(t("labdata"))),
-        first(dim.filter("libstatus = 10")),
-        first(reruns),
+        first(downloaded),
+        first(_ready(spark, sf).filter("action = 'reprocess'")),
         first(queues.plugin_match(finished, t("experimenttype"), t("plugintype"))),
     )
 

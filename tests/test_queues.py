@@ -64,11 +64,13 @@ def test_local_files_equal_brute_force(rows):
 
 
 def test_files_present(rows):
-    queue = rows([(u, "reprocess") for u in "abcd"] + [("e", "delete")], "uid string, action string")
-    dim = rows([("a", False), ("b", True), ("c", True), ("d", False), ("e", True)], "uid string, pair boolean")
+    kinds = {"a": 1, "b": 2, "c": 2, "d": 1, "e": 2, "f": 9}
+    queue = rows([(u, "delete" if u == "e" else "reprocess", k, 1) for u, k in kinds.items()]
+                 + [("g", "delete", 1, 9)], "uid string, action string, experimenttype_id int, genome_id int")
+    types = rows([(1, "DNA-Seq", "s.cwl"), (2, "DNA-Seq pair", "p.cwl")], "id int, etype string, workflow string")
     files = rows([("a", 1), ("b", 1), ("c", 1), ("c", 2), ("d", 2)], "uid string, mate int")
-    present = queues.files_present(queue, dim, files)
-    assert {r.uid for r in present.filter("present").collect()} == {"a", "c"}
+    present = queues.files_present(queue, types, rows([(1, "hg19")], "id int, db string"), files)
+    assert {(r.uid, r.workflow) for r in present.filter("present").collect()} == {("a", "s.cwl"), ("c", "p.cwl")}
     assert {r.uid for r in queues.ready_to_clean(present).collect()} == {"a", "c", "e"}
 
 
