@@ -80,11 +80,16 @@ def template_parts(template: Column, names: Sequence[str]) -> Column:
     return F.transform(tokens, part)
 
 
-def fill_parts(parts: Column, values: Sequence[Column]) -> Column:
+def placeholder_texts(values: Sequence[Column]) -> Column:
+    """Placeholder values as an array of text; nulls as the word a template shows for them."""
+    return F.array(*[F.coalesce(v.cast("string"), F.lit("None")) for v in values])
+
+
+def fill_parts(parts: Column, texts: Column) -> Column:
     """Template parts with every placeholder replaced once; filled text is never filled again.
 
-    An unknown placeholder gives null.
+    ``texts`` should be a stored column: it is read for every part. An unknown placeholder gives
+    null.
     """
-    texts = F.array(*[F.coalesce(v.cast("string"), F.lit("None")) for v in values])
     filled = F.transform(parts, lambda p: F.when(p["field"].isNull(), p["text"]).otherwise(F.get(texts, p["field"])))
     return F.when(~F.exists(parts, lambda p: F.coalesce(p["field"] == -1, F.lit(False))), F.array_join(filled, ""))

@@ -134,9 +134,12 @@ def job_inputs(paths: DataFrame) -> DataFrame:
         name = "dutp" if field == "dUTP" else field
         return F.when(F.col(name), "True").otherwise("False") if name in FLAGS else F.col(name)
 
-    filled = text.fill_parts(F.col("template_parts"), [value(f) for f in JOB_FIELDS])
+    # the generator keeps the optimizer from building the texts anew for every template part
+    texts = F.explode(F.array(text.placeholder_texts([value(f) for f in JOB_FIELDS]))).alias("texts")
+    filled = jobjson.booleans_unquoted(text.fill_parts(F.col("template_parts"), F.col("texts")))
     return (
-        paths.select("uid", "etype", "workflow", jobjson.booleans_unquoted(filled).alias("filled"))
+        paths.select("uid", "etype", "workflow", "template_parts", texts)
+        .select("uid", "etype", "workflow", filled.alias("filled"))
         .withColumn("object", jobjson.parsed(F.col("filled")))
         .select("uid", "etype", "workflow", jobjson.set_inputs_sorted(F.col("filled"), F.col("object")).alias("job"))
     )

@@ -25,7 +25,7 @@ def test_norm_path_agrees_with_posix(rows, path):
 def test_template_fill(rows, template, values, expected):
     df = rows([(template, *values.values())], "t string, " + ", ".join(f"{k} string" for k in values))
     parts = text.template_parts(F.col("t"), list(values))
-    got = df.select(text.fill_parts(parts, [F.col(k) for k in values])).first()[0]
+    got = df.select(text.fill_parts(parts, text.placeholder_texts([F.col(k) for k in values]))).first()[0]
     assert got == expected
 
 
