@@ -63,7 +63,7 @@ def common_tss(isoforms: DataFrame) -> DataFrame:
 def peaks_bed(islands: DataFrame) -> DataFrame:
     """Peaks as browser BED rows, one per interval.
 
-    ``name`` stays a number here; the sink turns it into text. ``score`` is rounded, as it is when
+    ``name`` stays a number here; ``schemas.stored`` turns it into text. ``score`` is rounded, as it is when
     a real number is stored in an integer column.
     """
     return islands.groupBy("uid", "chrom", "start_pos", "end_pos").agg(

@@ -28,6 +28,20 @@ def fastq_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def experiment_and_mate(path: Column) -> list[Column]:
+    """The uid and mate in a name like ``{uid}.fastq.bz2`` or ``{uid}_2.fastq``; an empty uid for
+    other files."""
+    pattern = r"([^/]+?)(_2)?\.fastq(\.bz2|\.gz)?$"
+    mate = F.when(F.regexp_extract(path, pattern, 2) == "_2", 2).otherwise(1)
+    return [F.regexp_extract(path, pattern, 1).alias("uid"), mate.alias("mate")]
+
+
+def experiment_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Numbered lines of the experiments' FASTQ files: uid, mate, line_no, value."""
+    lines = numbered(fastq_lines(spark, path))
+    return lines.select(*experiment_and_mate(F.col("file")), "line_no", "value").filter("uid <> ''")
+
+
 def _lines_before(splits: DataFrame) -> DataFrame:
     """Splits with the number of lines in the splits before them in the same file."""
     earlier = Window.partitionBy("file").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)

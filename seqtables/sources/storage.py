@@ -1,4 +1,4 @@
-"""Result tables on shared storage: replacing experiments, layout, browser text, footprint."""
+"""Result tables on shared storage: replacing experiments, layout, text output, file listings."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqtables import schemas
+from seqtables.sources import fastq
+
 
 def replace_experiments(rows: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     """Write a result table so that each experiment present in ``rows`` is replaced whole.
@@ -40,11 +43,6 @@ def rebuild_layout(spark: SparkSession, path: str, experiments: DataFrame, order
     replace_experiments(spark.read.parquet(staging), path, order)
 
 
-def bed_text(bed: DataFrame) -> DataFrame:
-    """BED rows with ``name`` as text, as the browser table holds it."""
-    return bed.withColumn("name", F.col("name").cast("float").cast("string"))
-
-
 def write_lines(lines: DataFrame, path: str, *keys: str) -> None:
     """Write numbered lines as text, one folder per key value, in line order across its files."""
     order = (*keys, "line_no")
@@ -62,3 +60,14 @@ def footprint_kib(spark: SparkSession, path: str, uid_pattern: str) -> DataFrame
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     uid = F.regexp_extract("path", uid_pattern, 1)
     return files.select(uid.alias("uid"), "length").groupBy("uid").agg((F.sum("length") / 1024).alias("size"))
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """The FASTQ files below ``path`` as (uid, mate), from their names alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(*fastq.experiment_and_mate(F.col("path"))).filter("uid <> ''")
+
+
+def catalogue_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A catalogue table with its declared schema, without inference."""
+    return spark.read.schema(schemas.CATALOGUE_TABLES[name]).parquet(path)

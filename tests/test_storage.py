@@ -1,4 +1,5 @@
-from seqtables.sources import storage
+from seqtables import schemas
+from seqtables.sources import fastq, storage
 
 SCHEMA = "uid string, chrom string, tx_start int"
 
@@ -44,6 +45,25 @@ def test_footprint(spark, tmp_path):
     assert {tuple(r) for r in got.collect()} == {("a", 1.5), ("b", 100 / 1024)}
 
 
-def test_bed_text(rows):
-    bed = rows([("a", 12.5), ("b", 3.0)], "uid string, name double")
-    assert {r.name for r in storage.bed_text(bed).collect()} == {"12.5", "3.0"}
+def test_stored_types(rows):
+    bed = rows([("a", 0, "chr1", 1, 2, 12.1, 3), ("b", 0, "chr1", 1, 2, 3.0, 3)],
+               "uid string, bin int, chrom string, chrom_start bigint, chrom_end bigint, name double, score int")
+    assert {r.name for r in schemas.stored(bed, "browser_islands").collect()} == {"12.1", "3.0"}
+    profile = schemas.stored(rows([("a", 0.5, 1)], "uid string, y double, x int"), "atdp")
+    assert [(f.name, f.dataType.simpleString()) for f in profile.schema] == [("uid", "string"), ("x", "int"), ("y", "float")]
+
+
+def test_fastq_listing_and_lines(spark, tmp_path):
+    folder = tmp_path / "exp-1"
+    folder.mkdir()
+    for name, text in (("exp-1.fastq", "@a\nAC\n+\nII\n"), ("exp-1_2.fastq", "@b\nGT\n+\nII\n"), ("exp-1.bam", "x")):
+        (folder / name).write_text(text)
+    assert {tuple(r) for r in storage.read_files(spark, str(tmp_path)).collect()} == {("exp-1", 1), ("exp-1", 2)}
+    lines = fastq.experiment_lines(spark, str(folder)).filter("line_no = 1").collect()
+    assert {(r.uid, r.mate, r.value) for r in lines} == {("exp-1", 1, "AC"), ("exp-1", 2, "GT")}
+
+
+def test_catalogue_table_reads_declared_columns(spark, rows, tmp_path):
+    path = str(tmp_path / "antibody")
+    rows([(1, 2, "x")], "id int, properties int, extra string").write.parquet(path)
+    assert [tuple(r) for r in storage.catalogue_table(spark, path, "antibody").collect()] == [(1, 2)]
