@@ -61,9 +61,18 @@ def _verdict(heads: Column, pluses: Column) -> list[Column]:
     return [heads.alias("n_heads"), pluses.alias("n_pluses"), (heads == pluses).alias("valid")]
 
 
-def check_files(lines: DataFrame) -> DataFrame:
+def fastq_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The files ``fastq_lines`` would read, including empty ones."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("_metadata.file_path").alias("file"), "length").select("file")
+
+
+def check_files(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """The record check per file, from ``fastq_lines``: as many '@' on lines 1, 5, .. as '+' on
-    lines 3, 7, .. One scan."""
+    lines 3, 7, .. One scan.
+
+    An empty file has no lines to be found by; it is listed, as valid, when ``files`` names it.
+    """
     residue = F.pmod("line_id", F.lit(RECORD_LINES))
     counters = [
         F.count_if((residue == r) & F.col("value").rlike(mark)).alias(f"{name}{r}")
@@ -77,9 +86,11 @@ def check_files(lines: DataFrame) -> DataFrame:
         wanted = F.pmod(F.col("first_id") - F.col("before") + position, F.lit(RECORD_LINES))
         return F.get(F.array(*[F.col(f"{name}{r}") for r in range(RECORD_LINES)]), wanted.cast("int"))
 
-    return splits.groupBy("file").agg(F.sum(at("head", 0)).alias("heads"), F.sum(at("plus", 2)).alias("pluses")).select(
-        "file", *_verdict(F.col("heads"), F.col("pluses"))
-    )
+    counts = splits.groupBy("file").agg(F.sum(at("head", 0)).alias("heads"), F.sum(at("plus", 2)).alias("pluses"))
+    if files is not None:
+        counts = files.join(counts, "file", "left")
+    zero = F.lit(0).cast("bigint")
+    return counts.select("file", *_verdict(F.coalesce("heads", zero), F.coalesce("pluses", zero)))
 
 
 def check_numbered(lines: DataFrame, *keys: str) -> DataFrame:
