@@ -40,6 +40,11 @@ def is_plain_name(part: Column) -> Column:
     return part.rlike("^[^/]+$") & ~part.isin(".", "..")
 
 
+def decoded(path: Column) -> Column:
+    """A path from file metadata without percent escapes."""
+    return F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
 def stem(path: Column) -> Column:
     """A file name without its last extension (leading dots do not start an extension)."""
     return F.regexp_replace(path, r"(?<=[^/.])\.[^./]*$", "")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqtables.functions import text
+
 RECORD_LINES = 4
 # only leading blanks may come before the mark
 _HEAD, _PLUS = r"^[ \t]*@", r"^[ \t]*\+"
@@ -21,7 +23,7 @@ _HEAD, _PLUS = r"^[ \t]*@", r"^[ \t]*\+"
 def fastq_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines of FASTQ files (plain, gz or bz2) with file, split start and an id rising within a split."""
     return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        text.decoded(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("line_id"),
         "value",
@@ -61,17 +63,11 @@ def _verdict(heads: Column, pluses: Column) -> list[Column]:
     return [heads.alias("n_heads"), pluses.alias("n_pluses"), (heads == pluses).alias("valid")]
 
 
-def fastq_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """The files ``fastq_lines`` would read, including empty ones."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"), "length").select("file")
-
-
 def check_files(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """The record check per file, from ``fastq_lines``: as many '@' on lines 1, 5, .. as '+' on
     lines 3, 7, .. One scan.
 
-    An empty file has no lines to be found by; it is listed, as valid, when ``files`` names it.
+    An empty file is not scanned; it appears, as valid, when ``files`` names it.
     """
     residue = F.pmod("line_id", F.lit(RECORD_LINES))
     counters = [

@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqtables.fixed import RESULT_FILES
+from seqtables.functions import text
+
 ISOFORM_FIELDS = (
     ("refseq_id", "string"), ("gene_id", "string"), ("chrom", "string"), ("tx_start", "int"),
     ("tx_end", "int"), ("strand", "string"), ("tot_r_0", "double"), ("rpkm_0", "double"),
@@ -42,7 +45,7 @@ def result_bodies(spark: SparkSession, path: str | Sequence[str], suffix: str) -
 
 
 def _named(files: DataFrame, suffix: str) -> DataFrame:
-    name = F.col("_metadata.file_name")
+    name = text.decoded(F.col("_metadata.file_name"))
     uid = F.substring(name, F.lit(1), F.length(name) - len(suffix))
     return files.filter(F.endswith(name, F.lit(suffix))).select(uid.alias("uid"), "value")
 
@@ -61,7 +64,7 @@ def _words(value: Column) -> Column:
 
 
 def _typed(
-    lines: DataFrame, text: Column, fields: Sequence[tuple[str, str]], separator: str, null_word: str | None = None
+    lines: DataFrame, line: Column, fields: Sequence[tuple[str, str]], separator: str, null_word: str | None = None
 ) -> DataFrame:
     """Separated text as typed columns; ``reject`` holds the text of a line with a wrong field
     count or an unreadable number.
@@ -74,7 +77,7 @@ def _typed(
         "sep": separator, "quote": "", "nullValue": null_word or "\u0001",
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "reject",
     }
-    rows = lines.select("uid", text.alias("text")).select("uid", F.inline(F.array(F.from_csv("text", schema, options))))
+    rows = lines.select("uid", line.alias("text")).select("uid", F.inline(F.array(F.from_csv("text", schema, options))))
     if null_word:
         return rows
     # an empty field is empty text, or null where a number belongs
@@ -141,8 +144,6 @@ WHOLE_FILE = ("upload_get_stat", "upload_macs2_fragment_stat")
 
 def load(spark: SparkSession, rule: str, path: str | Sequence[str]) -> DataFrame:
     """Rows of all files a loader reads below ``path``, with rejects marked."""
-    from seqtables.fixed import RESULT_FILES
-
     suffix = RESULT_FILES[rule].removeprefix("{}")
     files = result_bodies if rule in WHOLE_FILE else result_lines
     return READERS[rule](files(spark, path, suffix))

@@ -34,7 +34,7 @@ def test_line_numbers_and_check_across_splits(spark, tmp_path, small_splits):
         "good.fastq": records(900), "bad.fastq": records(700, bad={650}), "zip.fastq.gz": records(300),
         "two.fastq.bz2": records(300), "short.fastq": records(2)[:7], "none.fastq": [],
         "blank.fastq": ["", " \t@r", "AC", "+", "II"], "lead.fastq": ["  @r", "AC", "\t+", "II"],
-        "fair.fastq": ["@r", "AC", "x", "II", "r", "AC", "+", "II"],
+        "fair one+two.fastq": ["@r", "AC", "x", "II", "r", "AC", "+", "II"],
     }
     for name, lines in files.items():
         write(tmp_path, name, lines)
@@ -48,7 +48,8 @@ def test_line_numbers_and_check_across_splits(spark, tmp_path, small_splits):
     for name, expected in files.items():
         assert [v for _, v in sorted(got.get(name, {}).items())] == expected
         assert sorted(got.get(name, {})) == list(range(len(expected)))
-    verdict = {r.file.rsplit("/", 1)[1]: r for r in fastq.check_files(lines, fastq.fastq_files(spark, str(tmp_path))).collect()}
+    listing = spark.createDataFrame([(f"file:{tmp_path}/{name}",) for name in files], "file string")
+    verdict = {r.file.rsplit("/", 1)[1]: r for r in fastq.check_files(lines, listing).collect()}
     assert verdict["none.fastq"].valid
     assert len(verdict) == len(files) and fastq.check_files(lines).count() == len(files) - 1
     for name, expected in files.items():

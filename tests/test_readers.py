@@ -66,12 +66,12 @@ def test_align_stat(rows, body, expected):
 
 def test_load_from_files(spark, tmp_path):
     (tmp_path / "exp-1.isoforms.csv").write_text("RefseqId,GeneId,x\nNM_1,G1,chr1,1,2,+,3,4\n\nNM_2,G1,chr1,1,2,-,3,4\n")
-    (tmp_path / "exp-2.isoforms.csv").write_text("NM_1,G1,chr1,1,2,+,3,4\n")
+    (tmp_path / "exp 2+3%.isoforms.csv").write_text("NM_1,G1,chr1,1,2,+,3,4\n")
     (tmp_path / "exp-2.stat").write_text("10 9 3\n8\n")
     (tmp_path / "exp-2_fragment_stat.tsv").write_text("150 140 12\n")
     path = str(tmp_path)
     counts = readers.accepted(readers.load(spark, "upload_rpkm", path)).groupBy("uid").count().collect()
-    assert {tuple(r) for r in counts} == {("exp-1", 2), ("exp-2", 1)}
+    assert {tuple(r) for r in counts} == {("exp-1", 2), ("exp 2+3%", 1)}
     assert [tuple(r) for r in readers.accepted(readers.load(spark, "upload_get_stat", path)).collect()] == \
         [("exp-2", 10, 9, 3, 3, 8)]
     assert [tuple(r) for r in readers.accepted(readers.load(spark, "upload_macs2_fragment_stat", path)).collect()] == \
