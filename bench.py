@@ -16,7 +16,7 @@ from seqtables.session import local_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 NAMES = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
 
 
