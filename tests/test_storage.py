@@ -67,3 +67,19 @@ def test_catalogue_table_reads_declared_columns(spark, rows, tmp_path):
     path = str(tmp_path / "antibody")
     rows([(1, 2, "x")], "id int, properties int, extra string").write.parquet(path)
     assert [tuple(r) for r in storage.catalogue_table(spark, path, "antibody").collect()] == [(1, 2)]
+
+
+def test_large_experiment_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    hot = spark.range(400000).selectExpr(
+        "case when id % 3 = 0 then concat('u', id % 50) else 'hot' end as uid", "sha2(cast(id as string), 256) as chrom",
+        "cast(id as int) as tx_start").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        storage.replace_experiments(hot, path, ("tx_start",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = lambda uid: len(list((tmp_path / "t" / f"uid={uid}").glob("*.parquet")))
+    assert files("hot") > 2 and files("u3") == 1
+    assert spark.read.parquet(path).count() == 400000
