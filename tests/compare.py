@@ -22,6 +22,7 @@ def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for f in sorted(glob.glob(f"{sf_dir}/*.parquet")):
         name = os.path.basename(f).removesuffix(".parquet")
+        f = f"{f}/*.parquet" if os.path.isdir(f) else f
         con.execute(f"create view {name} as select * from read_parquet('{f}')")
     return con
 

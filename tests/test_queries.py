@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from seqtables.plans.oracles import ORACLES
+from seqtables.plans.registry import QUERIES
 from tests.compare import compare, connection
 
 NO_SQL = {"footprint_kib"}
@@ -18,11 +20,16 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in NO_SQL])
+def test_entry_lists_them():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in NO_SQL])
 def test_matches_sql(spark, con, sf, name):
     assert compare(spark, con, name, sf) == ""
 
@@ -31,20 +38,20 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if "stream" not in n and n != "queue_claim"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if "stream" not in n and n != "queue_claim"])
 def test_no_pairwise_join_and_no_python(spark, sf, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     for word in ("BroadcastNestedLoopJoin", "CartesianProduct",
                  "BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroups"):
         assert word not in text
 
 
 def test_tracks_scan_experiments_once(spark, sf):
-    assert plan(entry.queries()["track_db_all_genomes"](spark, sf)).count("FileScan parquet") == 1
+    assert plan(QUERIES["track_db_all_genomes"](spark, sf)).count("FileScan parquet") == 1
 
 
 def test_scans_are_pruned(spark, sf):
-    text = plan(entry.queries()["peaks_bed"](spark, sf))
+    text = plan(QUERIES["peaks_bed"](spark, sf))
     schema = text.split("ReadSchema: ")[1].splitlines()[0]
     assert "l_extendedprice" not in schema and "l_shipdate" not in schema
 
