@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqtables.llm import mixing
+from seqtables.llm import langid, mixing
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_langid(spark, sf):
+    docs = documents(spark, sf)
+    return langid.identify(docs, langid.fit(docs))
+
+
 @query
 def op5_mixing(spark, sf):
     return mixing.mix(documents(spark, sf))
