@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqtables.llm import langid, mixing
+from seqtables.llm import langid, mixing, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,9 @@ def op5_mixing(spark, sf):
 
 
 ORACLES["op5_mixing"] = mixing.oracle()
+
+
+@query
+def op7_toxicity(spark, sf):
+    docs = documents(spark, sf)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet")))
