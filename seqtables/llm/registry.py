@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqtables.llm import langid, mixing, toxicity
+from seqtables.llm import langid, mixing, packing, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op3_langid(spark, sf):
     return langid.identify(docs, langid.fit(docs))
 
 
+@query
+def op4_packing(spark, sf):
+    return packing.pack(documents(spark, sf))
+
+
 @query
 def op5_mixing(spark, sf):
     return mixing.mix(documents(spark, sf))
@@ -37,3 +42,14 @@ ORACLES["op5_mixing"] = mixing.oracle()
 def op7_toxicity(spark, sf):
     docs = documents(spark, sf)
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+@query
+def op9_tokenfiles(spark, sf):
+    folder = tokenfiles.write(documents(spark, sf))
+    return tokenfiles.read(spark, folder).drop("ids")
+
+
+@query
+def op10_syncmers(spark, sf):
+    return syncmers.fingerprints(documents(spark, sf))
