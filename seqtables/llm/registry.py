@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqtables.llm import langid, mixing, packing, syncmers, tokenfiles, toxicity
+from seqtables.llm import jaccard, langid, mixing, packing, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op5_mixing(spark, sf):
 ORACLES["op5_mixing"] = mixing.oracle()
 
 
+@query
+def op6_jaccard(spark, sf):
+    return jaccard.join(documents(spark, sf))
+
+
 @query
 def op7_toxicity(spark, sf):
     docs = documents(spark, sf)
