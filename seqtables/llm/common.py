@@ -168,13 +168,17 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mixed((total[ends] - total[starts]) * down[starts])
 
 
+def _salt(length: int) -> np.uint64:
+    return np.uint64(length * int(_GOLD) & 0xFFFFFFFFFFFFFFFF)
+
+
 def runs_hashed(words: np.ndarray, length: int) -> np.ndarray:
     """Hashes of so many consecutive words from each word on; the last length - 1 entries mean nothing."""
     found = np.zeros(len(words), np.uint64)
     if len(words) < length:
         return found
     whole = len(words) - length + 1
-    acc = np.full(whole, length, np.uint64) * _GOLD
+    acc = np.full(whole, _salt(length), np.uint64)
     for j in range(length):
         acc = acc * np.uint64(_BASE) + words[j:j + whole]
     found[:whole] = mixed(acc)
@@ -190,7 +194,7 @@ def windows_hashed(words: np.ndarray, length: int) -> np.ndarray:
     np.cumsum(words * up, out=total[1:])
     found = np.zeros(len(words), np.uint64)
     whole = len(words) - length + 1
-    found[:whole] = mixed((total[length:] - total[:whole]) * down[:whole] + np.uint64(length) * _GOLD)
+    found[:whole] = mixed((total[length:] - total[:whole]) * down[:whole] + _salt(length))
     return found
 
 

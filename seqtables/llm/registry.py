@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqtables.llm import jaccard, langid, mixing, packing, syncmers, tokenfiles, toxicity
+from seqtables.llm import jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_suffixes(spark, sf):
+    return suffixes.repeated_spans(documents(spark, sf))
+
+
 @query
 def op3_langid(spark, sf):
     docs = documents(spark, sf)
