@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqtables.llm import jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
+from seqtables.llm import codesearch, fixity, jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_codesearch(spark, sf):
+    return codesearch.search(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+ORACLES["op1_codesearch"] = codesearch.oracle()
+
+
 @query
 def op2_suffixes(spark, sf):
     return suffixes.repeated_spans(documents(spark, sf))
@@ -54,6 +62,15 @@ def op7_toxicity(spark, sf):
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet")))
 
 
+@query
+def op8_fixity(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return fixity.audit(fixity.records(pages), fixity.records(fixity.damaged(pages)))
+
+
+ORACLES["op8_fixity"] = fixity.oracle()
+
+
 @query
 def op9_tokenfiles(spark, sf):
     folder = tokenfiles.write(documents(spark, sf))
