@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from seqtables.llm import codesearch, fixity, jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
@@ -80,3 +81,8 @@ def op9_tokenfiles(spark, sf):
 @query
 def op10_syncmers(spark, sf):
     return syncmers.fingerprints(documents(spark, sf))
+
+
+@query
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)

@@ -190,11 +190,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without the words of passages that stand somewhere before; what is left empty goes.
 
-    The words and white space outside such passages stay as they are, and so do null ids and all other columns.
+    The words and white space outside such passages stay as they are, and so do null ids and all other columns;
+    a column n_chars follows the text.
     """
     spans = (repeated_spans(docs).filter("not first").groupBy("doc_id")
              .agg(F.collect_list(F.struct("start", "n_words")).alias("_spans")).withColumnRenamed("doc_id", "_doc"))
     at, names = docs.columns.index("text"), docs.columns
+    counted = names.index("n_chars") if "n_chars" in names else None
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
     joined = docs.select(row, F.col("doc_id").cast("long").alias("_id")).join(spans, F.col("_id") == F.col("_doc"), "left")
 
@@ -202,6 +204,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             held = batch.column("_row")
             spans, texts, keep = batch.column("_spans").to_pylist(), held.field(at).to_pylist(), []
+            sizes = held.field(counted).to_pylist() if counted is not None else []
             for i, (text, found) in enumerate(zip(texts, spans)):
                 keep.append(True)
                 if not found or not text:
@@ -213,7 +216,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     stays[words.starts[s["start"]]:words.ends[s["start"] + s["n_words"] - 1]] = False
                 texts[i] = raw[stays].tobytes().decode()
                 keep[-1] = bool(texts[i].strip())
-            columns = [held.field(k) if k != at else pa.array(texts, pa.string()) for k in range(len(names))]
+                if counted is not None:
+                    sizes[i] = len(texts[i])
+            new = {at: texts, counted: sizes}
+            columns = [pa.array(new[k], held.field(k).type) if k in new else held.field(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
     return joined.select("_row", "_spans").mapInArrow(cut, docs.schema)
