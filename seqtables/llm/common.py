@@ -162,9 +162,9 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """64-bit hashes of the byte spans: equal bytes have equal hashes wherever they stand."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    up, down = _power_tables(len(raw))
+    up, down = _power_tables(len(raw) + 1)
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_LETTERS[raw] * up, out=total[1:])
+    np.cumsum(_LETTERS[raw] * up[:-1], out=total[1:])
     return mixed((total[ends] - total[starts]) * down[starts])
 
 
