@@ -19,39 +19,47 @@ def status_latest(events: DataFrame) -> DataFrame:
     )
 
 
-def pending_events(log: DataFrame, downloads: DataFrame, ready: DataFrame) -> DataFrame:
-    """One event per experiment: a queue decision if there is one, else the last logged event.
+def pending_events(log: DataFrame, downloads: DataFrame, ready: DataFrame, now: Column | None = None) -> DataFrame:
+    """All events to apply: the logged ones at their times and the queue decisions at theirs.
 
-    ``log`` has uid, ts, event_id, event and message; ``downloads`` uid; ``ready`` uid and action.
+    ``log`` has uid, ts, event_id, event and message; ``downloads`` uid; ``ready`` uid and action. Decisions
+    without a ``ts`` of their own are taken now; they have no event id and follow logged events of the same time.
     """
-    decided = (
-        downloads.select("uid", F.lit("queued").alias("event"))
-        .unionByName(ready.select("uid", F.col("action").alias("event")))
-        .select("uid", F.lit(1).alias("rank"), F.lit(None).cast("timestamp_ntz").alias("ts"),
-                F.lit(None).cast("bigint").alias("event_id"), "event", F.lit(None).cast("string").alias("message"))
-    )
-    logged = log.select("uid", F.lit(0).alias("rank"), F.col("ts").cast("timestamp_ntz").alias("ts"),
-                        "event_id", "event", "message")
-    last = F.max_by(F.struct("event", "message"), F.struct("rank", "ts", "event_id"))
-    return decided.unionByName(logged).groupBy("uid").agg(last.alias("last")).select("uid", "last.*")
+    now = F.current_timestamp() if now is None else now
+
+    def decided(rows: DataFrame, event: Column) -> DataFrame:
+        ts = F.col("ts") if "ts" in rows.columns else now
+        return rows.select("uid", ts.cast("timestamp_ntz").alias("ts"), F.lit(None).cast("bigint").alias("event_id"),
+                           event.alias("event"), F.lit(None).cast("string").alias("message"))
+
+    logged = log.select("uid", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event", "message")
+    return logged.unionByName(decided(downloads, F.lit("queued"))).unionByName(decided(ready, F.col("action")))
+
 
+def _by_event(values: dict[str, Column | int | str], kind: str) -> Column:
+    """The value an event writes into a column; null for other events."""
+    out = F.lit(None).cast(kind)
+    for name, value in values.items():
+        out = F.when(F.col("event") == name, value).otherwise(out)
+    return out
 
-def lifecycle_next(labdata: DataFrame, events: DataFrame, now: Column | None = None) -> DataFrame:
-    """Experiments after their event. An event whose guard fails changes nothing.
 
-    ``events`` has at most one row per uid (see ``pending_events``) with event, message and, for
-    finished analyses, optionally new params. ``reprocess`` events must come from experiments with
-    their read files present. Experiments without an event pass through.
+def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
+    """Experiments after all their events, and the last logged event that was applied.
+
+    ``events`` has uid, ts, event_id, event, message and, for finished analyses, optionally new params. Each column
+    takes the value of the last event, by (ts, event_id), that writes it; dates are those of the events.
+    A queue decision counts if its guard holds for the experiment as it was read; ``reprocess`` must come from experiments
+    with their read files present. Logged events up to (applied_ts, applied_id) have been applied before
+    and change nothing, so the same log can be given again. Experiments without a new event pass through.
     """
-    now = F.current_timestamp() if now is None else now
+    col = F.col
+    for name, kind in (("dateanalyzes", "timestamp_ntz"), ("dateanalyzee", "timestamp_ntz"), ("datedel", "date"),
+                       ("applied_ts", "timestamp_ntz"), ("applied_id", "bigint")):
+        if name not in labdata.columns:
+            labdata = labdata.withColumn(name, F.lit(None).cast(kind))
     if "params" not in events.columns:
         events = events.withColumn("params", F.lit(None).cast("string"))
-    joined = labdata.alias("l").join(
-        events.select("uid", "event", F.replace("message", F.lit("'"), F.lit('"')).alias("message"),
-                      F.col("params").alias("new_params")).alias("v"),
-        "uid", "left",
-    )
-    col = F.col
     guards = {
         "queued": (col("libstatus") == fixed.START_DOWNLOAD) & (col("deleted") == 0)
         & col("url").isNotNull() & (col("url") != ""),
@@ -61,41 +69,57 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame, now: Column | None = N
     allowed = F.lit(True)
     for name, guard in guards.items():
         allowed = F.when(col("event") == name, guard).otherwise(allowed)
-    step = F.when(col("event").isNotNull() & F.coalesce(allowed, F.lit(False)), col("event"))
-
-    def on(old: Column, new: dict[str, Column | int | str]) -> Column:
-        out = old
-        for name, value in new.items():
-            out = F.when(col("step") == name, value).otherwise(out)
-        return out
-
-    message = F.coalesce("message", F.lit(""))
-    columns = {
-        "libstatus": on(col("libstatus"), {
+    mark = F.struct(col("applied_ts").alias("ts"), col("applied_id").alias("event_id"))
+    new = col("event_id").isNull() | col("applied_ts").isNull() | (F.struct("ts", "event_id") > mark)
+    message = F.coalesce(F.replace("message", F.lit("'"), F.lit('"')), F.lit(""))
+    written = {
+        "to_status": _by_event({
             "queued": fixed.DOWNLOADING, "retry": fixed.RESTART_DOWNLOAD, "download_failed": fixed.FAIL_DOWNLOAD,
             "downloaded": fixed.START_PROCESS, "started": fixed.PROCESSING, "completed": fixed.SUCCESS_PROCESS,
-            "failed": fixed.FAIL_PROCESS, "reprocess": fixed.START_PROCESS,
-        }),
-        "libstatustxt": on(col("libstatustxt"), {
+            "failed": fixed.FAIL_PROCESS, "reprocess": fixed.START_PROCESS}, "int"),
+        "to_text": _by_event({
             "retry": fixed.TEXT_RETRY, "download_failed": message, "downloaded": fixed.TEXT_DOWNLOADED,
             "started": fixed.TEXT_STARTED, "completed": fixed.TEXT_COMPLETE,
             "failed": F.concat(F.lit(fixed.TEXT_FAILED_PREFIX), message),
-            "reprocess": fixed.TEXT_REPROCESS, "delete": fixed.TEXT_DELETED,
-        }),
-        "deleted": on(col("deleted"), {"queued": 0, "delete": 2}),
-        "forcerun": on(col("forcerun"), {"started": 0, "reprocess": 0}),
-        "dateanalyzes": on(col("dateanalyzes"), {"started": now}),
-        "dateanalyzed": on(col("dateanalyzed"), {"started": F.coalesce("dateanalyzed", now)}),
-        "dateanalyzee": on(col("dateanalyzee"), {"completed": now, "failed": now}),
-        "datedel": on(col("datedel"), {"delete": now.cast("date")}),
-        "params": on(col("params"), {name: F.coalesce("new_params", "params") for name in ("completed", "failed")}),
-        **{c: on(col(c), {"reprocess": F.lit(0)}) for c in COUNTERS},
+            "reprocess": fixed.TEXT_REPROCESS, "delete": fixed.TEXT_DELETED}, "string"),
+        "to_deleted": _by_event({"queued": 0, "delete": 2}, "int"),
     }
-    for name, kind in (("dateanalyzes", "timestamp_ntz"), ("dateanalyzee", "timestamp_ntz"), ("datedel", "date")):
-        if name not in labdata.columns:
-            joined = joined.withColumn(name, F.lit(None).cast(kind))
-    staged = joined.withColumn("step", step)
-    return staged.withColumns(columns).drop("event", "message", "new_params").withColumnRenamed("step", "event")
+    order = F.struct("ts", F.coalesce("event_id", F.lit((1 << 63) - 1)).alias("event_id"))
+    finished = col("event").isin("completed", "failed")
+    last = lambda value, where: F.max_by(value, F.when(where, order))  # noqa: E731 - rows without an order are passed over
+    state = labdata.select("uid", "libstatus", "deleted", "forcerun", "url", "applied_ts", "applied_id")
+    known = col("to_status").isNotNull() | col("to_text").isNotNull()
+    folded = (
+        events.select("uid", col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event", "message", col("params").alias("new_params"))
+        .join(state, "uid").filter(F.coalesce(allowed, F.lit(False)) & new)
+        .withColumns(written).filter(known)
+        .groupBy("uid").agg(
+            F.max_by("event", order).alias("event"),
+            *[last(col(c), col(c).isNotNull()).alias(c) for c in written],
+            F.max(col("event").isin("started", "reprocess")).alias("runs"),
+            F.max(col("event") == "reprocess").alias("reset"),
+            F.max(F.when(col("event") == "started", col("ts"))).alias("last_start"),
+            F.min(F.when(col("event") == "started", col("ts"))).alias("first_start"),
+            F.max(F.when(finished, col("ts"))).alias("last_end"),
+            last(F.struct("new_params"), finished).alias("end"),
+            F.max(F.when(col("event") == "delete", col("ts").cast("date"))).alias("gone"),
+            last(F.struct("ts", "event_id"), col("event_id").isNotNull()).alias("seen"))
+    )
+    columns = {
+        "libstatus": F.coalesce("to_status", "libstatus"),
+        "libstatustxt": F.coalesce("to_text", "libstatustxt"),
+        "deleted": F.coalesce("to_deleted", "deleted"),
+        "forcerun": F.when(col("runs"), 0).otherwise(col("forcerun")),
+        "dateanalyzes": F.coalesce("last_start", "dateanalyzes"),
+        "dateanalyzed": F.coalesce("dateanalyzed", "first_start"),
+        "dateanalyzee": F.coalesce("last_end", "dateanalyzee"),
+        "datedel": F.coalesce("gone", "datedel"),
+        "params": F.coalesce("end.new_params", "params"),
+        "applied_ts": F.coalesce("seen.ts", "applied_ts"),
+        "applied_id": F.coalesce("seen.event_id", "applied_id"),
+        **{c: F.when(col("reset"), F.lit(0)).otherwise(col(c)) for c in COUNTERS},
+    }
+    return labdata.join(folded, "uid", "left").withColumns(columns).select(*labdata.columns, "event")
 
 
 def apply_metrics(labdata: DataFrame, *metrics: DataFrame) -> DataFrame:

@@ -11,9 +11,6 @@ from seqtables import fixed
 from seqtables.functions import text
 from seqtables.operators.experiments import settings_row
 
-# databases carried along with every queue row; more are spread over rows by a join
-MAX_INLINE_DATABASES = 1000
-
 
 def output_manifest(
     experiments: DataFrame, rules: DataFrame, settings: DataFrame, keep: Sequence[str] = ()
@@ -64,35 +61,21 @@ def _objects(database: Column, prefix: Column, groups: Sequence[tuple[str, Seque
     ])
 
 
-def cleanup_manifest(
-    queue: DataFrame, genome: DataFrame, settings: DataFrame, max_inline: int = MAX_INLINE_DATABASES
-) -> DataFrame:
+def cleanup_manifest(queue: DataFrame, genome: DataFrame, settings: DataFrame) -> DataFrame:
     """Tables and views to drop for each queued experiment, in every browser database and in the
     results database.
 
-    The queue is read once and each row is expanded in place. The distinct browser databases are
-    counted first. Up to ``max_inline`` they travel as one array; a larger catalogue is cut into
-    chunks of about that size, and queue rows reach every chunk by an equi-join on its number.
+    The distinct browser databases travel as one array, from a subquery of the same plan, and each queue row
+    is expanded in place: the queue is read once and not shuffled, whatever the number of databases.
     """
-    databases = genome.select("db").distinct()
-    count = databases.count()
-    if count <= max_inline:
-        listed = databases.agg(F.array_sort(F.collect_set("db")).alias("dbs")).scalar()
-        chunked = queue.select("uid", F.lit(0).alias("chunk")).withColumn("dbs", listed)
-    else:
-        chunks = -(-count // max_inline)
-        by_chunk = databases.withColumn("chunk", F.pmod(F.xxhash64("db"), F.lit(chunks)).cast("int"))
-        by_chunk = by_chunk.groupBy("chunk").agg(F.array_sort(F.collect_set("db")).alias("dbs"))
-        reach = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")
-        chunked = queue.select("uid", reach).join(by_chunk, "chunk", "left")
+    listed = genome.select("db").distinct().agg(F.array_sort(F.collect_set("db")).alias("dbs")).scalar()
     browser_groups = (("table", fixed.BROWSER_TABLE_SUFFIXES), ("view", fixed.BROWSER_VIEW_SUFFIXES))
     result_groups = (("table", fixed.RESULT_TABLE_SUFFIXES), ("view", fixed.RESULT_VIEW_SUFFIXES))
-    no_databases = F.array().cast("array<string>")
-    # the results database follows the browser databases of the first chunk, as a null
-    results_place = F.when(F.col("chunk") == 0, F.array(F.lit(None).cast("string"))).otherwise(no_databases)
-    per_database = chunked.withColumn("s", settings_row(settings)).select(
+    # the results database follows the browser databases, as a null
+    every = F.concat(F.coalesce("dbs", F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))
+    per_database = queue.select("uid").withColumn("dbs", listed).withColumn("s", settings_row(settings)).select(
         "uid", text.browser_name(F.col("uid")).alias("browser_uid"), F.col("s.experimentsdb").alias("results_db"),
-        F.explode(F.concat(F.coalesce("dbs", no_databases), results_place)).alias("db"),
+        F.explode(every).alias("db"),
     )
     in_results = _objects(F.col("results_db"), F.col("uid"), result_groups)
     in_browser = _objects(F.col("db"), F.col("browser_uid"), browser_groups)

@@ -9,6 +9,10 @@ from seqtables import fixed
 from seqtables.functions import text
 
 
+# length of the pieces by which file names are looked up
+PIECE = 8
+
+
 def download_queue(labdata: DataFrame) -> DataFrame:
     """Experiments waiting for their first download. Works on a stream as well."""
     return labdata.filter(
@@ -89,28 +93,31 @@ def copy_sources(dim: DataFrame) -> DataFrame:
 def local_files(experiments: DataFrame, paths: DataFrame) -> DataFrame:
     """Uploaded files whose name contains an experiment's url: skip none, use one or two, else error.
 
-    The containment test runs as an equi-join. File names are at most 255 characters, so each name
-    is cut into its substrings of just those lengths that some url has, and these are joined with
-    the distinct urls. Every joined row is a match, whatever the urls share. Matches are folded to
-    count, first and last name before they meet the experiments, so a url shared by many
-    experiments or files costs one row.
+    The containment test runs as an equi-join on pieces of ``PIECE`` characters (a shorter url is one piece). Each
+    url is looked up by its piece that is rarest among the urls, each name by all its pieces, and a pair that
+    meets is compared at that place. So urls and names of any length take part, and a name makes one short row for each of
+    its characters and each piece length in use. Matches are folded to count, first and last name before they meet the
+    experiments, so a url shared by many experiments or files costs one row.
     """
     local = experiments.filter((F.col("url") != "") & (route(F.col("url")) == "local")).select("uid", "url")
+    size = F.least(F.length("url"), F.lit(PIECE))
     urls = local.select("url").distinct()
-    # at most 255 lengths can match a file name
-    lengths = urls.filter(F.length("url") <= 255).agg(
-        F.array_sort(F.collect_set(F.length("url"))).alias("lengths")
-    ).scalar()
-    name = F.col("name")
+    cut = urls.select("url", size.alias("size"), F.explode(F.sequence(F.lit(1), F.length("url") - size + 1)).alias("at"))
+    cut = cut.withColumn("piece", F.expr("substring(url, at, size)"))
+    common = cut.groupBy("piece").agg(F.count("*").alias("n"))
+    keys = cut.join(common, "piece").groupBy("url").agg(
+        F.min_by(F.struct("piece", "at"), F.struct("n", "at")).alias("key")).select("url", "key.piece", "key.at")
+    sizes = urls.agg(F.array_sort(F.collect_set(size)).alias("sizes")).scalar()
     pieces = F.flatten(F.transform(
-        F.filter(F.col("lengths"), lambda n: n <= F.length(name)),
-        lambda n: F.transform(F.sequence(F.lit(1), F.length(name) - n + 1), lambda i: F.substring(name, i, n)),
-    ))
+        F.filter(F.col("sizes"), lambda n: n <= F.length("name")),
+        lambda n: F.transform(F.sequence(F.lit(1), F.length("name") - n + 1),
+                              lambda i: F.struct(i.alias("place"), F.substring(F.col("name"), i, n).alias("piece")))))
+    names = paths.select("path", text.base_name(F.col("path")).alias("name")).withColumn("sizes", sizes)
     found = (
-        paths.select("path", text.base_name(F.col("path")).alias("name"))
-        .withColumn("lengths", lengths)
-        .select("path", F.explode(F.array_distinct(pieces)).alias("url"))
-        .join(urls, "url")
+        names.select("path", "name", F.inline(pieces))
+        .join(keys, "piece")
+        .filter(F.expr("place >= at and substring(name, place - at + 1, length(url)) = url"))
+        .select("url", "path").distinct()
         .groupBy("url")
         .agg(F.count("*").alias("n_files"), F.min("path").alias("first"), F.max("path").alias("last"))
     )

@@ -330,36 +330,42 @@ _add("status_latest_stream", "status_events", _LATEST)
 _add("queue_claim", "labdata", """
 select uid, url, 1 as attempt, 'download' as job, 'trig__' || uid || '__' || sha256('download:' || uid || ':1') as run_id
 from labdata where libstatus = 0 and deleted = 0 and url is not null and url <> ''""")
-_add("lifecycle_next", "labdata_full experimenttype fastq_files lifecycle_log job_results", f"""
-select l.uid, s.step as event,
-  case s.step when 'queued' then 1 when 'downloaded' then 10 when 'started' then 11 when 'completed' then 12
-    when 'failed' then 2010 when 'reprocess' then 10 else l.libstatus end as libstatus,
-  case s.step when 'downloaded' then 'downloaded' when 'started' then 'Analysing'
-    when 'completed' then 'Complete:upgraded' when 'failed' then 'Fail:' || replace(s.message, '''', '"')
-    when 'reprocess' then 'Ready to be reanalyzed' when 'delete' then 'Deleted' else l.libstatustxt end as libstatustxt,
-  case s.step when 'delete' then 2 when 'queued' then 0 else l.deleted end as deleted,
-  case when s.step in ('started', 'reprocess') then 0 else l.forcerun end as forcerun,
-  case when s.step = 'started' then timestamp '{CLOCK}' end as dateanalyzes,
-  case when s.step = 'started' then coalesce(l.dateanalyzed, timestamp '{CLOCK}') else l.dateanalyzed end as dateanalyzed,
-  case when s.step in ('completed', 'failed') then timestamp '{CLOCK}' end as dateanalyzee,
-  case when s.step = 'delete' then '{CLOCK[:10]}' end as datedel,
-  case when s.step in ('completed', 'failed') then n.params else l.params end as params,
-  case when s.step = 'reprocess' then 0 else l.tagstotal end as tagstotal,
-  case when s.step = 'reprocess' then 0 else l.tagsmapped end as tagsmapped,
-  case when s.step = 'reprocess' then 0 else l.tagsribo end as tagsribo,
-  case when s.step = 'reprocess' then 0 else l.tagssuppressed end as tagssuppressed,
-  case when s.step = 'reprocess' then 0 else l.tagsused end as tagsused
-from labdata_full l left join steps s on s.uid = l.uid left join new_params n on n.uid = l.uid""",
-     _PRESENT + ", " + _PARAMS + """, logged as (
-select uid, event, message from (
-  select *, row_number() over (partition by uid order by ts desc, event_id desc) as n from lifecycle_log) where n = 1),
-steps as (
-select l.uid, case
-    when r.uid is not null then r.action
-    when l.libstatus = 0 and l.deleted = 0 and l.url <> '' then 'queued'
-    when g.event = 'queued' then null
-    else g.event end as step, g.message
-from labdata_full l left join ready r on r.uid = l.uid left join logged g on g.uid = l.uid)
+_add("lifecycle_next", "labdata_full experimenttype fastq_files lifecycle_log job_results", """
+select l.uid, s.event, s.applied_ts, s.applied_id, coalesce(s.status, l.libstatus) as libstatus,
+  coalesce(s.txt, l.libstatustxt) as libstatustxt, coalesce(s.deleted, l.deleted) as deleted,
+  case when s.runs then 0 else l.forcerun end as forcerun, s.last_start as dateanalyzes,
+  coalesce(l.dateanalyzed, s.first_start) as dateanalyzed, s.last_end as dateanalyzee,
+  strftime(s.gone, '%Y-%m-%d') as datedel,
+  case when s.last_end is not null then coalesce(n.params, l.params) else l.params end as params,
+  case when s.reset then 0 else l.tagstotal end as tagstotal,
+  case when s.reset then 0 else l.tagsmapped end as tagsmapped,
+  case when s.reset then 0 else l.tagsribo end as tagsribo,
+  case when s.reset then 0 else l.tagssuppressed end as tagssuppressed,
+  case when s.reset then 0 else l.tagsused end as tagsused
+from labdata_full l left join replayed s on s.uid = l.uid left join new_params n on n.uid = l.uid""",
+     _PRESENT + ", " + _PARAMS + f""", happened as (
+select uid, ts, event_id, event, message from lifecycle_log
+union all select uid, timestamp '{CLOCK}', null, action, null from ready
+union all select uid, timestamp '{CLOCK}', null, 'queued', null from labdata_full
+  where libstatus = 0 and deleted = 0 and url <> ''),
+ordered as (
+select h.*, row_number() over (partition by h.uid order by h.ts, h.event_id nulls last) as turn
+from happened h join labdata_full l on l.uid = h.uid
+where h.event <> 'queued' or (l.libstatus = 0 and l.deleted = 0 and l.url <> '')),
+replayed as (
+select uid, arg_max(event, turn) as event,
+  arg_max(case event when 'queued' then 1 when 'downloaded' then 10 when 'started' then 11 when 'completed' then 12
+    when 'failed' then 2010 else 10 end, turn) filter (event <> 'delete') as status,
+  arg_max(case event when 'downloaded' then 'downloaded' when 'started' then 'Analysing'
+    when 'completed' then 'Complete:upgraded' when 'failed' then 'Fail:' || replace(message, '''', '"')
+    when 'reprocess' then 'Ready to be reanalyzed' else 'Deleted' end, turn) filter (event <> 'queued') as txt,
+  arg_max(case event when 'queued' then 0 else 2 end, turn) filter (event in ('queued', 'delete')) as deleted,
+  bool_or(event in ('started', 'reprocess')) as runs, bool_or(event = 'reprocess') as reset,
+  max(ts) filter (event = 'started') as last_start, min(ts) filter (event = 'started') as first_start,
+  max(ts) filter (event in ('completed', 'failed')) as last_end, max(ts) filter (event = 'delete') as gone,
+  arg_max(ts, turn) filter (event_id is not null) as applied_ts,
+  arg_max(event_id, turn) filter (event_id is not null) as applied_id
+from ordered group by uid)
 """)
 _add("apply_metrics", "labdata_full stat_tokens fragment_tokens experimenttype", """
 select l.uid, c.tagstotal, c.tagsmapped, c.tagsribo, c.tagssuppressed, c.tagsused,

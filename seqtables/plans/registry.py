@@ -251,13 +251,13 @@ def status_latest(spark, sf):
 @query
 def lifecycle_next(spark, sf):
     t = lambda name: table(spark, sf, name)
+    clock = F.lit(CLOCK).cast("timestamp_ntz")
     events = lifecycle.pending_events(
-        t("lifecycle_log"), queues.download_queue(t("labdata")), _ready(spark, sf))
+        t("lifecycle_log"), queues.download_queue(t("labdata")), _ready(spark, sf), clock)
     new_params = experiments.result_params(t("labdata"), t("job_results"))
-    clock = F.lit(CLOCK).cast("timestamp_ntz")
-    after = lifecycle.lifecycle_next(t("labdata_full"), events.join(new_params, "uid", "left"), clock)
+    after = lifecycle.lifecycle_next(t("labdata_full"), events.join(new_params, "uid", "left"))
     return after.select(
-        "uid", "event", "libstatus", "libstatustxt", "deleted", "forcerun", "dateanalyzes", "dateanalyzed",
+        "uid", "event", "applied_ts", "applied_id", "libstatus", "libstatustxt", "deleted", "forcerun", "dateanalyzes", "dateanalyzed",
         "dateanalyzee", F.col("datedel").cast("string").alias("datedel"), "params", *lifecycle.COUNTERS)
 
 

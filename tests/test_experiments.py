@@ -133,14 +133,18 @@ def test_manifest_of_unknown_rule_has_no_path(rows):
         (0, "upload_get_stat", "/w/raw/u-1/u-1.stat"), (1, "nothing", None)}
 
 
-def test_cleanup_with_many_databases_equals_inline(rows):
+def test_cleanup_lists_every_database_and_plans_without_a_job(spark, rows):
     queue = rows([("a-1",), ("b",)], "uid string")
-    genome = rows([(i, f"db{i % 7}") for i in range(20)], "id int, db string")
+    genome = rows([(i, f"db{i % 1500}") for i in range(3000)], "id int, db string")
     settings = rows(SETTINGS, "k string, v string")
-    inline = {tuple(r) for r in manifests.cleanup_manifest(queue, genome, settings).collect()}
-    chunked = manifests.cleanup_manifest(queue, genome, settings, max_inline=2).collect()
-    assert {tuple(r) for r in chunked} == inline and len(chunked) == len(inline) == 2 * (7 * 6 + 8)
-    assert ("a-1", "db0", "a_1_islands", "view") in inline and ("a-1", "exps", "a-1_atdph", "table") in inline
+    spark.sparkContext.setJobGroup("planning", "clean-up list")
+    planned = manifests.cleanup_manifest(queue, genome, settings)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = planned.collect()
+    found = {tuple(r) for r in got}
+    assert len(found) == len(got) == 2 * (1500 * 6 + 8)
+    assert ("a-1", "db0", "a_1_islands", "view") in found and ("a-1", "exps", "a-1_atdph", "table") in found
 
 
 def test_catalogue_upsert(spark, rows):

@@ -9,14 +9,15 @@ NOW = dt.datetime(2026, 1, 1)
 LAB = ("uid string, libstatus int, libstatustxt string, deleted int, forcerun int, url string, params string, "
        "dateanalyzed timestamp_ntz, tagstotal bigint, tagsmapped bigint, tagsribo bigint, tagssuppressed bigint, tagsused bigint")
 
+EVENTS = "uid string, ts timestamp_ntz, event_id bigint, event string, message string, params string"
+
 
 def row(uid, libstatus=0, deleted=0, forcerun=0, url="x", analyzed=None):
     return (uid, libstatus, "old", deleted, forcerun, url, "{}", analyzed, 1, 2, 3, 4, 5)
 
 
 def after(rows, lab_row, event, message=None, params=None):
-    events = rows([(lab_row[0], event, message, params)], "uid string, event string, message string, params string")
-    return lifecycle.lifecycle_next(rows([lab_row], LAB), events, F.lit("2026-01-01").cast("timestamp_ntz")).first()
+    return lifecycle.lifecycle_next(rows([lab_row], LAB), rows([(lab_row[0], NOW, 1, event, message, params)], EVENTS)).first()
 
 
 @pytest.mark.parametrize("event,lab,status,text", [
@@ -55,14 +56,40 @@ def test_other_columns(rows):
     assert after(rows, row("a"), "unknown").libstatus == 0
 
 
-def test_pending_prefers_decisions_then_last_event(rows):
-    log = rows([("a", dt.datetime(2024, 1, 2), 1, "started", "x"), ("a", dt.datetime(2024, 1, 1), 9, "failed", None),
-                ("b", dt.datetime(2024, 1, 1), 3, "started", None), ("b", dt.datetime(2024, 1, 1), 4, "completed", None),
-                ("c", dt.datetime(2024, 1, 1), 5, "started", None)],
+def at(day):
+    return dt.datetime(2024, 1, day)
+
+
+def test_all_events_of_an_experiment_apply_once(rows):
+    log = [("a", at(1), 1, "downloaded", None, None), ("a", at(2), 2, "started", None, None),
+           ("a", at(3), 3, "completed", None, '{"x":1}'), ("b", at(2), 5, "failed", "it's", None), ("b", at(2), 4, "started", None, None)]
+    lab = rows([row("a", 1, forcerun=1), row("b", 10), row("c", 12)], LAB)
+    once = lifecycle.lifecycle_next(lab, rows(log, EVENTS))
+    got = {r.uid: r for r in once.collect()}
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a.libstatus, a.libstatustxt, a.forcerun, a.params) == (12, "Complete:upgraded", 0, '{"x":1}')
+    assert (a.dateanalyzes, a.dateanalyzed, a.dateanalyzee) == (at(2), at(2), at(3))
+    assert (b.libstatus, b.libstatustxt, b.dateanalyzes) == (2010, 'Fail:it"s', at(2))
+    assert c.event is None and c.libstatustxt == "old"
+    assert (a.applied_ts, a.applied_id, c.applied_id) == (at(3), 3, None)
+    again = {r.uid: r for r in lifecycle.lifecycle_next(once.drop("event"), rows(log, EVENTS)).collect()}
+    assert all(again[u].event is None and again[u].asDict() | {"event": 0} == got[u].asDict() | {"event": 0} for u in got)
+    more = rows([*log, ("a", at(3), 6, "started", None, None)], EVENTS)
+    later = {r.uid: r for r in lifecycle.lifecycle_next(once.drop("event"), more).collect()}
+    assert (later["a"].libstatus, later["a"].dateanalyzed, later["a"].applied_id) == (11, at(2), 6)
+
+
+def test_decisions_stand_at_their_own_time(rows):
+    log = rows([("a", at(2), 1, "failed", None), ("b", at(1), 2, "started", None)],
                "uid string, ts timestamp_ntz, event_id bigint, event string, message string")
-    got = lifecycle.pending_events(log, rows([("c",)], "uid string"), rows([("d", "delete")], "uid string, action string"))
-    assert {(r.uid, r.event, r.message) for r in got.collect()} == {
-        ("a", "started", "x"), ("b", "completed", None), ("c", "queued", None), ("d", "delete", None)}
+    ready = rows([("a", "delete", at(1)), ("d", "delete", at(3))], "uid string, action string, ts timestamp")
+    events = lifecycle.pending_events(log, rows([("c",)], "uid string"), ready, F.lit("2026-01-01").cast("timestamp_ntz"))
+    assert {(r.uid, r.event, r.ts) for r in events.collect()} == {
+        ("a", "failed", at(2)), ("b", "started", at(1)), ("c", "queued", NOW), ("a", "delete", at(1)), ("d", "delete", at(3))}
+    lab = rows([row("a", 11, deleted=1), row("b", 10), row("c", 0), row("d", 12, deleted=1)], LAB)
+    got = {r.uid: r for r in lifecycle.lifecycle_next(lab, events).collect()}
+    assert (got["a"].libstatus, got["a"].deleted, got["a"].libstatustxt) == (2010, 2, "Fail:")
+    assert (got["c"].libstatus, got["d"].deleted, got["d"].datedel) == (1, 2, at(3).date())
 
 
 def test_metrics_keep_old_values(rows):

@@ -63,6 +63,16 @@ def test_local_files_equal_brute_force(rows):
         assert r.mate_2 == (hits[1] if len(hits) == 2 else None)
 
 
+def test_local_files_of_any_length(rows):
+    long = "lane_" + "x" * 295
+    shared = "sample_of_the_shared_run_"
+    urls = [("long", long)] + [(f"e{i}", f"{shared}{i:04d}") for i in range(200)]
+    paths = [(f"/up/{long}_R1.gz",)] + [(f"/up/{shared}{i:04d}_R{m}.gz",) for i in range(0, 200, 2) for m in (1, 2)]
+    got = {r.uid: r for r in queues.local_files(rows(urls, "uid string, url string"), rows(paths, "path string")).collect()}
+    assert (got["long"].action, got["long"].mate_1) == ("use", paths[0][0])
+    assert all(got[f"e{i}"].n_files == (0 if i % 2 else 2) for i in range(200))
+
+
 def test_files_present(rows):
     kinds = {"a": 1, "b": 2, "c": 2, "d": 1, "e": 2, "f": 9}
     queue = rows([(u, "delete" if u == "e" else "reprocess", k, 1) for u, k in kinds.items()]

@@ -39,11 +39,20 @@ def test_status_log_folds_to_the_batch_result(spark, rows, tmp_path):
         rows(batch, EVENTS).write.mode("append").parquet(src)
         jobs.append_status_log(stream(spark, src, EVENTS), out, ck).awaitTermination()
     log = spark.read.parquet(out)
-    assert log.count() == 5
+    assert {r.event_id for r in log.collect()} == {1, 2, 3, 4, 5}
     latest = lambda df: {tuple(r) for r in lifecycle.status_latest(df).collect()}
     assert latest(log) == latest(rows(first + second, EVENTS)) == {("a", 11, 4), ("b", 12, 3), ("c", 0, 5)}
 
 
+def test_an_event_months_late_reaches_the_log(spark, rows, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    when = lambda m, d: dt.datetime(2024, m, d)
+    for batch in ([("a", when(3, 1), 1, 0)], [("a", when(3, 2), 2, 10)], [("late", when(1, 1), 3, 12)]):
+        rows(batch, EVENTS).write.mode("append").parquet(src)
+        jobs.append_status_log(stream(spark, src, EVENTS), out, ck).awaitTermination()
+    assert {tuple(r) for r in lifecycle.status_latest(spark.read.parquet(out)).collect()} == {("a", 10, 2), ("late", 12, 3)}
+
+
 def test_status_fold_runs_on_a_stream(spark, rows, tmp_path):
     src = str(tmp_path / "src")
     data = [("a", dt.datetime(2024, 1, 1), i, i) for i in range(5)]
