@@ -320,6 +320,9 @@ select uid, kind, job, prefix || '__' || uid || '__' || sha256(job || ':' || uid
   union all
   select uid, 'plugin', job, 'trig' from plugins where libstatus = 12)""", _PRESENT + ", " + _PLUGINS)
 
+_SIZES = "sizes as (select uid, sum(length) / 1024 as size from (select distinct * from file_listing) group by uid)"
+_add("footprint_kib", "file_listing", "select uid, size from sizes", _SIZES)
+
 # --- state ---------------------------------------------------------------------------------
 
 _LATEST = """
@@ -367,13 +370,14 @@ select uid, arg_max(event, turn) as event,
   arg_max(event_id, turn) filter (event_id is not null) as applied_id
 from ordered group by uid)
 """)
-_add("apply_metrics", "labdata_full stat_tokens fragment_tokens experimenttype", """
+_add("apply_metrics", "labdata_full stat_tokens fragment_tokens experimenttype file_listing", """
 select l.uid, c.tagstotal, c.tagsmapped, c.tagsribo, c.tagssuppressed, c.tagsused,
   case when e.etype like '%DNA%' then f.fragmentsize else l.fragmentsize end as fragmentsize,
   case when e.etype like '%DNA%' then f.fragmentsizeest else l.fragmentsizeest end as fragmentsizeest,
-  case when e.etype like '%DNA%' then f.islandcount else l.islandcount end as islandcount, l.size
+  case when e.etype like '%DNA%' then f.islandcount else l.islandcount end as islandcount, coalesce(z.size, l.size) as size
 from labdata_full l join experimenttype e on e.id = l.experimenttype_id
-join counts c on c.uid = l.uid join frag f on f.uid = l.uid""", _STAT + ", " + _FRAGMENT)
+join counts c on c.uid = l.uid join frag f on f.uid = l.uid left join sizes z on z.uid = l.uid""",
+     _STAT + ", " + _FRAGMENT + ", " + _SIZES)
 
 
 def _catalogue() -> str:

@@ -269,7 +269,8 @@ def apply_metrics(spark, sf):
     dna = t("labdata").join(t("upload_rules").filter("upload_rules like '%fragment_stat%'"), "experimenttype_id")
     fragment = readers.accepted(readers.fragment_stat(
         t("fragment_tokens").join(dna.select("uid"), "uid").select("uid", F.col("body").alias("value"))))
-    return lifecycle.apply_metrics(t("labdata_full"), stat, fragment).select("uid", *lifecycle.METRICS)
+    sizes = storage.footprint_kib(t("file_listing"))
+    return lifecycle.apply_metrics(t("labdata_full"), stat, fragment, sizes).select("uid", *lifecycle.METRICS)
 
 
 @query
@@ -291,7 +292,7 @@ def replace_partition(spark, sf):
 
 @query
 def footprint_kib(spark, sf):
-    return storage.footprint_kib(spark, sf, r"([^/]+)\.parquet")
+    return storage.footprint_kib(table(spark, sf, "file_listing"))
 
 
 # --- FASTQ ---------------------------------------------------------------------------------

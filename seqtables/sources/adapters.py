@@ -142,6 +142,16 @@ select concat('exp-', cast(user_id as string)) as uid, ts, event_id,
     when 'purchase' then 'completed' else 'failed' end as event,
   case when event_type = 'error' then concat('can''t read ', cast(event_id as string)) else null end as message
 from events""",
+    "file_listing": """
+select concat('exp-', cast(doc_id % 50 as string)) as uid,
+  concat('/wardrobe/raw/exp-', cast(doc_id % 50 as string), '/', source, '_', cast(doc_id as string), '.bin') as path,
+  cast(n_chars as bigint) as length
+from documents
+union all
+select concat('exp-', cast(doc_id % 50 as string)),
+  concat('/wardrobe/raw/exp-', cast(doc_id % 50 as string), '/', source, '_', cast(doc_id as string), '.bin'),
+  cast(n_chars as bigint)
+from documents where doc_id % 10 = 3""",
     "local_paths": """
 select concat('/wardrobe/upload/lane', cast(n_nationkey as string), '_sample_R1.fastq.gz') as path from nation
 union all

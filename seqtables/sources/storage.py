@@ -52,14 +52,21 @@ def write_lines(lines: DataFrame, path: str, *keys: str) -> None:
     )
 
 
-def footprint_kib(spark: SparkSession, path: str, uid_pattern: str) -> DataFrame:
-    """File sizes below ``path`` summed per experiment, in KiB. File contents are not read.
+def listing(spark: SparkSession, path: str, uid_pattern: str) -> DataFrame:
+    """uid, path and length of the files below ``path``; their contents are not read.
 
-    ``uid_pattern`` is a regular expression over the file path whose first group is the uid.
+    ``uid_pattern`` is a regular expression over the file path whose first group is the uid. The index of a
+    folder is built in the driver, so this is for one experiment's or one load's folders; for a whole store take its
+    inventory table, which has the same columns.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    uid = F.regexp_extract("path", uid_pattern, 1)
-    return files.select(uid.alias("uid"), "length").groupBy("uid").agg((F.sum("length") / 1024).alias("size"))
+    return files.select(F.regexp_extract("path", uid_pattern, 1).alias("uid"), "path", "length")
+
+
+def footprint_kib(files: DataFrame) -> DataFrame:
+    """File sizes summed per experiment, in KiB, from (uid, path, length). A path listed twice counts once."""
+    once = files.groupBy("uid", "path").agg(F.max("length").alias("length"))
+    return once.groupBy("uid").agg((F.sum("length") / 1024).alias("size"))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:

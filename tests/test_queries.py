@@ -7,7 +7,7 @@ from seqtables.plans.oracles import ORACLES
 from seqtables.plans.registry import QUERIES
 from tests.compare import compare, connection
 
-NO_SQL = {"footprint_kib"}
+NO_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

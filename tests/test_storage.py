@@ -41,7 +41,7 @@ def test_footprint(spark, tmp_path):
         file = tmp_path / uid / name
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_bytes(b"0" * size)
-    got = storage.footprint_kib(spark, str(tmp_path), rf"{tmp_path.name}/([^/]+)/")
+    got = storage.footprint_kib(storage.listing(spark, str(tmp_path), rf"{tmp_path.name}/([^/]+)/"))
     assert {tuple(r) for r in got.collect()} == {("a", 1.5), ("b", 100 / 1024)}
 
 
