@@ -67,11 +67,12 @@ def settings_row(settings: DataFrame) -> Column:
     """The settings the paths need as one struct, in a scalar subquery.
 
     Only the named keys are read, so the subquery's single row has a fixed width. The three base
-    folders are normalised and lose a lone trailing slash, so that parts can be appended.
+    folders lose the slashes they begin with, are normalised and lose a lone trailing slash, so that parts can be
+    appended. A folder whose setting is missing is null, and so is every path below it.
     """
     wanted = settings.filter(F.col("k").isin(*fixed.SETTING_KEYS))
     fields = [F.max(F.when(F.col("k") == key, F.col("v"))).alias(key) for key in fixed.SETTING_KEYS]
-    folders = F.array(*[F.concat_ws("/", "wardrobe", key) for key in ("preliminary", "upload", "indices")])
+    folders = F.array(*[F.concat("wardrobe", F.lit("/"), F.ltrim(F.col(key), F.lit("/"))) for key in ("preliminary", "upload", "indices")])
     return wanted.agg(*fields).select("*", text.norm_paths(folders).alias("folders")).select(
         F.struct(
             *[F.col("folders")[i].alias(name) for i, name in enumerate(("raw_data", "upload", "indices"))],
@@ -84,10 +85,12 @@ def experiment_paths(dim: DataFrame, settings: DataFrame) -> DataFrame:
     """The experiment dimension with its folder and file columns.
 
     Uids, index names and control ids are normally plain names, so joining them to the normalised
-    base folders already gives normal paths; only other rows are normalised.
+    base folders already gives normal paths; only other rows are normalised. A path with a missing part is null,
+    never a shorter one.
     """
     raw, uid, index, control = F.col("raw_data"), F.col("uid"), F.col("findex"), F.col("control_id")
-    below = lambda *parts: F.concat_ws("/", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    slashed = lambda parts: [x for p in parts for x in (F.lit("/"), F.lit(p) if isinstance(p, str) else p)][1:]
+    below = lambda *parts: F.concat(*slashed(parts))
     indices = lambda *parts: below(F.col("indices"), *parts)
     joined = {
         "fastq_file_upstream": below(raw, uid, F.concat(uid, F.lit(".fastq.bz2"))),

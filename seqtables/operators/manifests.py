@@ -26,7 +26,7 @@ def output_manifest(
         F.posexplode(F.from_json("upload_rules", "array<string>")).alias("position", "rule"),
     ).withColumn("file_name", F.try_element_at(file_names, F.col("rule")))
     raw_data, uid = F.col("s.raw_data"), F.col("uid")
-    joined = F.concat_ws("/", raw_data, uid)
+    joined = F.concat(raw_data, F.lit("/"), uid)
     folder = F.when(text.is_plain_name(uid) & (raw_data != "/"), joined).otherwise(text.norm_path(joined))
     return (
         experiments.withColumn("s", settings_row(settings)).withColumn("folder", folder)

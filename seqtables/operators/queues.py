@@ -81,9 +81,9 @@ def copy_sources(dim: DataFrame) -> DataFrame:
 
     Repeated ids count once, at their first position. Sources of another pairing are left out.
     """
-    wanted = dim.filter(route(F.col("url")) == "copy").select(
-        "uid", "pair", F.posexplode(F.array_distinct(F.split("url", " "))).alias("position", "source_text")
-    ).select("uid", "pair", "position", F.expr("try_cast(source_text as bigint)").alias("source_id"))
+    # ids are compared as numbers, so 12 and 012 are one source
+    ids = F.expr("array_distinct(transform(split(url, ' '), x -> try_cast(x as bigint)))")
+    wanted = dim.filter(route(F.col("url")) == "copy").select("uid", "pair", F.posexplode(ids).alias("position", "source_id"))
     sources = dim.select(F.col("id").alias("source_id"), F.col("uid").alias("source_uid"), "pair")
     return wanted.join(sources, ["source_id", "pair"]).select(
         "uid", "pair", F.col("position").cast("int").alias("position"), "source_id", "source_uid"

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtables import schemas
-from seqtables.sources import fastq
 
 
 def replace_experiments(rows: DataFrame, path: str, order: Sequence[str] = ()) -> None:
@@ -70,9 +69,16 @@ def footprint_kib(files: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """The FASTQ files below ``path`` as (uid, mate), from their names alone."""
+    """(uid, mate) of the read files a job is given: ``uid.fastq.bz2`` and ``uid_2.fastq.bz2`` in the folder ``uid``.
+
+    Files of other names or in other folders do not count.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(*fastq.experiment_and_mate(F.col("path"))).filter("uid <> ''")
+    name = r"/([^/]+)/\1(_2)?\.fastq\.bz2$"
+    return files.select(
+        F.regexp_extract("path", name, 1).alias("uid"),
+        F.when(F.regexp_extract("path", name, 2) == "", 1).otherwise(2).alias("mate"),
+    ).filter("uid <> ''")
 
 
 def catalogue_table(spark: SparkSession, path: str, name: str) -> DataFrame:

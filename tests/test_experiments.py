@@ -118,6 +118,16 @@ def test_paths_and_jobs(spark, rows):
     assert jobs["x/../y"]["star_indices_folder"] == {"class": "Directory", "location": "/w/idx/STAR/hg19_spike"}
 
 
+def test_a_path_with_a_missing_part_is_null(rows):
+    gone = [kv for kv in SETTINGS if kv[0] != "preliminary"]
+    manifest = lambda settings: manifests.output_manifest(
+        rows([("u-1", 1)], "uid string, experimenttype_id int"),
+        rows([(1, '["upload_get_stat"]')], "experimenttype_id int, upload_rules string"), rows(settings, "k string, v string")).first().path
+    assert manifest(gone) is None
+    slashed = [(k, f"//{v}" if k == "preliminary" else v) for k, v in SETTINGS]
+    assert manifest(slashed) == manifest(SETTINGS) == "/w/raw/u-1/u-1.stat"
+
+
 def test_missing_genome_is_reported(rows):
     got = experiments.experiment_genome(
         rows([("a", 1), ("b", 9)], "uid string, genome_id int"), rows([(1, "hg19")], "id int, db string"))

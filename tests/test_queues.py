@@ -45,6 +45,12 @@ def test_copy_sources_keep_order_drop_repeats_and_other_pairing(rows):
     assert {(r.uid, r.position, r.source_uid) for r in got.collect()} == {("a", 0, "c"), ("a", 1, "b")}
 
 
+def test_copies_compare_ids_as_numbers(rows):
+    dim = rows([(1, "a", "12 012 7", False), (12, "b", "", False), (7, "c", "", False)], "id bigint, uid string, url string, pair boolean")
+    got = queues.copy_sources(dim).orderBy("position").collect()
+    assert [(r.uid, r.source_uid) for r in got] == [("a", "b"), ("a", "c")]
+
+
 def test_local_files_equal_brute_force(rows):
     random.seed(7)
     word = lambda n: "".join(random.choice("ab_") for _ in range(random.randint(1, n)))

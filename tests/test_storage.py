@@ -58,7 +58,13 @@ def test_fastq_listing_and_lines(spark, tmp_path):
     folder.mkdir()
     for name, text in (("exp-1.fastq", "@a\nAC\n+\nII\n"), ("exp-1_2.fastq", "@b\nGT\n+\nII\n"), ("exp-1.bam", "x")):
         (folder / name).write_text(text)
+    assert storage.read_files(spark, str(tmp_path)).count() == 0
+    (tmp_path / "other").mkdir()
+    for name in ("exp-1/exp-1.fastq.bz2", "exp-1/exp-1_2.fastq.bz2", "other/exp-8.fastq.bz2", "exp-1/exp-8_2.fastq.bz2"):
+        (tmp_path / name).write_text("")
     assert {tuple(r) for r in storage.read_files(spark, str(tmp_path)).collect()} == {("exp-1", 1), ("exp-1", 2)}
+    for name in ("exp-1/exp-1.fastq.bz2", "exp-1/exp-1_2.fastq.bz2", "exp-1/exp-8_2.fastq.bz2"):
+        (tmp_path / name).rename(tmp_path / name.replace("fastq", "kept"))
     lines = fastq.experiment_lines(spark, str(folder)).filter("line_no = 1").collect()
     assert {(r.uid, r.mate, r.value) for r in lines} == {("exp-1", 1, "AC"), ("exp-1", 2, "GT")}
 
