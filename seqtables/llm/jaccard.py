@@ -3,18 +3,22 @@
 A document's set holds its distinct five-word shingles. Two documents link when 100 * common >= 75 * united.
 
 Sets are first folded to classes of equal sets. Classes meet where they share one of their first tokens in
-one order of all tokens (the most frequent ones last): two sets this alike always share one among the first
-n - ceil(0.75 n) + 1. Each token's classes are a bucket, spread over several where the token is very frequent.
+one order of all tokens, the most frequent ones last: two sets this alike always share one among the first
+n - ceil(0.75 n) + 1, whatever the order. Each token's classes are a bucket, spread over several where
+the token is very frequent.
 
-1. Every bucket's first class is compared with the others, and components are formed of the links found. Copies that
-   differ a little, however many, are one component after this.
+1. Each class is compared with the bucket leader it meets most often, and components are formed of the links found.
+   Copies that differ a little, however many, are mostly one component after this.
 2. In buckets that still hold several components a signature tree is built: leaves are the classes in order of
-   size, and each node above holds the OR of the token bitmaps below it, their size range and the
-   most tokens that share a bit. The tree is traversed against itself; a pair of nodes is dropped when its sizes are too far
-   apart, when both are of one component, or when the bits in common cannot make the overlap needed.
+   size, and each node above holds the OR of the token bitmaps below it, their size range and the most
+   tokens that share a bit. The tree is traversed against itself; a pair of nodes is dropped when its sizes are too far
+   apart, when both are of one component, or when the bits in common cannot make the overlap needed. Pairs that meet
+   in too few buckets for that overlap are dropped as well.
 
-Pairs that remain are compared on whole sets. Texts travel to the comparison by star: a star's centre is read once for
-all its partners, and stars of many partners are split.
+Pairs that remain are compared on whole sets: first the most promising one of each two components, then, where that
+gave no link, the others. Texts travel to the comparison by star: a star's centre is read once for
+all its partners, and stars of many partners are split. Lists of ids grow with the corpus, so their joins
+are merge joins at every size.
 
 Defined cases: null and wordless texts have an empty set, no links and themselves as component; a null id has no
 component (null) and no links; rows of one id are one document with every text's links; ties and repeated rows are
@@ -33,15 +37,18 @@ from seqtables.llm.components import components
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
-#: A token in this share of a task's documents is frequent and goes to the end of the order.
-FREQUENT = 0.005
+#: A token in this share of a task's documents is frequent and goes to the end of the order; one in the second share is
+#: very frequent, goes last, and its bucket is split. At most (tokens a document) / FREQUENT tokens are either.
+FREQUENT = 0.0005
+VERY_FREQUENT = 0.005
+LEAST_SEEN = 6
 CHUNK_TOKENS = 1 << 22
 SIGNATURE_BITS = 512
 SALTS = 16
 STAR_SPLITS = 32
 FANOUT = 8
 
-_TOP = np.uint64(1) << np.uint64(63)
+_TIER = np.uint64(62)
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -74,12 +81,13 @@ def class_of(tokens: np.ndarray) -> int:
     return int(signed(mixed(np.array([tokens.sum(dtype=np.uint64) + np.uint64(len(tokens))], np.uint64)))[0])
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The tokens a set must share one of with any set it links to, frequent ones marked by the top bit."""
-    ordered = tokens >> np.uint64(1)
+def prefix(tokens: np.ndarray, frequent: np.ndarray, tier: np.ndarray) -> np.ndarray:
+    """The tokens a set must share one of with any set it links to; in the top bits their tier, which leads the
+    order: 0, 1 for frequent, 3 for very frequent ones, which so are negative as signed numbers."""
+    ordered = tokens >> np.uint64(2)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        ordered = ordered | np.where(frequent[at] == tokens, _TOP, np.uint64(0))
+        ordered = ordered | np.where(frequent[at] == tokens, tier[at], np.uint64(0)) << _TIER
     n = len(tokens)
     keep = n - -(-NUMERATOR * n // DENOMINATOR) + 1
     return np.partition(ordered, keep - 1)[:keep] if keep < n else ordered
@@ -92,7 +100,7 @@ def signature(tokens: np.ndarray) -> np.ndarray:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """A row per document (doc_id, n, class) and rows of tokens frequent somewhere (token)."""
+    """A row per document (doc_id, n, class, bits) and rows of tokens frequent somewhere (token, and as n its tier)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def describe(batches):
@@ -100,10 +108,12 @@ def _described(docs: DataFrame) -> DataFrame:
 
         def frequent():
             token, n = np.unique(np.concatenate(chunk), return_counts=True)
-            token = token[n >= max(8, FREQUENT * rows)]
+            some = n >= max(LEAST_SEEN, FREQUENT * rows)
+            token, n = token[some], n[some]
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(token), arrow_id), pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.int64()), pa.array(signed(token))],
-                ["doc_id", "n", "class", "token"])
+                [pa.nulls(len(token), arrow_id), pa.array(np.where(n >= VERY_FREQUENT * rows, 3, 1), pa.int64()),
+                 pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.binary()), pa.array(signed(token))],
+                ["doc_id", "n", "class", "bits", "token"])
 
         for batch in batches:
             arrow_id = batch.column("doc_id").type
@@ -111,8 +121,9 @@ def _described(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([class_of(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int64())],
-                    ["doc_id", "n", "class", "token"])
+                     pa.array([class_of(s) for s in sets], pa.int64()), pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                     pa.nulls(len(sets), pa.int64())],
+                    ["doc_id", "n", "class", "bits", "token"])
                 chunk += sets
                 held, rows = held + sum(map(len, sets)), rows + len(sets)
                 if held >= CHUNK_TOKENS:
@@ -121,10 +132,10 @@ def _described(docs: DataFrame) -> DataFrame:
         if chunk:
             yield frequent()
 
-    return saved(docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, class long, token long"), "sets")
+    return saved(docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, class long, bits binary, token long"), "sets")
 
 
-def _prefix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _prefix_rows(docs: DataFrame, frequent: np.ndarray, tier: np.ndarray) -> DataFrame:
     """token, salt, rep (an id of the class), class and size, for the first document of each class in each task."""
     def emit(batches):
         seen: set[int] = set()
@@ -137,7 +148,7 @@ def _prefix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(number)
-                    first = prefix(tokens, frequent)
+                    first = prefix(tokens, frequent, tier)
                     token.append(first)
                     rep.append(np.full(len(first), doc, np.int64))
                     cls.append(np.full(len(first), number, np.int64))
@@ -187,20 +198,36 @@ _NEAR_SIZES = f"{DENOMINATOR} * least(n_a, n_b) >= {NUMERATOR} * greatest(n_a, n
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Every class with its bucket's hub, and the hubs of a frequent token's buckets with one of them."""
+    """Each class with the hub it meets most often (also the hubs of a very frequent token's buckets with one of them).
+
+    This only finds most links cheaply: what it leaves is met again in the second step.
+    """
     stars = buckets.filter("class <> hub_class").select(
         F.col("hub_rep").alias("rep_a"), F.col("hub_class").alias("a"), F.col("hub_n").alias("n_a"),
         F.col("rep").alias("rep_b"), F.col("class").alias("b"), F.col("n").alias("n_b"))
     hubs = buckets.filter("token < 0").select("token", "hub_rep", "hub_class", "hub_n").distinct()
     first = hubs.groupBy("token").agg(F.min(F.struct("hub_rep", "hub_class", "hub_n")).alias("first"))
-    between = hubs.join(first, "token").filter("hub_class <> first.hub_class").select(
+    between = hubs.join(first.hint("merge"), "token").filter("hub_class <> first.hub_class").select(
         F.col("first.hub_rep").alias("rep_a"), F.col("first.hub_class").alias("a"), F.col("first.hub_n").alias("n_a"),
         F.col("hub_rep").alias("rep_b"), F.col("hub_class").alias("b"), F.col("hub_n").alias("n_b"))
-    return _distinct(stars.unionByName(between).filter(_NEAR_SIZES))
+    met = (stars.unionByName(between).filter(_NEAR_SIZES).groupBy("b", "a")
+           .agg(F.min("rep_a").alias("rep_a"), F.min("rep_b").alias("rep_b"), F.min("n_b").alias("n"), F.count("*").alias("shared")))
+    best = met.groupBy("b").agg(F.max(F.struct("shared", F.negative("rep_a").alias("_last"), "a", "rep_a", "rep_b", "n")).alias("best"))
+    # a hub met at under a twentieth of the tokens is rather one that shares a passage
+    return saved(best.filter("best.shared * 20 >= best.n").select("best.a", "b", "best.rep_a", "best.rep_b"), "pairs")
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(F.min("rep_a").alias("rep_a"), F.min("rep_b").alias("rep_b"))
+    """Each pair once, if it shares enough first tokens.
+
+    Of the set whose first tokens end first, every common token up to that end is among both sets' first tokens, and
+    the set has ceil(0.75 n) - 1 others. So linked sets share at least the overlap needed less that many.
+    """
+    rest = lambda n: f"ceil({NUMERATOR} * {n} / {DENOMINATOR}) - 1"
+    enough = f"shared + greatest({rest('n_a')}, {rest('n_b')}) >= {NUMERATOR} * (n_a + n_b) / {NUMERATOR + DENOMINATOR} - 1e-6"
+    counted = pairs.groupBy("a", "b").agg(F.min("rep_a").alias("rep_a"), F.min("rep_b").alias("rep_b"), F.min("n_a").alias("n_a"),
+                                          F.min("n_b").alias("n_b"), F.count("*").alias("shared"))
+    return saved(counted.filter(enough).select("a", "b", "rep_a", "rep_b", "shared"), "pairs")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -210,7 +237,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     centres = pairs.groupBy("a", "split").agg(F.min("rep_a").alias("rep")).select("rep", F.col("a").alias("class"), F.col("a").alias("star"), "split", F.lit(0).alias("role"))
     rims = pairs.select(F.col("rep_b").alias("rep"), F.col("b").alias("class"), F.col("a").alias("star"), "split", F.lit(1).alias("role"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").filter("rep is not null")
-    sent = centres.unionByName(rims).join(texts, "rep")
+    sent = centres.unionByName(rims).hint("merge").join(texts, "rep")
     stars = sent.repartition(parts, "star", "split").sortWithinPartitions("star", "split", "role", "class")
 
     def compare(batches):
@@ -233,130 +260,177 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return saved(stars.select("star", "split", "role", "class", "text").mapInArrow(compare, "a long, b long").distinct(), "verified")
 
 
-class _Node:
-    """A run of a bucket's classes in order of size."""
+#: the least overlap of linked sets, as a share of the sum of their sizes
+_SHARE = NUMERATOR / (NUMERATOR + DENOMINATOR)
+_ONES = np.array([bin(i).count("1") for i in range(256)], np.int32)
 
-    __slots__ = ("begin", "end", "bits", "least", "most", "doubled", "component", "children")
 
-    def __init__(self, begin, end, bits, least, most, doubled, component, children):
-        self.begin, self.end, self.bits, self.least, self.most = begin, end, bits, least, most
-        self.doubled, self.component, self.children = doubled, component, children
+#: no component has this number, as they are hashes; node pairs handled at once
+_SEVERAL = np.iinfo(np.int64).min
+_AT_ONCE = 1 << 14
 
 
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.int32)
+def possible(i, j, sizes, bits, doubled, component):
+    """Of the pairs i, j (sizes rising from i to j) those of different components that may overlap enough."""
+    ok = (component[i] != component[j]) & (DENOMINATOR * sizes[i] >= NUMERATOR * sizes[j])
+    i, j = i[ok], j[ok]
+    bound = _ONES[bits[i] & bits[j]].sum(axis=1) + np.minimum(doubled[i], doubled[j])
+    ok = bound >= _SHARE * (sizes[i] + sizes[j]) - 1e-6
+    return i[ok], j[ok]
+
+
+def _levels(sizes, bits, doubled, component) -> list[tuple]:
+    """The tree from its rows up: bits, least and most size, most doubled, and the component where there is one only."""
+    levels = [(bits, sizes, sizes, doubled, component)]
+    while len(levels[-1][0]) > 1:
+        below, least, most, twice, own = levels[-1]
+        heads = np.arange(0, len(below), FANOUT)
+        low, high = np.minimum.reduceat(own, heads), np.maximum.reduceat(own, heads)
+        levels.append((np.bitwise_or.reduceat(below, heads, axis=0), np.minimum.reduceat(least, heads), np.maximum.reduceat(most, heads),
+                       np.maximum.reduceat(twice, heads), np.where((low == high) & (low != _SEVERAL), low, _SEVERAL)))
+    return levels
 
 
 def tree_pairs(sizes: np.ndarray, bits: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components that may overlap enough. sizes ascending; bits: a packed row for each."""
-    doubled = sizes - _ONES[bits].sum(axis=1)
-    level = []
-    for b in range(0, len(sizes), FANOUT):
-        e = min(b + FANOUT, len(sizes))
-        same = component[b] if (component[b:e] == component[b]).all() else None
-        level.append(_Node(b, e, np.bitwise_or.reduce(bits[b:e]), sizes[b], sizes[e - 1], doubled[b:e].max(), same, []))
-    while len(level) > 1:
-        above = []
-        for i in range(0, len(level), FANOUT):
-            some = level[i:i + FANOUT]
-            same = some[0].component if all(x.component == some[0].component for x in some) else None
-            above.append(_Node(some[0].begin, some[-1].end, np.bitwise_or.reduce([x.bits for x in some]), some[0].least,
-                               some[-1].most, max(x.doubled for x in some), same, some))
-        level = above
+    """Pairs of different components that may overlap enough. sizes ascending; bits: a packed row for each.
+
+    The tree is traversed against itself level by level, all node pairs of a level in one go.
+    """
+    levels = _levels(sizes, bits, sizes - _ONES[bits].sum(axis=1), component)
     left, right = [], []
-    stack = [(level[0], level[0])] if level else []
-    share = NUMERATOR / (NUMERATOR + DENOMINATOR)
+    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    step = np.arange(FANOUT)
     while stack:
-        x, y = stack.pop()  # x stands before y, or is y
-        if DENOMINATOR * x.most < NUMERATOR * y.least or (x.component is not None and x.component == y.component):
+        depth, x, y = stack.pop()
+        if len(x) > _AT_ONCE:
+            stack += [(depth, x[k:k + _AT_ONCE], y[k:k + _AT_ONCE]) for k in range(0, len(x), _AT_ONCE)]
             continue
-        if x is not y and _ONES[x.bits & y.bits].sum() + min(x.doubled, y.doubled) < share * (x.least + y.least) - 1e-6:
-            continue
-        if x.children or y.children:
-            if x is y:
-                stack += [(c, d) for i, c in enumerate(x.children) for d in x.children[i:]]
-            elif x.children and (not y.children or x.end - x.begin >= y.end - y.begin):
-                stack += [(c, y) for c in x.children]
-            else:
-                stack += [(x, c) for c in y.children]
-            continue
-        i, j = np.meshgrid(np.arange(x.begin, x.end), np.arange(y.begin, y.end), indexing="ij")
-        i, j = i.ravel(), j.ravel()
-        ok = (i < j) & (component[i] != component[j]) & (DENOMINATOR * sizes[i] >= NUMERATOR * sizes[j])
-        i, j = i[ok], j[ok]
-        bound = _ONES[bits[i] & bits[j]].sum(axis=1) + np.minimum(doubled[i], doubled[j])
-        ok = bound >= share * (sizes[i] + sizes[j]) - 1e-6
-        left.append(i[ok])
-        right.append(j[ok])
+        below, least, most, twice, own = levels[depth]
+        ok = (DENOMINATOR * most[x] >= NUMERATOR * least[y]) & ((own[x] != own[y]) | (own[x] == _SEVERAL))
+        x, y = x[ok], y[ok]
+        bound = _ONES[below[x] & below[y]].sum(axis=1) + np.minimum(twice[x], twice[y])
+        ok = (bound >= _SHARE * (least[x] + least[y]) - 1e-6) | (x == y)
+        x, y = x[ok], y[ok]
+        if depth == 0:
+            left.append(x[x != y])
+            right.append(y[x != y])
+        elif len(x):
+            i = np.repeat((FANOUT * x[:, None] + step).reshape(-1, FANOUT, 1), FANOUT, axis=2).ravel()
+            j = np.repeat((FANOUT * y[:, None] + step).reshape(-1, 1, FANOUT), FANOUT, axis=1).ravel()
+            count = len(levels[depth - 1][0])
+            ok = (i < count) & (j < count) & (i <= j)
+            stack.append((depth - 1, i[ok], j[ok]))
     none = np.zeros(0, np.int64)
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _signatures(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """class, bits of the wanted classes (rep, class)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").filter("rep is not null")
-
-    def sign(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = [(c, signature(s).tobytes()) for c, s in zip(part.column("class").to_pylist(), shingle_sets(part.column("text"))) if class_of(s) == c]
-                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], ["class", "bits"])
-
-    return texts.join(wanted, "rep").select("class", "text").mapInArrow(sign, "class long, bits binary").dropDuplicates(["class"])
-
-
-def _second_pairs(docs: DataFrame, buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs of different components from the signature trees of buckets that hold several."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components of the links, and pairs of different components from the signature trees of buckets that hold several."""
+    parts = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = components(links)
-    rows = (buckets.select("token", "salt", "rep", "class", "n").join(found, F.col("class") == F.col("node"), "left")
+    rows = (buckets.select("token", "salt", "rep", "class", "n").join(found.hint("merge"), F.col("class") == F.col("node"), "left")
             .withColumn("component", F.coalesce("component", "class")))
-    mixed_tokens = (rows.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-                    .filter("least <> most").select("token"))
-    rows = saved(rows.select("token", "salt", "rep", "class", "n", "component").join(mixed_tokens, "token"), "mixed")
-    bits = saved(_signatures(docs, rows.groupBy("class").agg(F.min("rep").alias("rep"))), "signatures")
-    # a frequent token's rows meet by pairs of salts, so that no task sees all of them
-    meet = F.when(F.col("token") < 0, F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda t: F.least(t, F.col("salt")) * SALTS + F.greatest(t, F.col("salt")))).otherwise(F.array(F.lit(-1)))
-    sent = rows.join(bits, "class").select("token", F.explode(meet).alias("cell"), "n", "rep", "class", "component", "bits")
+    held = rows.groupBy("token", "component").agg(F.count("*").alias("rows"))
+    mixed_tokens = (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"))
+                    .filter("components > 1").select("token", F.col("top.component").alias("main")))
+    rows = saved(rows.select("token", "salt", "rep", "class", "n", "component").join(mixed_tokens.hint("merge"), "token")
+                 .withColumn("main", F.col("component") == F.col("main")), "mixed")
+    # how many tokens a class may share at most with others it is not linked with yet
+    met = rows.groupBy("class").agg(F.count("*").alias("met"))
+    bits = described.filter("n > 0").groupBy("class").agg(F.min("bits").alias("bits")).join(met.hint("merge"), "class")
+    # a very frequent token's largest component stays spread over the salts, and the others go to each of them
+    cells = F.when((F.col("token") < 0) & ~F.col("main"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array("salt"))
+    sent = (rows.join(bits.hint("merge"), "class")
+            .select("token", F.explode(cells).alias("cell"), "n", "rep", "class", "component", "salt",
+                    F.col("main").cast("int").alias("main"), F.col("met").cast("int").alias("met"), "bits"))
     cells = sent.repartition(parts, "token", "cell").sortWithinPartitions("token", "cell", "n", "class")
 
-    def traverse(batches):
-        held, place = [], None
-
-        def pairs():
-            table = pa.Table.from_batches(held).combine_chunks()
-            cls, rep, n, component = (table.column(c).to_numpy() for c in ("class", "rep", "n", "component"))
-            packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(cls), -1)
-            i, j = tree_pairs(n.astype(np.int64), packed, component)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (rep[i], cls[i], rep[j], cls[j])], ["rep_a", "a", "rep_b", "b"])
+    names = ("token", "cell", "n", "rep", "class", "component", "salt", "main", "met")
+
+    def pairs(column, bits):
+        """Buckets of one leaf are compared all at once, row by row with the rows after; the others by their trees."""
+        fresh = np.ones(len(column["token"]), bool)
+        fresh[1:] = (column["token"][1:] != column["token"][:-1]) | (column["cell"][1:] != column["cell"][:-1])
+        begin, of = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        size = np.diff(np.append(begin, len(fresh)))
+        left, right = [], []
+        small = size[of] <= FANOUT
+        doubled = column["n"] - _ONES[bits].sum(axis=1)
+        for step in range(1, FANOUT):
+            i = np.flatnonzero(small[:-step] & (of[step:] == of[:-step]))
+            i, j = possible(i, i + step, column["n"], bits, doubled, column["component"])
+            left.append(i)
+            right.append(j)
+        for b in np.flatnonzero(size > FANOUT):
+            at = slice(begin[b], begin[b] + size[b])
+            i, j = tree_pairs(column["n"][at], bits[at], column["component"][at])
+            left.append(i + begin[b])
+            right.append(j + begin[b])
+        i, j = np.concatenate(left), np.concatenate(right)
+        # two rows outside the largest component meet in every cell and count in one
+        once = (column["main"][i] == 1) | (column["main"][j] == 1) | (column["salt"][i] == column["cell"][i])
+        i, j = i[once], j[once]
+        n = column["n"]
+        most = np.minimum(column["met"][i], column["met"][j])
+        enough = most + -(-NUMERATOR * n[j] // DENOMINATOR) - 1 >= _SHARE * (n[i] + n[j]) - 1e-6  # n[j] >= n[i]
+        i, j = i[enough], j[enough]
+        return pa.RecordBatch.from_arrays([pa.array(column[c][k]) for k in (i, j) for c in ("rep", "class", "n")],
+                                          ["rep_a", "a", "n_a", "rep_b", "b", "n_b"])
 
+    def traverse(batches):
+        """Whole buckets at once; the last one of a batch waits for the next."""
+        tail, place = [], None
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
             token, cell = batch.column("token").to_numpy(), batch.column("cell").to_numpy()
-            edges = np.flatnonzero((token[1:] != token[:-1]) | (cell[1:] != cell[:-1])) + 1
-            for b, e in zip([0, *edges.tolist()], [*edges.tolist(), len(token)]):
-                if e == b:
-                    continue
-                if place is not None and place != (token[b], cell[b]):
-                    yield pairs()
-                    held = []
-                place = (token[b], cell[b])
-                held.append(batch.slice(b, e - b))
-        if held:
-            yield pairs()
-
-    made = cells.mapInArrow(traverse, "rep_a long, a long, rep_b long, b long")
-    swapped = F.col("a") > F.col("b")
-    return _distinct(made.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("rep_a", "rep_b"), ("rep_b", "rep_a"))]))
+            others = np.flatnonzero((token != token[-1]) | (cell != cell[-1]))
+            last = int(others[-1]) + 1 if len(others) else 0
+            if last == 0 and place == (token[-1], cell[-1]):
+                tail.append(batch)
+                continue
+            ready = pa.Table.from_batches([*tail, batch.slice(0, last)]).combine_chunks()
+            tail, place = [batch.slice(last)], (token[-1], cell[-1])
+            if ready.num_rows:
+                yield pairs(*numbers(ready))
+        if tail:
+            yield pairs(*numbers(pa.Table.from_batches(tail).combine_chunks()))
+
+    def numbers(table):
+        packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        return {c: table.column(c).to_numpy().astype(np.int64) for c in names}, packed
+
+    made = cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long")
+    swapped, sides = F.col("a") > F.col("b"), [("a", "b"), ("rep_a", "rep_b"), ("n_a", "n_b")]
+    return found, _distinct(made.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for p in sides for x, y in (p, p[::-1])]))
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n, class) and the links (a, b) between classes, enough to connect what is connected."""
     described = _described(docs)
-    frequent = described.filter("token is not null").select("token").distinct().toPandas()["token"].to_numpy(dtype=np.int64)
-    frequent = np.sort(frequent.view(np.uint64))
-    buckets = _buckets(_prefix_rows(docs, frequent))
+    often = described.filter("token is not null").groupBy("token").agg(F.max("n").alias("tier")).toPandas()
+    frequent = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    buckets = _buckets(_prefix_rows(docs, frequent[order], often["tier"].to_numpy(dtype=np.uint64)[order]))
     first = _verified(docs, _first_pairs(buckets))
-    second = _verified(docs, _second_pairs(docs, buckets, first))
-    return described.filter("token is null").select("doc_id", "n", "class"), first.unionByName(second)
+    found, pairs = _second_pairs(described, buckets, first)
+    # between two components the most promising pair goes first; if it links, the others need no look
+    best = (_in_components(pairs, found).groupBy(F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high"))
+            .agg(F.max(F.struct("shared", "a", "b", "rep_a", "rep_b")).alias("best")).select("best.*"))
+    best = saved(best, "pairs")
+    second = _verified(docs, best)
+    links = first.unionByName(second)
+    left = _in_components(pairs, components(links)).filter("of_a <> of_b").join(best.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+    return described.filter("token is null").select("doc_id", "n", "class"), links.unionByName(_verified(docs, left))
+
+
+def _in_components(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs with the components of both classes."""
+    for side in ("a", "b"):
+        own = found.select(F.col("node").alias(f"node_{side}"), F.col("component").alias(f"of_{side}"))
+        pairs = (pairs.join(own.hint("merge"), F.col(side) == F.col(f"node_{side}"), "left").drop(f"node_{side}")
+                 .withColumn(f"of_{side}", F.coalesce(f"of_{side}", side)))
+    return pairs
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -375,7 +449,10 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents with one row of each group of near copies, that of the least id; empty texts and null ids stay."""
+    """The documents with one row of each group of near copies, that of the least id; empty texts and null ids stay.
+
+    Of rows that repeat an id one stays.
+    """
     keep = join(docs).filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_kept"), "left_semi")
+    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -185,9 +185,7 @@ def components(rows):
     return {d: find(d) for d in parent}
 
 
-@pytest.mark.parametrize("frequent", [jaccard.FREQUENT, 0.0])
-def test_jaccard_join(docs, corpus_rows, empty, monkeypatch, frequent):
-    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+def test_jaccard_join(docs, corpus_rows, empty):
     want = components(corpus_rows)
     rows = jaccard.join(docs).collect()
     assert len(rows) == len(corpus_rows)
@@ -220,7 +218,8 @@ def test_links_share_a_first_token():
         other = np.unique(np.concatenate([base[rng.random(len(base)) > 0.15], rng.integers(0, 1 << 63, rng.integers(0, 4), dtype=np.uint64)]))
         if len(other) and jaccard.alike(base, other):
             frequent = np.sort(rng.choice(base, len(base) // 3, replace=False))
-            assert len(np.intersect1d(jaccard.prefix(base, frequent), jaccard.prefix(other, frequent)))
+            tier = rng.choice(np.array([1, 3], np.uint64), len(frequent))
+            assert len(np.intersect1d(jaccard.prefix(base, frequent, tier), jaccard.prefix(other, frequent, tier)))
 
 
 # --- repeated passages ----------------------------------------------------------------------------
