@@ -141,7 +141,7 @@ def _passages(docs: DataFrame, shared: DataFrame) -> DataFrame:
                     ["hash", "doc_id", "start"])
 
     return saved(docs.join(wanted, "doc_id").select("doc_id", "class", "text", "places")
-                 .mapInArrow(extend, "hash long, doc_id long, start int").distinct(), "passages")
+                 .mapInArrow(extend, "hash long, doc_id long, start int"), "passages")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -149,10 +149,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     suffixes = _suffixes(texts)
     passages = _passages(texts, _shared(suffixes))
-    firsts = (passages.groupBy("hash").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count("*").alias("n"))
-              .filter("n > 1").select("hash", "least"))
+    # rows that repeat a document stand at the same place, and so do not make a passage repeat
+    place = F.struct("doc_id", "start")
+    firsts = passages.groupBy("hash").agg(F.min(place).alias("least"), F.max(place).alias("most")).filter("least < most").select("hash", "least")
     starts = passages.join(firsts, "hash").select(
-        "doc_id", "start", F.lit(PASSAGE).alias("n_words"), (F.struct("doc_id", "start") == F.col("least")).alias("first"))
+        "doc_id", "start", F.lit(PASSAGE).alias("n_words"), (place == F.col("least")).alias("first"))
     # exact copies: each repeats the text whole, and the least id has it first
     whole = suffixes.filter((F.col("key").isNull()) & (F.col("place") >= PASSAGE)).select("class", "doc_id", F.col("place").alias("n_words")).distinct()
     least = whole.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1").select("class", "least")
