@@ -20,7 +20,7 @@ import numpy as np
 #: Text bytes encoded at once.
 SLICE = 1 << 22
 #: Pieces remembered by a worker; about 200 bytes each.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 _LONGEST_REMEMBERED = 48
 _PIECE = re.compile(r"\s*\S+|\s+", re.ASCII)
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
