@@ -226,7 +226,7 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     rest = lambda n: f"ceil({NUMERATOR} * {n} / {DENOMINATOR}) - 1"
     enough = f"shared + greatest({rest('n_a')}, {rest('n_b')}) >= {NUMERATOR} * (n_a + n_b) / {NUMERATOR + DENOMINATOR} - 1e-6"
     counted = pairs.groupBy("a", "b").agg(F.min("rep_a").alias("rep_a"), F.min("rep_b").alias("rep_b"), F.min("n_a").alias("n_a"),
-                                          F.min("n_b").alias("n_b"), F.count("*").alias("shared"))
+                                          F.min("n_b").alias("n_b"), F.sum("times").alias("shared"))
     return saved(counted.filter(enough).select("a", "b", "rep_a", "rep_b", "shared"), "pairs")
 
 
@@ -268,6 +268,7 @@ _ONES = np.array([bin(i).count("1") for i in range(256)], np.int32)
 #: no component has this number, as they are hashes; node pairs handled at once
 _SEVERAL = np.iinfo(np.int64).min
 _AT_ONCE = 1 << 14
+_COUNTED_AT_ONCE = 1 << 21
 
 
 def possible(i, j, sizes, bits, doubled, component):
@@ -328,11 +329,11 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
     """The components of the links, and pairs of different components from the signature trees of buckets that hold several."""
     parts = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = components(links)
-    rows = (buckets.select("token", "salt", "rep", "class", "n").join(found.hint("merge"), F.col("class") == F.col("node"), "left")
+    rows = (buckets.select("token", "salt", "rep", "class", "n", F.struct("hub_rep", "hub_class").alias("hub")).join(found.hint("merge"), F.col("class") == F.col("node"), "left")
             .withColumn("component", F.coalesce("component", "class")))
-    held = rows.groupBy("token", "component").agg(F.count("*").alias("rows"))
-    mixed_tokens = (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"))
-                    .filter("components > 1").select("token", F.col("top.component").alias("main")))
+    held = rows.groupBy("token", "component").agg(F.count("*").alias("rows"), F.min("hub").alias("hub"))
+    mixed_tokens = (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"), F.min("hub").alias("hub"))
+                    .filter("components > 1").select("token", F.col("top.component").alias("main"), F.col("hub.hub_class").alias("lead")))
     rows = saved(rows.select("token", "salt", "rep", "class", "n", "component").join(mixed_tokens.hint("merge"), "token")
                  .withColumn("main", F.col("component") == F.col("main")), "mixed")
     # how many tokens a class may share at most with others it is not linked with yet
@@ -341,9 +342,10 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
     # a very frequent token's largest component stays spread over the salts, and the others go to each of them
     cells = F.when((F.col("token") < 0) & ~F.col("main"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array("salt"))
     sent = (rows.join(bits.hint("merge"), "class")
-            .select("token", F.explode(cells).alias("cell"), "n", "rep", "class", "component", "salt",
+            .select("lead", "token", F.explode(cells).alias("cell"), "n", "rep", "class", "component", "salt",
                     F.col("main").cast("int").alias("main"), F.col("met").cast("int").alias("met"), "bits"))
-    cells = sent.repartition(parts, "token", "cell").sortWithinPartitions("token", "cell", "n", "class")
+    # the tokens two near copies share mostly have one leader, so their pairs are counted before they are shuffled
+    cells = sent.repartition(parts, "lead", "cell").sortWithinPartitions("token", "cell", "n", "class").drop("lead")
 
     names = ("token", "cell", "n", "rep", "class", "component", "salt", "main", "met")
 
@@ -374,12 +376,11 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
         most = np.minimum(column["met"][i], column["met"][j])
         enough = most + -(-NUMERATOR * n[j] // DENOMINATOR) - 1 >= _SHARE * (n[i] + n[j]) - 1e-6  # n[j] >= n[i]
         i, j = i[enough], j[enough]
-        return pa.RecordBatch.from_arrays([pa.array(column[c][k]) for k in (i, j) for c in ("rep", "class", "n")],
-                                          ["rep_a", "a", "n_a", "rep_b", "b", "n_b"])
+        return [column[c][k] for k in (i, j) for c in ("rep", "class", "n")]
 
     def traverse(batches):
-        """Whole buckets at once; the last one of a batch waits for the next."""
-        tail, place = [], None
+        """Whole buckets at once; the last one of a batch waits for the next. Equal pairs are counted on the way."""
+        tail, place, made, size = [], None, [], 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -392,17 +393,34 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
             ready = pa.Table.from_batches([*tail, batch.slice(0, last)]).combine_chunks()
             tail, place = [batch.slice(last)], (token[-1], cell[-1])
             if ready.num_rows:
-                yield pairs(*numbers(ready))
+                made.append(pairs(*numbers(ready)))
+                size += len(made[-1][0])
+                if size >= _COUNTED_AT_ONCE:
+                    yield counted(made)
+                    made, size = [], 0
         if tail:
-            yield pairs(*numbers(pa.Table.from_batches(tail).combine_chunks()))
+            made.append(pairs(*numbers(pa.Table.from_batches(tail).combine_chunks())))
+        if made:
+            yield counted(made)
+
+    def counted(made):
+        rep_a, a, n_a, rep_b, b, n_b = (np.concatenate(x) for x in zip(*made))
+        swap = a > b
+        for x, y in ((rep_a, rep_b), (a, b), (n_a, n_b)):
+            x[swap], y[swap] = y[swap].copy(), x[swap].copy()
+        order = np.lexsort((b, a))
+        new = np.ones(len(a), bool)
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+        at = np.flatnonzero(new)
+        times = np.diff(np.append(at, len(a)))
+        return pa.RecordBatch.from_arrays([pa.array(x[order][at]) for x in (rep_a, a, n_a, rep_b, b, n_b)] + [pa.array(times.astype(np.int64))],
+                                          ["rep_a", "a", "n_a", "rep_b", "b", "n_b", "times"])
 
     def numbers(table):
         packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(table.num_rows, -1)
         return {c: table.column(c).to_numpy().astype(np.int64) for c in names}, packed
 
-    made = cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long")
-    swapped, sides = F.col("a") > F.col("b"), [("a", "b"), ("rep_a", "rep_b"), ("n_a", "n_b")]
-    return found, _distinct(made.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for p in sides for x, y in (p, p[::-1])]))
+    return found, _distinct(cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"))
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
