@@ -80,7 +80,8 @@ def search(vectors: DataFrame, ident: str = "vec_id", vector: str = "embedding",
         probes = (open_queries.select("query", "bound", F.posexplode("query").alias("segment", "own"))
                   .select("query", "bound", "segment", F.explode(masks).alias("mask"), "own")
                   .select("query", "bound", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value")))
-        met = (probes.join(index, ["segment", "value"]).withColumn("distance", distance("query", "code", m))
+        # either side grows when it is unfolded, whatever its file size says, so neither is broadcast
+        met = (probes.join(index.hint("merge"), ["segment", "value"]).withColumn("distance", distance("query", "code", m))
                .filter("distance <= bound").select("query", "code", "ids", "distance").dropDuplicates(["query", "code"]))
         found = met.select("query", "distance", F.explode("ids").alias("id"))
         if best is not None:
