@@ -13,7 +13,9 @@ the token is very frequent.
    size, and each node above holds the OR of the token bitmaps below it, their size range and the most
    tokens that share a bit. The tree is traversed against itself; a pair of nodes is dropped when its sizes are too far
    apart, when both are of one component, or when the bits in common cannot make the overlap needed. Pairs that meet
-   in too few buckets for that overlap are dropped as well.
+   in too few buckets for that overlap are dropped as well. A bucket of more than ``BLOCK_ROWS`` rows is dealt by pairs of
+   blocks: a cell holds two blocks of classes and compares each of the one with each of the other, and the largest
+   component's blocks meet the others' only. So what a task holds is bounded whatever the token.
 
 Pairs that remain are compared on whole sets: first the most promising one of each two components, then, where that
 gave no link, the others. Texts travel to the comparison by star: a star's centre is read once for
@@ -47,6 +49,8 @@ SIGNATURE_BITS = 512
 SALTS = 16
 STAR_SPLITS = 32
 FANOUT = 8
+#: rows a block of a split bucket holds, about
+BLOCK_ROWS = 1 << 12
 
 _TIER = np.uint64(62)
 
@@ -269,6 +273,8 @@ _ONES = np.array([bin(i).count("1") for i in range(256)], np.int32)
 _SEVERAL = np.iinfo(np.int64).min
 _AT_ONCE = 1 << 14
 _COUNTED_AT_ONCE = 1 << 21
+#: more than the blocks of any bucket
+_STRIDE = 1 << 24
 
 
 def possible(i, j, sizes, bits, doubled, component):
@@ -280,107 +286,157 @@ def possible(i, j, sizes, bits, doubled, component):
     return i[ok], j[ok]
 
 
-def _levels(sizes, bits, doubled, component) -> list[tuple]:
-    """The tree from its rows up: bits, least and most size, most doubled, and the component where there is one only."""
-    levels = [(bits, sizes, sizes, doubled, component)]
+def _levels(sizes, bits, doubled, met, component) -> list[tuple]:
+    """The tree from its rows up: bits, least and most size, most doubled, most buckets met in, and the component where
+    there is one only."""
+    levels = [(bits, sizes, sizes, doubled, met, component)]
     while len(levels[-1][0]) > 1:
-        below, least, most, twice, own = levels[-1]
+        below, least, most, twice, met, own = levels[-1]
         heads = np.arange(0, len(below), FANOUT)
         low, high = np.minimum.reduceat(own, heads), np.maximum.reduceat(own, heads)
         levels.append((np.bitwise_or.reduceat(below, heads, axis=0), np.minimum.reduceat(least, heads), np.maximum.reduceat(most, heads),
-                       np.maximum.reduceat(twice, heads), np.where((low == high) & (low != _SEVERAL), low, _SEVERAL)))
+                       np.maximum.reduceat(twice, heads), np.maximum.reduceat(met, heads),
+                       np.where((low == high) & (low != _SEVERAL), low, _SEVERAL)))
     return levels
 
 
-def tree_pairs(sizes: np.ndarray, bits: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components that may overlap enough. sizes ascending; bits: a packed row for each.
+def _crossed(one: list[tuple], two: list[tuple]):
+    """Runs of pairs of a row of the first tree and one of the second (of one tree: with a later row) that may link.
 
-    The tree is traversed against itself level by level, all node pairs of a level in one go.
+    The trees are traversed level by level, node pairs of a level in runs of bounded length.
     """
-    levels = _levels(sizes, bits, sizes - _ONES[bits].sum(axis=1), component)
-    left, right = [], []
-    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    depth, same = max(len(one), len(two)), one is two
+    one, two = (levels + [levels[-1]] * (depth - len(levels)) for levels in (one, two))
+    stack = [(depth - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     step = np.arange(FANOUT)
     while stack:
         depth, x, y = stack.pop()
         if len(x) > _AT_ONCE:
             stack += [(depth, x[k:k + _AT_ONCE], y[k:k + _AT_ONCE]) for k in range(0, len(x), _AT_ONCE)]
             continue
-        below, least, most, twice, own = levels[depth]
-        ok = (DENOMINATOR * most[x] >= NUMERATOR * least[y]) & ((own[x] != own[y]) | (own[x] == _SEVERAL))
+        (below_a, least_a, most_a, twice_a, met_a, own_a), (below_b, least_b, most_b, twice_b, met_b, own_b) = one[depth], two[depth]
+        ok = (DENOMINATOR * most_a[x] >= NUMERATOR * least_b[y]) & (DENOMINATOR * most_b[y] >= NUMERATOR * least_a[x])
+        ok &= (own_a[x] != own_b[y]) | (own_a[x] == _SEVERAL)
         x, y = x[ok], y[ok]
-        bound = _ONES[below[x] & below[y]].sum(axis=1) + np.minimum(twice[x], twice[y])
-        ok = (bound >= _SHARE * (least[x] + least[y]) - 1e-6) | (x == y)
+        needed = _SHARE * (least_a[x] + least_b[y]) - 1e-6
+        ok = np.minimum(met_a[x], met_b[y]) + -(-NUMERATOR * np.maximum(most_a[x], most_b[y]) // DENOMINATOR) - 1 >= needed
+        x, y, needed = x[ok], y[ok], needed[ok]
+        bound = _ONES[below_a[x] & below_b[y]].sum(axis=1) + np.minimum(twice_a[x], twice_b[y])
+        ok = bound >= needed
+        if same:
+            ok |= x == y
         x, y = x[ok], y[ok]
         if depth == 0:
-            left.append(x[x != y])
-            right.append(y[x != y])
+            if same:
+                x, y = x[x != y], y[x != y]
+            if len(x):
+                yield x, y
         elif len(x):
             i = np.repeat((FANOUT * x[:, None] + step).reshape(-1, FANOUT, 1), FANOUT, axis=2).ravel()
             j = np.repeat((FANOUT * y[:, None] + step).reshape(-1, 1, FANOUT), FANOUT, axis=1).ravel()
-            count = len(levels[depth - 1][0])
-            ok = (i < count) & (j < count) & (i <= j)
+            ok = (i < len(one[depth - 1][0])) & (j < len(two[depth - 1][0]))
+            if same:
+                ok &= i <= j
             stack.append((depth - 1, i[ok], j[ok]))
+
+
+def _tree(sizes, bits, component, met=None) -> list[tuple]:
+    return _levels(sizes, bits, sizes - _ONES[bits].sum(axis=1), sizes if met is None else met, component)
+
+
+def tree_pairs(sizes: np.ndarray, bits: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components that may overlap enough. sizes ascending; bits: a packed row for each."""
+    tree = _tree(sizes, bits, component)
+    found = list(_crossed(tree, tree))
     none = np.zeros(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+    return (np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])) if found else (none, none)
+
+
+def _celled(rows: DataFrame) -> DataFrame:
+    """Each row in all cells it belongs to, with ``cell`` and ``side``; rows has class, main, and its token's ``bulk`` (rows of the
+    largest component) and ``others``.
+
+    Two rows of a token that are not both of the largest component meet in exactly one cell: on side 0, or on sides 1 and 2.
+    """
+    blocks = lambda n: f"cast(shiftleft(1L, cast(ceil(log2(greatest({n}, {BLOCK_ROWS}) / {BLOCK_ROWS})) as int)) as bigint)"
+    split = rows.withColumn("_few", F.expr(f"bulk + others <= {BLOCK_ROWS}")).withColumn("_of", F.expr(blocks("others"))).withColumn("_over", F.expr(blocks("bulk")))
+    own = lambda p, q: f"struct(least({p}, {q}) * {_STRIDE} + greatest({p}, {q}) as cell, case when {p} = {q} then 0 when {p} < {q} then 1 else 2 end as side)"
+    cross = lambda m, q, side: f"struct(({_STRIDE} + {m}) * {_STRIDE} + {q} as cell, {side} as side)"
+    cells = F.expr(f"""
+        case when _few then array(struct(0L as cell, 0 as side))
+             when main then transform(sequence(0L, _of - 1), q -> {cross("pmod(class, _over)", "q", 1)})
+             else concat(transform(sequence(0L, _of - 1), q -> {own("pmod(class, _of)", "q")}),
+                         transform(sequence(0L, _over - 1), m -> {cross("m", "pmod(class, _of)", 2)})) end""")
+    return split.withColumn("_cell", F.explode(cells)).select(*rows.columns, "_cell.cell", "_cell.side")
 
 
 def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The components of the links, and pairs of different components from the signature trees of buckets that hold several."""
     parts = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = components(links)
-    rows = (buckets.select("token", "salt", "rep", "class", "n", F.struct("hub_rep", "hub_class").alias("hub")).join(found.hint("merge"), F.col("class") == F.col("node"), "left")
+    rows = (buckets.select("token", "rep", "class", "n", F.struct("hub_rep", "hub_class").alias("hub")).join(found.hint("merge"), F.col("class") == F.col("node"), "left")
             .withColumn("component", F.coalesce("component", "class")))
     held = rows.groupBy("token", "component").agg(F.count("*").alias("rows"), F.min("hub").alias("hub"))
-    mixed_tokens = (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"), F.min("hub").alias("hub"))
-                    .filter("components > 1").select("token", F.col("top.component").alias("main"), F.col("hub.hub_class").alias("lead")))
-    rows = saved(rows.select("token", "salt", "rep", "class", "n", "component").join(mixed_tokens.hint("merge"), "token")
+    mixed_tokens = (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"),
+                                                F.sum("rows").alias("rows"), F.min("hub").alias("hub"))
+                    .filter("components > 1").select("token", F.col("top.component").alias("main"), F.col("top.rows").alias("bulk"),
+                            (F.col("rows") - F.col("top.rows")).alias("others"), F.col("hub.hub_class").alias("lead")))
+    rows = saved(rows.select("token", "rep", "class", "n", "component").join(mixed_tokens.hint("merge"), "token")
                  .withColumn("main", F.col("component") == F.col("main")), "mixed")
     # how many tokens a class may share at most with others it is not linked with yet
     met = rows.groupBy("class").agg(F.count("*").alias("met"))
     bits = described.filter("n > 0").groupBy("class").agg(F.min("bits").alias("bits")).join(met.hint("merge"), "class")
-    # a very frequent token's largest component stays spread over the salts, and the others go to each of them
-    cells = F.when((F.col("token") < 0) & ~F.col("main"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array("salt"))
-    sent = (rows.join(bits.hint("merge"), "class")
-            .select("lead", "token", F.explode(cells).alias("cell"), "n", "rep", "class", "component", "salt",
-                    F.col("main").cast("int").alias("main"), F.col("met").cast("int").alias("met"), "bits"))
+    sent = (_celled(rows.join(bits.hint("merge"), "class"))
+            .select("lead", "token", "cell", "side", "n", "rep", "class", "component", F.col("met").cast("int").alias("met"), "bits"))
     # the tokens two near copies share mostly have one leader, so their pairs are counted before they are shuffled
-    cells = sent.repartition(parts, "lead", "cell").sortWithinPartitions("token", "cell", "n", "class").drop("lead")
+    cells = sent.repartition(parts, "lead", "cell").sortWithinPartitions("token", "cell", "side", "n", "class").drop("lead")
 
-    names = ("token", "cell", "n", "rep", "class", "component", "salt", "main", "met")
+    names = ("token", "cell", "side", "n", "rep", "class", "component", "met")
 
     def pairs(column, bits):
-        """Buckets of one leaf are compared all at once, row by row with the rows after; the others by their trees."""
+        """Runs of pairs. Cells of one leaf are compared all at once, row by row with the rows after; the others by trees."""
         fresh = np.ones(len(column["token"]), bool)
         fresh[1:] = (column["token"][1:] != column["token"][:-1]) | (column["cell"][1:] != column["cell"][:-1])
         begin, of = np.flatnonzero(fresh), np.cumsum(fresh) - 1
         size = np.diff(np.append(begin, len(fresh)))
-        left, right = [], []
-        small = size[of] <= FANOUT
+        leaf = (size <= FANOUT) & (column["side"][begin] == 0)
+        small = leaf[of]
         doubled = column["n"] - _ONES[bits].sum(axis=1)
         for step in range(1, FANOUT):
             i = np.flatnonzero(small[:-step] & (of[step:] == of[:-step]))
             i, j = possible(i, i + step, column["n"], bits, doubled, column["component"])
-            left.append(i)
-            right.append(j)
-        for b in np.flatnonzero(size > FANOUT):
-            at = slice(begin[b], begin[b] + size[b])
-            i, j = tree_pairs(column["n"][at], bits[at], column["component"][at])
-            left.append(i + begin[b])
-            right.append(j + begin[b])
-        i, j = np.concatenate(left), np.concatenate(right)
-        # two rows outside the largest component meet in every cell and count in one
-        once = (column["main"][i] == 1) | (column["main"][j] == 1) | (column["salt"][i] == column["cell"][i])
-        i, j = i[once], j[once]
+            yield enough(column, i, j)
+        for b in np.flatnonzero(~leaf):
+            first, last = begin[b], begin[b] + size[b]
+            middle = first + int(np.searchsorted(column["side"][first:last], 2))
+            sides = [(first, middle), (middle, last)] if column["side"][first] == 1 else [(first, last)]
+            if column["side"][first] == 2 or middle == last and len(sides) == 2:
+                continue  # the other block is empty
+            trees = [_tree(*(x[p:q] for x in (column["n"], bits, column["component"], column["met"]))) for p, q in sides]
+            for i, j in _crossed(trees[0], trees[-1]):
+                yield enough(column, i + sides[0][0], j + sides[-1][0])
+
+    def enough(column, i, j):
         n = column["n"]
         most = np.minimum(column["met"][i], column["met"][j])
-        enough = most + -(-NUMERATOR * n[j] // DENOMINATOR) - 1 >= _SHARE * (n[i] + n[j]) - 1e-6  # n[j] >= n[i]
-        i, j = i[enough], j[enough]
-        return [column[c][k] for k in (i, j) for c in ("rep", "class", "n")]
+        ok = most + -(-NUMERATOR * np.maximum(n[i], n[j]) // DENOMINATOR) - 1 >= _SHARE * (n[i] + n[j]) - 1e-6
+        return [column[c][k] for k in (i[ok], j[ok]) for c in ("rep", "class", "n")]
 
     def traverse(batches):
-        """Whole buckets at once; the last one of a batch waits for the next. Equal pairs are counted on the way."""
-        tail, place, made, size = [], None, [], 0
+        """Whole cells at once; the last one of a batch waits for the next. Equal pairs are counted on the way."""
+        made, size = [], 0
+        for ready in whole(batches):
+            for run in pairs(*numbers(ready)):
+                made.append(run)
+                size += len(run[0])
+                if size >= _COUNTED_AT_ONCE:
+                    yield counted(made)
+                    made, size = [], 0
+        if made:
+            yield counted(made)
+
+    def whole(batches):
+        tail, place = [], None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -393,15 +449,9 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
             ready = pa.Table.from_batches([*tail, batch.slice(0, last)]).combine_chunks()
             tail, place = [batch.slice(last)], (token[-1], cell[-1])
             if ready.num_rows:
-                made.append(pairs(*numbers(ready)))
-                size += len(made[-1][0])
-                if size >= _COUNTED_AT_ONCE:
-                    yield counted(made)
-                    made, size = [], 0
+                yield ready
         if tail:
-            made.append(pairs(*numbers(pa.Table.from_batches(tail).combine_chunks())))
-        if made:
-            yield counted(made)
+            yield pa.Table.from_batches(tail).combine_chunks()
 
     def counted(made):
         rep_a, a, n_a, rep_b, b, n_b = (np.concatenate(x) for x in zip(*made))

@@ -222,6 +222,38 @@ def test_links_share_a_first_token():
             assert len(np.intersect1d(jaccard.prefix(base, frequent, tier), jaccard.prefix(other, frequent, tier)))
 
 
+def test_hot_buckets_are_dealt_by_block_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 16)
+    rows = [(7, c * 7919, c % 3 == 0, 40, 80) for c in range(120)] + [(8, c, c == 0, 1, 9) for c in range(10)]
+    cells, places = {}, {}
+    for r in jaccard._celled(spark.createDataFrame(rows, "token long, class long, main boolean, bulk long, others long")).collect():
+        cells.setdefault((r["token"], r["cell"]), []).append(r)
+        places.setdefault((r["token"], r["class"]), {})[r["cell"]] = (r["side"], r["main"])
+    assert max(map(len, cells.values())) <= 4 * 16
+    for token, a, main, *_ in rows:
+        for other, b, also, *_ in rows:
+            if token == other and a < b:
+                x, y = places[token, a], places[token, b]
+                met = sum((x[c][0] == 0) or x[c][0] != y[c][0] for c in set(x) & set(y))
+                assert met == (0 if main and also and token == 7 else 1)
+
+
+def test_template_pages_make_no_pairs_and_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 8)
+    page = " ".join(f"menu{k}" for k in range(20))
+    texts = [f"{page} {' '.join(f'own{i}x{k}' for k in range(4))}" for i in range(60)]
+    texts += [f"{page} same{i // 2} same same {'end' * (i % 2)}" for i in range(30)]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == components(docs)
+    # sets of one size that meet in too few buckets are dropped as a tree
+    n, bits = np.full(5000, 20), np.full((5000, jaccard.SIGNATURE_BITS // 8), 255, np.uint8)
+    tree = jaccard._tree(n, bits, np.arange(5000), np.full(5000, 2))
+    assert not list(jaccard._crossed(tree, tree))
+    tree = jaccard._tree(n, bits, np.arange(5000))
+    assert max(len(x) for x, _ in jaccard._crossed(tree, tree)) <= jaccard._AT_ONCE
+
+
 # --- repeated passages ----------------------------------------------------------------------------
 
 def spans(rows, length=suffixes.PASSAGE):
