@@ -39,8 +39,10 @@ from seqtables.llm.components import components
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
-#: A token in this share of a task's documents is frequent and goes to the end of the order; one in the second share is
-#: very frequent, goes last, and its bucket is split. At most (tokens a document) / FREQUENT tokens are either.
+#: A token in this share of all documents is frequent and goes to the end of the order; one in the second share is
+#: very frequent, goes last, and its bucket is split. At most (mean tokens of a document) / FREQUENT tokens are either.
+#: Counts are summed over the chunks in which a token has that share and LEAST_SEEN documents; one counted short by this
+#: stays among the rarer ones, which changes no link.
 FREQUENT = 0.0005
 VERY_FREQUENT = 0.005
 LEAST_SEEN = 6
@@ -104,7 +106,7 @@ def signature(tokens: np.ndarray) -> np.ndarray:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """A row per document (doc_id, n, class, bits) and rows of tokens frequent somewhere (token, and as n its tier)."""
+    """A row per document (doc_id, n, class, bits) and rows of tokens frequent in a chunk (token, and as n its documents there)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def describe(batches):
@@ -115,7 +117,7 @@ def _described(docs: DataFrame) -> DataFrame:
             some = n >= max(LEAST_SEEN, FREQUENT * rows)
             token, n = token[some], n[some]
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(token), arrow_id), pa.array(np.where(n >= VERY_FREQUENT * rows, 3, 1), pa.int64()),
+                [pa.nulls(len(token), arrow_id), pa.array(n, pa.int64()),
                  pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.binary()), pa.array(signed(token))],
                 ["doc_id", "n", "class", "bits", "token"])
 
@@ -139,6 +141,14 @@ def _described(docs: DataFrame) -> DataFrame:
     return saved(docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, class long, bits binary, token long"), "sets")
 
 
+def _frequent(described: DataFrame) -> DataFrame:
+    """token and tier of the tokens frequent in the whole corpus."""
+    documents = described.filter("token is null").count()
+    counted = described.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
+    return (counted.filter(F.col("n") >= max(LEAST_SEEN, FREQUENT * documents))
+            .select("token", F.when(F.col("n") >= VERY_FREQUENT * documents, 3).otherwise(1).alias("tier")))
+
+
 def _prefix_rows(docs: DataFrame, frequent: np.ndarray, tier: np.ndarray) -> DataFrame:
     """token, salt, rep (an id of the class), class and size, for the first document of each class in each task."""
     def emit(batches):
@@ -476,7 +486,7 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n, class) and the links (a, b) between classes, enough to connect what is connected."""
     described = _described(docs)
-    often = described.filter("token is not null").groupBy("token").agg(F.max("n").alias("tier")).toPandas()
+    often = _frequent(described).toPandas()
     frequent = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(frequent)
     buckets = _buckets(_prefix_rows(docs, frequent[order], often["tier"].to_numpy(dtype=np.uint64)[order]))

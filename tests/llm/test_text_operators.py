@@ -254,6 +254,14 @@ def test_template_pages_make_no_pairs_and_lose_no_link(spark, monkeypatch):
     assert max(len(x) for x, _ in jaccard._crossed(tree, tree)) <= jaccard._AT_ONCE
 
 
+def test_frequent_tokens_are_those_of_the_whole_corpus(spark):
+    # six copies side by side are frequent in their chunk, but not among all documents
+    rows = spark.range(0, 14000, 1, 8).selectExpr("id as doc_id", "concat('page ', id div 6, ' of this book') as text")
+    assert jaccard._frequent(jaccard._described(rows)).count() == 0
+    common = rows.selectExpr("doc_id", "if(doc_id % 100 = 0, 'one text all over again', if(doc_id % 250 = 3, 'a less common text here', text)) as text")
+    assert sorted(r["tier"] for r in jaccard._frequent(jaccard._described(common)).collect()) == [1, 3]
+
+
 # --- repeated passages ----------------------------------------------------------------------------
 
 def spans(rows, length=suffixes.PASSAGE):
