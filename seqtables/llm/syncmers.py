@@ -3,9 +3,9 @@
 A k-mer of bytes is chosen when the least hash among its s-mers stands at its first or last place. That depends
 on the k-mer alone, so an edit elsewhere in the text moves no choice. A chosen k-mer is hashed with the number of
 equal ones before it in the text, so that repeated passages count as often as they stand. A fingerprint holds the
-``ANCHORS`` of least hash with their places as hexadecimal: six digits of hash, four of place (in units of 16
-bytes, the last unit for all beyond). Two fingerprints are alike by the anchors they share in the
-same order: with j the share of common anchors among the least of both, the likeness is 2j / (1 + j).
+``ANCHORS`` of least hash in the order they stand in the text, as hexadecimal: twelve digits of hash, four of place (in
+units of 16 bytes, in a text over 1 MB of a 65,536th of its length). Two fingerprints are alike by the anchors they share
+in the same order, whatever the length of the texts: with j the share of common anchors among the least of both, the likeness is 2j / (1 + j).
 
 Each document is also compared with the next one by id and with an edited text that borrows from it. Documents
 are dealt into ranges of ids, and the first document of each range is handed to the range before as well, so
@@ -37,6 +37,7 @@ ANCHORS = 64
 SHORT = 2 * K
 TINY = 4
 _UNIT = 16
+_PLACE_BITS = np.uint64(16)
 _LEAST = np.iinfo(np.int64).min
 
 
@@ -49,7 +50,7 @@ def _smers(raw: np.ndarray) -> np.ndarray:
 
 
 def anchors(texts: pa.Array) -> list[np.ndarray]:
-    """For each text its anchors, hash above place, in order."""
+    """For each text its anchors, hash above place, in the order of the text."""
     raw, places = utf8(texts)
     lengths = np.diff(places)
     width = K - S + 1
@@ -83,36 +84,40 @@ def anchors(texts: pa.Array) -> list[np.ndarray]:
     fresh[1:] = (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])
     begun = np.flatnonzero(fresh)
     earlier = (np.arange(len(at)) - begun[np.cumsum(fresh) - 1]).astype(np.uint64)
-    mark = mixed(mark + earlier) >> np.uint64(40)
+    mark = mixed(mark + earlier) >> _PLACE_BITS
     order = np.lexsort((at, mark, owner))
     at, mark, owner = at[order], mark[order], owner[order]
     first = np.ones(len(at), bool)
     first[1:] = (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])
     at, mark, owner = at[first], mark[first], owner[first]
-    where = np.minimum((at - places[owner]) // _UNIT, 0xFFFF).astype(np.uint64)
-    packed = (mark << np.uint64(16)) | where
     begin = np.searchsorted(owner, np.arange(len(texts) + 1))
-    return [packed[b:min(e, b + ANCHORS)] for b, e in zip(begin[:-1], begin[1:])]
+    least = np.arange(len(owner)) - begin[owner] < ANCHORS
+    at, mark, owner = at[least], mark[least], owner[least]
+    order = np.lexsort((at, owner))
+    at, mark, owner = at[order], mark[order], owner[order]
+    unit = np.maximum(_UNIT, -(-lengths // (1 << int(_PLACE_BITS))))
+    where = ((at - places[owner]) // unit[owner]).astype(np.uint64)
+    packed = (mark << _PLACE_BITS) | where
+    begin = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return [packed[b:e] for b, e in zip(begin[:-1], begin[1:])]
 
 
 def text_of(found: np.ndarray) -> str:
-    return found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes().hex()
+    return found.astype(">u8").view(np.uint8).tobytes().hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 to 1; from anchors as ``anchors`` gives them."""
     if len(a) == 0 or len(b) == 0:
         return float(len(a) == len(b))
-    x, y = a >> np.uint64(16), b >> np.uint64(16)
+    x, y = a >> _PLACE_BITS, b >> _PLACE_BITS
     # the least hashes of both together, up to a full sketch, but never beyond what a full sketch knows
     both = np.union1d(x, y)[:ANCHORS] if max(len(x), len(y)) >= ANCHORS else np.union1d(x, y)
-    i = np.flatnonzero(np.isin(x, y, assume_unique=True) & (x <= both[-1]))
-    if len(i) == 0:
-        return 0.0
-    j = np.searchsorted(y, x[i])
-    order = np.lexsort((b[j] & np.uint64(0xFFFF), a[i] & np.uint64(0xFFFF)))
+    common, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    known = common <= both[-1]
+    i, j = i[known], j[known]
     rising: list[int] = []
-    for place in (b[j] & np.uint64(0xFFFF))[order].tolist():
+    for place in j[np.argsort(i)].tolist():
         k = bisect_right(rising, place)
         rising[k:k + 1] = [place]
     share = len(rising) / len(both)

@@ -344,6 +344,17 @@ def test_syncmers_are_those_of_brute_force():
     assert syncmers.likeness(found, found) == 1.0
 
 
+def test_fingerprints_of_very_long_texts():
+    rng = np.random.default_rng(6)
+    long = [rng.integers(97, 123, 6_000_000, dtype=np.uint8).tobytes().decode() for _ in range(2)]
+    turned = long[0][:2_000_000] + long[0][4_000_000:] + long[0][2_000_000:4_000_000]
+    found = syncmers.anchors(pa.array([*long, turned]))
+    assert syncmers.likeness(found[0], found[1]) == 0.0
+    assert syncmers.likeness(found[0], found[0]) == 1.0
+    assert syncmers.likeness(found[0], found[2]) < 0.9
+    assert all(len(syncmers.text_of(f)) == 16 * syncmers.ANCHORS for f in found)
+
+
 # --- toxicity -------------------------------------------------------------------------------------
 
 def test_toxicity(spark, docs, empty):
