@@ -1,27 +1,29 @@
 """Mixture-controlled packing of documents into sequences of fixed length.
 
 Documents wait in one queue per source, in order of doc_id. The packer fills mixture windows of
-``WINDOW_SEQUENCES`` sequences by deficit round-robin: in each window a source's deficit grows by its quantum, its
-target share of the window's tokens, and the source sends documents while the deficit covers the next one; what
-is left is carried to the next window. A queue that always has documents waiting has sent, after any number of
-windows, exactly the documents that fit its quanta so far. So a document's window follows from the tokens before it
-in its queue alone, and every partition computes its documents' windows with the deficits carried from all others.
-The quanta are the sources' shares of all tokens (or given weights), which empties all queues in the last window.
-
-The windows' documents, source after source, make one stream that is cut every ``LENGTH`` tokens: only the last
+``WINDOW_SEQUENCES`` sequences by deficit round-robin: in each window a source sends tokens up to its quantum, its
+target share of the window's tokens, and a document goes on in the next window where the quantum ends. A queue has
+sent, after any number of windows, exactly its quanta so far (rounded down). So the windows of a document's tokens follow
+from the tokens before it in its queue alone. The targets are the sources' shares of all tokens, which empties all
+queues in the last window, or given weights: when a queue is empty the others share what was its part by their
+weights, and sources of no weight follow by their shares of the rest.
+
+The windows' pieces, source after source, make one stream that is cut every ``LENGTH`` tokens: only the last
 sequence can need padding.
 
 Running totals over the queues and over the stream are sums over sorted partitions plus one row per partition
 and source; no task sees a whole queue.
 
 Defined cases: null and empty texts are the end id alone; null source is a source of its own; rows of one id are
-told apart by their place in the input; an empty table gives no rows; a source with a weight of 0 or none follows
-the windows of the others. Columns other than doc_id, source and text are not looked at.
+told apart by their place in the input; an empty table gives no rows; a negative
+weight is an error. Columns other than doc_id, source and text are not looked at.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -93,25 +95,91 @@ def tokenised(docs: DataFrame, path: str, end: int) -> DataFrame:
     return saved(rows.mapInArrow(encode, f"row long, doc_id {kinds['doc_id']}, source {kinds['source']}, n long, ids binary"), "packed-ids")
 
 
-def layout(tokens: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENCES) -> DataFrame:
-    """row, place in the stream and mixture window of every document."""
+def schedules(weights: dict, totals: dict, in_all: int, windows: int) -> tuple[dict, int]:
+    """For each source with a weight its phases, and the tokens of all of them.
+
+    A phase lasts until the next queue is empty: (first token, first window, a, b, d), where the token at place p is sent
+    when (a * (p + 1) + b) / d windows are full.
+    """
+    share = {s: Fraction(w) for s, w in weights.items() if w and totals.get(s)}
+    empty = {s: totals[s] / w for s, w in share.items()}  # each turn sends w tokens of a source
+    steps, sent = [], Fraction(0)
+    begin = Fraction(0)
+    for turn in sorted(set(empty.values())):
+        active = sum(w for s, w in share.items() if empty[s] > begin)
+        steps.append((begin, active, sent))
+        sent += (turn - begin) * active
+        begin = turn
+    full = Fraction(windows, in_all or 1)
+    found = {}
+    for s, w in share.items():
+        found[s] = []
+        for begin, active, before in steps:
+            if begin < empty[s]:
+                slope, shift = active * full / w, (before - begin * active) * full
+                d = slope.denominator * shift.denominator
+                found[s].append((int(begin * w), before * full, int(slope * d), int(shift * d), d))
+    return found, sum(totals[s] for s in share)
+
+
+def pieces(phases: list, before: int, n: int) -> list[tuple[int, int, int]]:
+    """(start, length, window) of a document's parts, from the tokens before it in its queue."""
+    out, at, end = [], before, before + n
+    while at < end:
+        _, _, a, b, d = phases[bisect_right(phases, at, key=lambda x: x[0]) - 1]
+        window = -(-(a * (at + 1) + b) // d) - 1
+        _, _, a, b, d = phases[bisect_right(phases, window + 1, key=lambda x: x[1]) - 1]
+        stop = min(end, max(at + 1, ((window + 1) * d - b) // a))
+        out.append((at - before, stop - at, window))
+        at = stop
+    return out
+
+
+def layout(tokens: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENCES, weights: dict | None = None) -> DataFrame:
+    """row, start and n of a document's piece, its place in the stream and mixture window."""
+    weights = weights or {}
+    if any(w < 0 for w in weights.values()):
+        raise ValueError("weights must not be negative")
     queues, totals = running_totals(tokens, "source", ["doc_id", "row"], "n", ["n"])
     tokens_in_all = totals.agg(F.sum("total")).first()[0] or 0
     windows = max(1, -(-tokens_in_all // (length * window)))
-    # the first window in which the queue's quanta so far cover the document; decimals, as the product exceeds a long
-    wide = lambda c: f"cast({c} as decimal(19, 0))"
-    turn = F.expr(f"({wide('before + n')} * {wide(windows)} + total - 1) div total - 1").cast("long")
-    sent = queues.select("row", "n", turn.alias("window"), "source", F.col("before").alias("sent"))
-    order = ["source", "sent", "row"]
-    stream, _ = running_totals(sent.withColumn("_all", F.lit(0)), "_all", ["window", *order], "n", ["n"])
-    return stream.select("row", F.col("before").alias("place"), "window")
+    named = [s for s in weights if s is not None]
+    asked = F.col("_group").isin(named) | (F.col("_group").isNull() & F.lit(None in weights)) if weights else F.lit(False)
+    known = {r[0]: r[1] for r in totals.filter(asked).collect()} if weights else {}
+    planned, early = schedules(weights, known, tokens_in_all, windows)
+    kind = tokens.schema["source"].dataType.simpleString()
 
-
-def pack(docs: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENCES, path: str | None = None, end: int = END) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window."""
+    def deal(batches):
+        for batch in batches:
+            rows, numbers = [], []
+            for i, (source, before, n, total) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("source", "before", "n", "total")))):
+                # sources of no weight are sent after the others, all by their shares
+                phases = planned.get(source) or [(0, 0, (tokens_in_all - early) * windows, early * windows * total, tokens_in_all * total)]
+                found = pieces(phases, before, n)
+                rows += [i] * len(found)
+                numbers += [(start, k, w, before + start) for start, k, w in found]
+            table = np.array(numbers, np.int64).reshape(-1, 4)
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(at), batch.column("source").take(at), *(pa.array(c) for c in table.T.copy())],
+                                             ["row", "source", "start", "n", "window", "sent"])
+
+    sent = queues.select("row", "source", "before", "n", "total").mapInArrow(
+        deal, f"row long, source {kind}, start long, n long, window long, sent long")
+    stream, _ = running_totals(sent.withColumn("_all", F.lit(0)), "_all", ["window", "source", "sent", "row"], "n", ["n", "start"])
+    return stream.select("row", "start", "n", F.col("before").alias("place"), "window")
+
+
+def pack(docs: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENCES, path: str | None = None, end: int = END,
+         weights: dict | None = None) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window.
+
+    weights: target share of each source, of any sum; without them the sources' shares of all tokens.
+    """
     path = path or vocabulary()
     tokens = tokenised(docs, path, end)
-    placed = tokens.select("row", "doc_id", "n", "ids").join(layout(tokens, length, window), "row")
+    parts = (layout(tokens, length, window, weights).groupBy("row")
+             .agg(F.collect_list(F.struct("start", "n", "place", "window")).alias("parts")))
+    placed = tokens.select("row", "doc_id", "n", "ids").join(parts, "row")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
@@ -119,22 +187,29 @@ def pack(docs: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENCES,
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            n, place = batch.column("n").to_numpy(), batch.column("place").to_numpy()
+            parts = batch.column("parts")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(parts.offsets.to_numpy()))
+            own = dict(zip(("start", "n", "place", "window"), (x.to_numpy(zero_copy_only=False) for x in parts.flatten().flatten())))
+            n, start, place = own["n"], own["start"], own["place"]
             first, last = place // length, (place + n - 1) // length
             count = last - first + 1
-            doc = np.repeat(np.arange(len(n)), count)
-            sequence = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            begin = np.maximum(sequence * length, place[doc]) - place[doc]
-            stop = np.minimum((sequence + 1) * length, place[doc] + n[doc]) - place[doc]
+            part = np.repeat(np.arange(len(n)), count)
+            doc = owner[part]
+            sequence = first[part] + np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
+            begin = np.maximum(sequence * length, place[part]) - place[part]
+            stop = np.minimum((sequence + 1) * length, place[part] + n[part]) - place[part]
+            offset = place[part] + begin - sequence * length
+            begin, stop = begin + start[part], stop + start[part]
+            whole = batch.column("n").to_numpy()
             crc, at = np.zeros(len(doc), np.int64), -1
             for i, (d, b, e) in enumerate(zip(doc.tolist(), begin.tolist(), stop.tolist())):
                 if d != at:
                     wide, at = np.frombuffer(batch.column("ids")[d].as_buffer(), dtype).astype("<u4"), d
                 crc[i] = zlib.crc32(wide[b:e])
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(doc)), pa.array(begin), pa.array(stop - begin), pa.array(crc), pa.array(n[doc]),
-                pa.array(sequence), pa.array(place[doc] + begin - sequence * length), batch.column("window").take(pa.array(doc))],
+                batch.column("doc_id").take(pa.array(doc)), pa.array(begin), pa.array(stop - begin), pa.array(crc), pa.array(whole[doc]),
+                pa.array(sequence), pa.array(offset), pa.array(own["window"][part])],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window"])
 
-    return placed.select("doc_id", "n", "ids", "place", "window").mapInArrow(
+    return placed.select("doc_id", "n", "ids", "parts").mapInArrow(
         cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long")

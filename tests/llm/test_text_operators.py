@@ -140,6 +140,29 @@ def test_windows_follow_the_target_shares(spark):
             assert abs(sent[s] - total[s] * (w + 1) / windows) <= largest
 
 
+def test_windows_meet_given_weights(spark):
+    rows = [(i, "word " * (3000 if i % 40 == 0 else 100), "abc"[i % 3]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source, length = {i: s for i, _, s in rows}, packing.LENGTH * 2
+    for weights in (None, {"a": 3, "b": 1}):
+        got = packing.pack(docs, window=2, weights=weights).collect()
+        per, total = Counter(), Counter()
+        for r in got:
+            per[r["window"], source[r["doc_id"]]] += r["length"]
+            total[source[r["doc_id"]]] += r["length"]
+        windows = 1 + max(w for w, _ in per)
+        assert windows == -(-sum(total.values()) // length)
+        size = sum(total.values()) / windows
+        if weights is None:  # a document longer than a window's quantum is dealt over several
+            assert all(abs(per[w, s] - total[s] / windows) <= 2 for w in range(windows) for s in "abc")
+        else:
+            share = [w for w in range(windows) if (w + 1) * size * 0.75 <= total["a"]]
+            assert share and all(abs(per[w, "a"] - size * 0.75) <= 2 and abs(per[w, "b"] - size * 0.25) <= 2 and not per[w, "c"] for w in share)
+            assert all(w >= max(share) for w, s in per if s == "c")
+        places = Counter((r["doc_id"], k) for r in got for k in range(r["start"], r["start"] + r["length"]))
+        assert set(places.values()) == {1} and len(places) == sum(total.values())
+
+
 def test_token_files_round_trip(spark, docs, corpus_rows, empty):
     rows = tokenfiles.read(spark, tokenfiles.write(docs)).orderBy("start").collect()
     order = sorted(corpus_rows, key=lambda r: (r[0] is not None, r[0] or 0))
