@@ -44,18 +44,25 @@ def _by_event(values: dict[str, Column | int | str], kind: str) -> Column:
     return out
 
 
+_ORDER = "struct<ts: timestamp_ntz, event_id: bigint>"
+WRITERS = ("status", "text", "deleted", "run", "start", "end", "gone", "counters")
+
+
 def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
     """Experiments after all their events, and the last logged event that was applied.
 
     ``events`` has uid, ts, event_id, event, message and, for finished analyses, optionally new params. Each column
     takes the value of the last event, by (ts, event_id), that writes it; dates are those of the events.
     A queue decision counts if its guard holds for the experiment as it was read; ``reprocess`` must come from experiments
-    with their read files present. Logged events up to (applied_ts, applied_id) have been applied before
-    and change nothing, so the same log can be given again. Experiments without a new event pass through.
+    with their read files present. Logged events listed in ``applied`` have been taken before and change nothing,
+    so the same log can be given again. ``writers`` keeps the (ts, event_id) that wrote each column: an event that
+    arrives late writes the columns no newer one has written. Of a state with (applied_ts, applied_id) but no list, logged
+    events up to that mark count as taken. Experiments without a new event pass through.
     """
     col = F.col
     for name, kind in (("dateanalyzes", "timestamp_ntz"), ("dateanalyzee", "timestamp_ntz"), ("datedel", "date"),
-                       ("applied_ts", "timestamp_ntz"), ("applied_id", "bigint")):
+                       ("applied_ts", "timestamp_ntz"), ("applied_id", "bigint"), ("applied", f"array<{_ORDER}>"),
+                       ("writers", f"struct<{', '.join(f'{w}: {_ORDER}' for w in (*WRITERS, 'first'))}>")):
         if name not in labdata.columns:
             labdata = labdata.withColumn(name, F.lit(None).cast(kind))
     if "params" not in events.columns:
@@ -70,7 +77,9 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
     for name, guard in guards.items():
         allowed = F.when(col("event") == name, guard).otherwise(allowed)
     mark = F.struct(col("applied_ts").alias("ts"), col("applied_id").alias("event_id"))
-    new = col("event_id").isNull() | col("applied_ts").isNull() | (F.struct("ts", "event_id") > mark)
+    own = F.struct("ts", "event_id")
+    new = col("event_id").isNull() | col("applied").isNull() | ~F.array_contains("applied", own)
+    taken = col("event_id").isNotNull() & col("applied").isNull() & F.coalesce(own <= mark, F.lit(False))
     message = F.coalesce(F.replace("message", F.lit("'"), F.lit('"')), F.lit(""))
     written = {
         "to_status": _by_event({
@@ -87,37 +96,56 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
     order = F.struct("ts", F.coalesce("event_id", F.lit((1 << 63) - 1)).alias("event_id"))
     finished = col("event").isin("completed", "failed")
     last = lambda value, where: F.max_by(value, F.when(where, order))  # noqa: E731 - rows without an order are passed over
-    state = labdata.select("uid", "libstatus", "deleted", "forcerun", "url", "applied_ts", "applied_id")
+    state = labdata.select("uid", "libstatus", "deleted", "forcerun", "url", "applied_ts", "applied_id", "applied")
     known = col("to_status").isNotNull() | col("to_text").isNotNull()
     folded = (
         events.select("uid", col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event", "message", col("params").alias("new_params"))
-        .join(state, "uid").filter(F.coalesce(allowed, F.lit(False)) & new)
-        .withColumns(written).filter(known)
+        .join(state, "uid").filter(new)
+        .withColumn("event", F.when(F.coalesce(allowed, F.lit(False)) & ~taken, col("event")))
+        .withColumns(written).withColumn("event", F.when(known, col("event")))
         .groupBy("uid").agg(
-            F.max_by("event", order).alias("event"),
+            last(col("event"), col("event").isNotNull()).alias("event"),
             *[last(col(c), col(c).isNotNull()).alias(c) for c in written],
-            F.max(col("event").isin("started", "reprocess")).alias("runs"),
-            F.max(col("event") == "reprocess").alias("reset"),
+            *[F.max(F.when(where, order)).alias(f"by_{w}") for w, where in zip(WRITERS, (
+                col("to_status").isNotNull(), col("to_text").isNotNull(), col("to_deleted").isNotNull(),
+                col("event").isin("started", "reprocess"), col("event") == "started", finished, col("event") == "delete",
+                finished | (col("event") == "reprocess")))],
+            F.max(F.when(col("event") == "reprocess", order)).alias("reset"),
             F.max(F.when(col("event") == "started", col("ts"))).alias("last_start"),
             F.min(F.when(col("event") == "started", col("ts"))).alias("first_start"),
             F.max(F.when(finished, col("ts"))).alias("last_end"),
             last(F.struct("new_params"), finished).alias("end"),
             F.max(F.when(col("event") == "delete", col("ts").cast("date"))).alias("gone"),
-            last(F.struct("ts", "event_id"), col("event_id").isNotNull()).alias("seen"))
+            F.max(F.when(col("event").isNotNull() & col("event_id").isNotNull(), own)).alias("seen"),
+            F.collect_set(F.when(col("event_id").isNotNull(), own)).alias("given"))
     )
+
+    def newer(writer: str, by: str | None = None) -> Column:
+        by, before = col(by or f"by_{writer}"), col(f"writers.{writer}")
+        return by.isNotNull() & (before.isNull() | (by > before))
+
+    first = F.coalesce("dateanalyzed", "first_start")
+    seen = F.greatest(col("seen"), F.when(col("applied_ts").isNotNull(), mark))
     columns = {
-        "libstatus": F.coalesce("to_status", "libstatus"),
-        "libstatustxt": F.coalesce("to_text", "libstatustxt"),
-        "deleted": F.coalesce("to_deleted", "deleted"),
-        "forcerun": F.when(col("runs"), 0).otherwise(col("forcerun")),
-        "dateanalyzes": F.coalesce("last_start", "dateanalyzes"),
-        "dateanalyzed": F.coalesce("dateanalyzed", "first_start"),
-        "dateanalyzee": F.coalesce("last_end", "dateanalyzee"),
-        "datedel": F.coalesce("gone", "datedel"),
-        "params": F.coalesce("end.new_params", "params"),
-        "applied_ts": F.coalesce("seen.ts", "applied_ts"),
-        "applied_id": F.coalesce("seen.event_id", "applied_id"),
-        **{c: F.when(col("reset"), F.lit(0)).otherwise(col(c)) for c in COUNTERS},
+        "libstatus": F.when(newer("status"), col("to_status")).otherwise(col("libstatus")),
+        "libstatustxt": F.when(newer("text"), col("to_text")).otherwise(col("libstatustxt")),
+        "deleted": F.when(newer("deleted"), col("to_deleted")).otherwise(col("deleted")),
+        "forcerun": F.when(newer("run"), 0).otherwise(col("forcerun")),
+        "dateanalyzes": F.when(newer("start"), col("last_start")).otherwise(col("dateanalyzes")),
+        # the first start; a late one that is earlier replaces only what an event wrote
+        "dateanalyzed": F.when(col("dateanalyzed") == col("writers.first.ts"), F.least("dateanalyzed", "first_start")).otherwise(first),
+        "dateanalyzee": F.when(newer("end"), col("last_end")).otherwise(col("dateanalyzee")),
+        "datedel": F.when(newer("gone"), col("gone")).otherwise(col("datedel")),
+        "params": F.when(newer("end"), F.coalesce("end.new_params", "params")).otherwise(col("params")),
+        "applied_ts": F.coalesce(seen["ts"], "applied_ts"),
+        "applied_id": F.coalesce(seen["event_id"], "applied_id"),
+        "applied": F.when(F.size("given") > 0, F.sort_array(F.array_union(F.coalesce("applied", F.array().cast(f"array<{_ORDER}>")), "given"))).otherwise(col("applied")),
+        "writers": F.when(col("event").isNotNull(), F.struct(
+            *[F.greatest(f"writers.{w}", f"by_{w}").alias(w) for w in WRITERS],
+            F.when(col("dateanalyzed").isNull() | (col("dateanalyzed") == col("writers.first.ts")),
+                   F.struct(F.least(col("writers.first.ts"), col("first_start")).alias("ts"), F.lit(None).cast("bigint").alias("event_id")))
+            .otherwise(col("writers.first")).alias("first"))).otherwise(col("writers")),
+        **{c: F.when(newer("counters", "reset"), F.lit(0)).otherwise(col(c)) for c in COUNTERS},
     }
     return labdata.join(folded, "uid", "left").withColumns(columns).select(*labdata.columns, "event")
 

@@ -79,6 +79,27 @@ def test_all_events_of_an_experiment_apply_once(rows):
     assert (later["a"].libstatus, later["a"].dateanalyzed, later["a"].applied_id) == (11, at(2), 6)
 
 
+def test_late_events_fill_what_no_newer_event_wrote(rows):
+    started, completed = ("a", at(2), 1, "started", None, None), ("a", at(3), 2, "completed", None, '{"x":1}')
+    refused = ("a", at(1), 3, "delete", None, None)
+    lab = rows([row("a", 10, forcerun=1)], LAB)
+    step = lambda state, *log: lifecycle.lifecycle_next(state, rows(list(log), EVENTS))
+    first = step(lab, completed).drop("event")
+    late = step(first, completed, started)
+    got = late.first()
+    assert (got.libstatus, got.libstatustxt, got.event) == (12, "Complete:upgraded", "started")
+    assert (got.forcerun, got.dateanalyzes, got.dateanalyzed, got.dateanalyzee) == (0, at(2), at(2), at(3))
+    assert (got.applied_ts, got.applied_id) == (at(3), 2)
+    again = step(late.drop("event"), completed, started).first()
+    assert again.event is None and again.asDict() | {"event": 0} == got.asDict() | {"event": 0}
+    earlier = step(late.drop("event"), completed, started, ("a", at(1), 4, "started", None, None)).first()
+    assert (earlier.dateanalyzes, earlier.dateanalyzed, earlier.libstatus) == (at(2), at(1), 12)
+    # an event refused once is not taken later
+    kept = step(lab, refused).drop("event")
+    asked = step(kept.withColumn("deleted", F.lit(1)), refused).first()
+    assert (asked.deleted, asked.event) == (1, None)
+
+
 def test_decisions_stand_at_their_own_time(rows):
     log = rows([("a", at(2), 1, "failed", None), ("b", at(1), 2, "started", None)],
                "uid string, ts timestamp_ntz, event_id bigint, event string, message string")
