@@ -39,6 +39,22 @@ def saved(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Working tables of one run below one shared folder, each removed when nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder = spark, working_folder(spark, purpose)
+
+    def save(self, name: str, df: DataFrame, codec: str = "zstd") -> DataFrame:
+        """The rows written as the table of that name and read back."""
+        df.write.option("compression", codec).parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def remove(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from seqtables.llm import codesearch, fixity, jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
+from seqtables.llm import codesearch, collocations, fixity, jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,14 @@ def op10_syncmers(spark, sf):
     return syncmers.fingerprints(documents(spark, sf))
 
 
+@query
+def op13_collocations(spark, sf):
+    return collocations.mine(documents(spark, sf))
+
+
+ORACLES["op13_collocations"] = collocations.oracle()
+
+
 @query
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
