@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from seqtables.llm import bytepairs, codesearch, collocations, fixity, jaccard, langid, mixing, packing, suffixes, syncmers, tokenfiles, toxicity
+from seqtables.llm import bytepairs, codesearch, collocations, fixity, jaccard, langid, mixing, packing, repair, suffixes, syncmers, tokenfiles, toxicity
 from seqtables.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op10_syncmers(spark, sf):
     return syncmers.fingerprints(documents(spark, sf))
 
 
+@query
+def op11_repair(spark, sf):
+    return repair.audit(repair.damaged(spark.read.parquet(f"{sf}/conversations.parquet")))
+
+
 @query
 def op12_bytepairs(spark, sf):
     return bytepairs.digests(bytepairs.encode(documents(spark, sf)))
