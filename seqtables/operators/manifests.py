@@ -12,6 +12,12 @@ from seqtables.functions import text
 from seqtables.operators.experiments import settings_row
 
 
+def _folder(uid: Column, raw_data: Column) -> Column:
+    """The folder of an experiment's files."""
+    joined = F.concat(raw_data, F.lit("/"), uid)
+    return F.when(text.is_plain_name(uid) & (raw_data != "/"), joined).otherwise(text.norm_path(joined))
+
+
 def output_manifest(
     experiments: DataFrame, rules: DataFrame, settings: DataFrame, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -25,11 +31,9 @@ def output_manifest(
         F.col("experimenttype_id").alias("type_id"),
         F.posexplode(F.from_json("upload_rules", "array<string>")).alias("position", "rule"),
     ).withColumn("file_name", F.try_element_at(file_names, F.col("rule")))
-    raw_data, uid = F.col("s.raw_data"), F.col("uid")
-    joined = F.concat(raw_data, F.lit("/"), uid)
-    folder = F.when(text.is_plain_name(uid) & (raw_data != "/"), joined).otherwise(text.norm_path(joined))
+    uid = F.col("uid")
     return (
-        experiments.withColumn("s", settings_row(settings)).withColumn("folder", folder)
+        experiments.withColumn("s", settings_row(settings)).withColumn("folder", _folder(uid, F.col("s.raw_data")))
         .join(per_type, F.col("experimenttype_id") == F.col("type_id"))
         .select(
             "uid", *keep, F.col("position").cast("int").alias("position"), "rule",
@@ -80,3 +84,31 @@ def cleanup_manifest(queue: DataFrame, genome: DataFrame, settings: DataFrame) -
     in_results = _objects(F.col("results_db"), F.col("uid"), result_groups)
     in_browser = _objects(F.col("db"), F.col("browser_uid"), browser_groups)
     return per_database.select("uid", F.inline(F.when(F.col("db").isNull(), in_results).otherwise(in_browser)))
+
+
+def cleanup_files(queue: DataFrame, uploaded: DataFrame, settings: DataFrame, files: DataFrame) -> DataFrame:
+    """Files and folders to remove: uid, reason, kind and path.
+
+    ``queue`` has uid and action: before an experiment runs again (``reprocess``) every file of its folder goes whose name does
+    not hold ``fastq``, and the folder ``tophat`` whole; a deleted one (``delete``) loses its folder. Of experiments in
+    ``uploaded`` (uid, those whose ``delete_files`` took effect) the plain FASTQ files named after them go. ``files`` is an inventory.
+
+    A file meets the experiments by an equi-join of the folders above it, so the whole store is read once, and a file makes
+    one short row for each folder it lies in.
+    """
+    named = queue.select("uid", F.col("action").alias("reason")).unionByName(uploaded.select("uid", F.lit("upload").alias("reason")))
+    folders = named.withColumn("s", settings_row(settings)).select("uid", "reason", _folder(F.col("uid"), F.col("s.raw_data")).alias("folder"))
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    placed = files.select("path", F.explode(above).alias("folder")).join(folders, "folder")
+    rest, name = F.expr("substring(path, length(folder) + 2)"), text.base_name(F.col("path"))
+    goes = (
+        F.when(F.col("reason") == "delete", True)
+        .when(F.col("reason") == "reprocess", ~F.contains(name, F.lit("fastq")) | F.startswith(rest, F.lit("tophat/")))
+        .otherwise((rest == name) & F.startswith(name, "uid") & F.endswith(name, F.lit(".fastq")))
+    )
+    single = placed.filter(goes).select("uid", "reason", F.lit("file").alias("kind"), "path")
+    whole = folders.filter("reason <> 'upload'").select(
+        "uid", "reason", F.lit("folder").alias("kind"),
+        F.when(F.col("reason") == "delete", F.col("folder")).otherwise(F.concat("folder", F.lit("/tophat"))).alias("path"))
+    return single.unionByName(whole)

@@ -262,6 +262,51 @@ select r.uid, 'experiments' as db, r.uid || s.suffix as name, s.kind
 from ready r, (values ('_islands','table'),('_atdp','table'),('_atdph','table'),('_isoforms','table'),
   ('_genes','table'),('_common_tss','table'),('_genes','view'),('_common_tss','view')) s(suffix, kind)""", _PRESENT)
 
+# --- uploads -------------------------------------------------------------------------------
+
+_UPLOADS = """steps as (
+select f.uid, f.genome_id, generate_subscripts(from_json(r.upload_rules, '["varchar"]'), 1) - 1 as position,
+  unnest(from_json(r.upload_rules, '["varchar"]')) as rule
+from finished f join upload_rules r on r.experimenttype_id = f.experimenttype_id),
+placed as (
+select *, '/wardrobe/raw_data/' || uid || '/' || case rule when 'upload_macs2_fragment_stat' then uid || '_fragment_stat.tsv'
+    when 'upload_iaintersect_result' then uid || '_macs_peaks_iaintersect.tsv' when 'upload_get_stat' then uid || '.stat'
+    when 'upload_atdp' then uid || '_atdp.tsv' when 'upload_rpkm' then uid || '.isoforms.csv' end as path from steps),
+bad as (
+select uid, 'upload_get_stat' as rule, body as line from stat_bodies where body like '% x'
+union all
+select uid, 'upload_macs2_fragment_stat', body from fragment_bodies where body like '% 9' and len(string_split(body, ' ')) = 4
+union all
+select uid, 'upload_atdp', min(value) from atdp_lines where value like '%bad' group by uid),
+judged as (
+select p.uid, p.position, p.rule,
+  case when (p.rule like 'upload_bigwig%' or p.rule = 'upload_iaintersect_result')
+      and not exists (select 1 from genome g where g.id = p.genome_id) then 'DB not found'
+    when p.path is not null and not exists (select 1 from result_files s where s.path = p.path)
+      then '[Errno 2] No such file or directory: ''' || p.path || ''''
+    when b.line is not null then 'cannot load ''' || b.line || '''' end as why
+from placed p left join bad b on b.uid = p.uid and b.rule = p.rule),
+failing as (select * from judged where why is not null qualify row_number() over (partition by uid order by position) = 1),
+outcome as (
+select f.uid, case when x.uid is null then 'completed' else 'failed' end as event, cast(x.position as int) as position, x.rule,
+  'Failed to upload ' || x.rule || ' : ' || x.uid || ' : ' || x.why as message
+from finished f left join failing x on x.uid = f.uid)
+"""
+_UPLOAD_TABLES = "finished upload_rules genome result_files stat_bodies fragment_bodies atdp_lines"
+_add("upload_outcome", _UPLOAD_TABLES, "select * from outcome", _UPLOADS)
+_add("cleanup_files", _UPLOAD_TABLES + " labdata experimenttype fastq_files store_files", """
+select q.uid, q.reason, 'file' as kind, f.path
+from doomed q join store_files f on split_part(f.path, '/', 4) = q.uid and starts_with(f.path, '/wardrobe/raw_data/')
+where case q.reason when 'delete' then true
+  when 'reprocess' then split_part(f.path, '/', -1) not like '%fastq%' or f.path like '%/tophat/%'
+  else f.path like '/wardrobe/raw_data/' || q.uid || '/' || q.uid || '%.fastq' end
+union all
+select uid, reason, 'folder', '/wardrobe/raw_data/' || uid || case reason when 'delete' then '' else '/tophat' end
+from doomed where reason <> 'upload'""", _UPLOADS + ", " + _PRESENT + """, doomed as (
+select uid, action as reason from present
+union all
+select uid, 'upload' from outcome where event = 'completed')""")
+
 # --- queues --------------------------------------------------------------------------------
 
 _add("download_queue", "labdata", """
@@ -403,6 +448,9 @@ from seed where inserted and etype not in (select etype from current_types)""",
 _add("replace_partition", "isoforms", """
 select uid, refseq_id, gene_id, chrom, tx_start, tx_end, strand,
   case when uid = 'exp-1' then tot_r_0 * 2 else tot_r_0 end as tot_r_0, rpkm_0 from isoforms""")
+_add("reload_experiments", "atdp", """
+select uid, x, case when n % 7 = 3 then y * 2 else y end as y
+from (select *, cast(regexp_extract(uid, '([0-9]+)$', 1) as bigint) as n from atdp) where n % 7 <> 3 or n % 2 = 0""")
 _HEADS = """count(*) filter (regexp_matches(l1, '^[ \\t]*@')) as n_heads,
   count(*) filter (regexp_matches(l3, '^[ \\t]*\\+')) as n_pluses"""
 _add("fastq_valid", "fastq_records", f"""

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtables.operators import catalogue, experiments, lifecycle, manifests, queues, rollups, tracks
+from seqtables.operators import catalogue, experiments, lifecycle, manifests, queues, rollups, tracks, uploads
 from seqtables.session import shared_folder
-from seqtables.sources import fastq, readers, storage
+from seqtables.sources import buckets, fastq, inventory, readers, storage
 from seqtables.sources.adapters import table
 from seqtables.streaming import jobs
 
@@ -168,6 +168,35 @@ def cleanup_manifest(spark, sf):
     return manifests.cleanup_manifest(_ready(spark, sf), t("genome"), t("settings"))
 
 
+# --- uploads -------------------------------------------------------------------------------
+
+def _verdicts(spark, sf) -> DataFrame:
+    t = lambda name: table(spark, sf, name)
+    body = lambda name: t(name).select("uid", F.col("body").alias("value"))
+    rejected = (
+        uploads.rejects("upload_get_stat", readers.align_stat(body("stat_bodies")))
+        .unionByName(uploads.rejects("upload_macs2_fragment_stat", readers.fragment_stat(body("fragment_bodies"))))
+        .unionByName(uploads.rejects("upload_atdp", readers.profile(t("atdp_lines")))))
+    return uploads.verdicts(t("finished"), t("upload_rules"), t("settings"), t("genome"), t("result_files"), rejected)
+
+
+def _outcome(spark, sf, found: DataFrame) -> DataFrame:
+    return uploads.upload_outcome(table(spark, sf, "finished"), table(spark, sf, "upload_rules"), found)
+
+
+@query
+def upload_outcome(spark, sf):
+    return _outcome(spark, sf, _verdicts(spark, sf))
+
+
+@query
+def cleanup_files(spark, sf):
+    t = lambda name: table(spark, sf, name)
+    found = _verdicts(spark, sf)
+    uploaded = uploads.effective(found, _outcome(spark, sf, found)).filter("rule = 'delete_files'")
+    return manifests.cleanup_files(_present(spark, sf), uploaded, t("settings"), t("store_files"))
+
+
 # --- queues --------------------------------------------------------------------------------
 
 @query
@@ -208,7 +237,8 @@ def local_files(spark, sf):
 def _present(spark, sf) -> DataFrame:
     t = lambda name: table(spark, sf, name)
     queue = queues.reprocess_queue(t("labdata"))
-    return queues.files_present(queue, t("experimenttype"), t("genome"), t("fastq_files"))
+    files = inventory.read_files(t("read_file_paths"))
+    return queues.files_present(queue, t("experimenttype"), t("genome"), files)
 
 
 def _ready(spark, sf) -> DataFrame:
@@ -290,6 +320,18 @@ def replace_partition(spark, sf):
     return spark.read.parquet(path).select(*rows.columns)
 
 
+@query
+def reload_experiments(spark, sf):
+    """Density profiles, and then a seventh of the experiments again: half of those with other values, half without rows."""
+    path = shared_folder(spark, "atdp")
+    rows = table(spark, sf, "atdp")
+    number = F.regexp_extract("uid", "([0-9]+)$", 1).cast("bigint")
+    buckets.replace(rows, path, order=("x",), count=16)
+    again = rows.filter(number % 7 == 3)
+    buckets.replace(again.filter(number % 2 == 0).withColumn("y", F.col("y") * 2), path, again.select("uid"), ("x",))
+    return buckets.read(spark, path, rows.schema)
+
+
 @query
 def footprint_kib(spark, sf):
     return storage.footprint_kib(table(spark, sf, "file_listing"))

@@ -171,6 +171,53 @@ from part
 union all
 select id, etype, '' as workflow, '' as template, '' as upload_rules
 from experimenttype where etype not like '%Trim Galore%' and etype not like '%Mitochondrial%'""",
+    "read_file_paths": """
+select concat('/wardrobe/raw_data/', uid, '/', uid, case when mate = 2 then '_2' else '' end, '.fastq.bz2') as path,
+  cast(mate - 1 as bigint) as length
+from fastq_files
+union all
+select concat('/wardrobe/raw_data/', uid, '/kept/', uid, '.fastq.bz2') as path, cast(9 as bigint) as length
+from fastq_files where mate = 2""",
+    "finished": """
+select id, uid, experimenttype_id, case when id % 37 = 8 then null else genome_id end as genome_id
+from labdata where libstatus = 11""",
+    "result_files": """
+select concat('/wardrobe/raw_data/', uid, '/', uid, '_fragment_stat.tsv') as path, cast(30 as bigint) as length
+from labdata where id % 17 <> 3
+union all
+select concat('/wardrobe/raw_data/', uid, '/', uid, '_macs_peaks_iaintersect.tsv'), cast(9000 as bigint)
+from labdata where id % 19 <> 4
+union all
+select concat('/wardrobe/raw_data/', uid, '/', uid, '.stat'), cast(25 as bigint) from labdata where id % 23 <> 5
+union all
+select concat('/wardrobe/raw_data/', uid, '/', uid, '_atdp.tsv'), cast(4000 as bigint) from labdata where id % 29 <> 6
+union all
+select concat('/wardrobe/raw_data/', uid, '/', uid, '.isoforms.csv'), cast(70000 as bigint) from labdata where id % 31 <> 7
+union all
+select concat('/wardrobe/raw_data/', uid, '/', uid, '.bigWig'), cast(0 as bigint) from labdata""",
+    "stat_bodies": """
+select uid, case when id % 13 = 2 then concat(body, ' x') else body end as body from stat_tokens""",
+    "fragment_bodies": """
+select concat('exp-', cast(o_orderkey as string)) as uid,
+  concat(cast(o_custkey % 300 as string), ' 50 ', cast(o_orderkey as string), case when o_orderkey % 11 = 3 then ' 9' else '' end) as body
+from orders""",
+    "atdp_lines": """
+select concat('exp-', cast(user_id as string)) as uid,
+  concat(cast(event_id % 201 - 100 as string), ' ', case when event_id % 50 = 7 then 'bad' else '1.5' end) as value
+from events""",
+    "store_files": """
+select path, length from result_files
+union all
+select path, length from read_file_paths
+union all
+select concat('/wardrobe/raw_data/', uid, '/tophat/run', cast(id % 3 as string), '/a.fastq.gz'), cast(5 as bigint)
+from labdata where id % 4 = 1
+union all
+select concat('/wardrobe/raw_data/', uid, '/', uid, '.fastq'), cast(7 as bigint) from labdata where id % 3 = 1
+union all
+select concat('/wardrobe/raw_data/', uid, '/sub/', uid, '_x.fastq'), cast(7 as bigint) from labdata where id % 5 = 2
+union all
+select concat('/wardrobe/raw_data/other/', uid, '.bin'), cast(7 as bigint) from labdata where id % 9 = 2""",
     "job_results": """
 select uid, concat('{"total":', cast(id as string), ',"log":{"class":"File","location":"/out/', uid, '.log"}}') as result
 from labdata""",

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from seqtables import schemas
+from seqtables.sources import inventory
 
 
 def replace_experiments(rows: DataFrame, path: str, order: Sequence[str] = ()) -> None:
@@ -15,7 +17,8 @@ def replace_experiments(rows: DataFrame, path: str, order: Sequence[str] = ()) -
 
     Other experiments stay. The rebalance hint lets adaptive execution gather small experiments
     into few files and split a large one over several tasks; rows are ordered inside each file, so
-    Parquet statistics prune on ``order``.
+    Parquet statistics prune on ``order``. One folder an experiment: for few large ones, read with a declared schema, as
+    a folder's name does not tell text from a number. ``sources/buckets.py`` is for many, and clears emptied ones.
     """
     (
         rows.hint("rebalance", "uid")
@@ -37,9 +40,11 @@ def rebuild_layout(spark: SparkSession, path: str, experiments: DataFrame, order
 
     The rows go to ``staging`` first, so a lost job never leaves the table without them.
     """
-    chosen = spark.read.parquet(path).join(experiments.select("uid").distinct(), "uid", "left_semi")
+    # a uid of digits must stay the text it is
+    text = [StructField(f.name, StringType()) if f.name == "uid" else f for f in spark.read.parquet(path).schema.fields]
+    chosen = spark.read.schema(StructType(text)).parquet(path).join(experiments.select("uid").distinct(), "uid", "left_semi")
     replace_experiments(chosen, staging, order)
-    replace_experiments(spark.read.parquet(staging), path, order)
+    replace_experiments(spark.read.schema(chosen.schema).parquet(staging), path, order)
 
 
 def write_lines(lines: DataFrame, path: str, *keys: str) -> None:
@@ -52,14 +57,11 @@ def write_lines(lines: DataFrame, path: str, *keys: str) -> None:
 
 
 def listing(spark: SparkSession, path: str, uid_pattern: str) -> DataFrame:
-    """uid, path and length of the files below ``path``; their contents are not read.
+    """uid, path and length of the files below ``path``, from an inventory; their contents are not read.
 
-    ``uid_pattern`` is a regular expression over the file path whose first group is the uid. The index of a
-    folder is built in the driver, so this is for one experiment's or one load's folders; for a whole store take its
-    inventory table, which has the same columns.
+    ``uid_pattern`` is a regular expression over the file path whose first group is the uid.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.regexp_extract("path", uid_pattern, 1).alias("uid"), "path", "length")
+    return inventory.of_experiments(inventory.inventory(spark, path), uid_pattern)
 
 
 def footprint_kib(files: DataFrame) -> DataFrame:
@@ -69,16 +71,8 @@ def footprint_kib(files: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(uid, mate) of the read files a job is given: ``uid.fastq.bz2`` and ``uid_2.fastq.bz2`` in the folder ``uid``.
-
-    Files of other names or in other folders do not count.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    name = r"/([^/]+)/\1(_2)?\.fastq\.bz2$"
-    return files.select(
-        F.regexp_extract("path", name, 1).alias("uid"),
-        F.when(F.regexp_extract("path", name, 2) == "", 1).otherwise(2).alias("mate"),
-    ).filter("uid <> ''")
+    """(uid, mate) of the read files below ``path``, from an inventory; see ``inventory.read_files``."""
+    return inventory.read_files(inventory.inventory(spark, path))
 
 
 def catalogue_table(spark: SparkSession, path: str, name: str) -> DataFrame:
