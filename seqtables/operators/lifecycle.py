@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtables import fixed
@@ -45,23 +45,67 @@ def _by_event(values: dict[str, Column | int | str], kind: str) -> Column:
 
 
 _ORDER = "struct<ts: timestamp_ntz, event_id: bigint>"
+_TAKEN = "array<struct<lo: bigint, hi: bigint>>"
+#: Event ids of one block of this many bits are sorted together, and an interval of taken ids lies in one block.
+BLOCK_BITS = 16
 WRITERS = ("status", "text", "deleted", "run", "start", "end", "gone", "counters")
 
 
+def _block(event_id: Column) -> Column:
+    return F.shiftright(event_id, BLOCK_BITS)
+
+
+def not_taken(events: DataFrame, held: DataFrame) -> DataFrame:
+    """The events whose id lies in none of their experiment's intervals (uid, applied); events without an id all.
+
+    An event meets the last interval that begins at or before its id, in the order of one experiment's block of ids. So each
+    event and each interval is sorted once, and an experiment of very many events is spread over its blocks.
+    """
+    intervals = held.select("uid", F.inline("applied")).select(
+        "uid", _block(F.col("lo")).alias("_block"), F.col("lo").alias("_at"), F.col("hi").alias("_hi"))
+    place = _block(F.coalesce("event_id", F.xxhash64("uid", "ts", "event")))
+    both = (events.withColumns({"_block": place, "_at": F.col("event_id"), "_hi": F.lit(None).cast("bigint"), "_event": F.lit(True)})
+            .unionByName(intervals.withColumn("_event", F.lit(False)), allowMissingColumns=True))
+    until = Window.partitionBy("uid", "_block").orderBy("_at", "_event")
+    begun = F.last("_hi", ignorenulls=True).over(until.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (both.withColumn("_begun", begun).filter(F.col("_event") & (F.col("event_id").isNull() | F.col("_begun").isNull() | (F.col("_begun") < F.col("_at"))))
+            .select(*events.columns))
+
+
+def taken_intervals(events: DataFrame, held: DataFrame) -> DataFrame:
+    """uid and applied: the intervals held so far and those of the events' ids.
+
+    Ids in a row of the log form an island. Within one an experiment's first to last id are one interval: all ids between are
+    in the log, and belong to it or to others, so no event to come has one of them. An experiment thus keeps an interval
+    for each island it has events in, not one for each event; giving the whole log again joins what increments left apart.
+    """
+    ids = events.filter("event_id is not null").select("uid", "event_id", _block(F.col("event_id")).alias("block"))
+    island = F.col("event_id") - F.dense_rank().over(Window.partitionBy("block").orderBy("event_id"))
+    new = (ids.withColumn("island", island).groupBy("uid", "block", "island")
+           .agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).drop("island"))
+    old = held.select("uid", F.inline("applied")).withColumn("block", _block(F.col("lo")))
+    order = Window.partitionBy("uid", "block").orderBy("lo", "hi")
+    reached = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col("lo") > F.col("_reached") + 1), 1).otherwise(0)
+    merged = (new.unionByName(old.select(*new.columns)).withColumn("_reached", reached).withColumn("_begins", begins)
+              .withColumn("_island", F.sum("_begins").over(order)).groupBy("uid", "block", "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    return merged.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("applied"))
+
+
 def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
     """Experiments after all their events, and the last logged event that was applied.
 
     ``events`` has uid, ts, event_id, event, message and, for finished analyses, optionally new params. Each column
     takes the value of the last event, by (ts, event_id), that writes it; dates are those of the events.
     A queue decision counts if its guard holds for the experiment as it was read; ``reprocess`` must come from experiments
-    with their read files present. Logged events listed in ``applied`` have been taken before and change nothing,
-    so the same log can be given again. ``writers`` keeps the (ts, event_id) that wrote each column: an event that
+    with their read files present. Logged events whose id lies in an interval of ``applied`` have been taken before and change
+    nothing, so the same log can be given again. ``writers`` keeps the (ts, event_id) that wrote each column: an event that
     arrives late writes the columns no newer one has written. Of a state with (applied_ts, applied_id) but no list, logged
     events up to that mark count as taken. Experiments without a new event pass through.
     """
-    col = F.col
+    col, first_run = F.col, "applied" not in labdata.columns
     for name, kind in (("dateanalyzes", "timestamp_ntz"), ("dateanalyzee", "timestamp_ntz"), ("datedel", "date"),
-                       ("applied_ts", "timestamp_ntz"), ("applied_id", "bigint"), ("applied", f"array<{_ORDER}>"),
+                       ("applied_ts", "timestamp_ntz"), ("applied_id", "bigint"), ("applied", _TAKEN),
                        ("writers", f"struct<{', '.join(f'{w}: {_ORDER}' for w in (*WRITERS, 'first'))}>")):
         if name not in labdata.columns:
             labdata = labdata.withColumn(name, F.lit(None).cast(kind))
@@ -78,7 +122,6 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
         allowed = F.when(col("event") == name, guard).otherwise(allowed)
     mark = F.struct(col("applied_ts").alias("ts"), col("applied_id").alias("event_id"))
     own = F.struct("ts", "event_id")
-    new = col("event_id").isNull() | col("applied").isNull() | ~F.array_contains("applied", own)
     taken = col("event_id").isNotNull() & col("applied").isNull() & F.coalesce(own <= mark, F.lit(False))
     message = F.coalesce(F.replace("message", F.lit("'"), F.lit('"')), F.lit(""))
     written = {
@@ -98,9 +141,10 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
     last = lambda value, where: F.max_by(value, F.when(where, order))  # noqa: E731 - rows without an order are passed over
     state = labdata.select("uid", "libstatus", "deleted", "forcerun", "url", "applied_ts", "applied_id", "applied")
     known = col("to_status").isNotNull() | col("to_text").isNotNull()
+    events = events.select("uid", col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event", "message", col("params").alias("new_params"))
+    held = labdata.select("uid", "applied")
     folded = (
-        events.select("uid", col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event", "message", col("params").alias("new_params"))
-        .join(state, "uid").filter(new)
+        (events if first_run else not_taken(events, held)).join(state, "uid")
         .withColumn("event", F.when(F.coalesce(allowed, F.lit(False)) & ~taken, col("event")))
         .withColumns(written).withColumn("event", F.when(known, col("event")))
         .groupBy("uid").agg(
@@ -116,8 +160,7 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
             F.max(F.when(finished, col("ts"))).alias("last_end"),
             last(F.struct("new_params"), finished).alias("end"),
             F.max(F.when(col("event") == "delete", col("ts").cast("date"))).alias("gone"),
-            F.max(F.when(col("event").isNotNull() & col("event_id").isNotNull(), own)).alias("seen"),
-            F.collect_set(F.when(col("event_id").isNotNull(), own)).alias("given"))
+            F.max(F.when(col("event").isNotNull() & col("event_id").isNotNull(), own)).alias("seen"))
     )
 
     def newer(writer: str, by: str | None = None) -> Column:
@@ -139,7 +182,7 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
         "params": F.when(newer("end"), F.coalesce("end.new_params", "params")).otherwise(col("params")),
         "applied_ts": F.coalesce(seen["ts"], "applied_ts"),
         "applied_id": F.coalesce(seen["event_id"], "applied_id"),
-        "applied": F.when(F.size("given") > 0, F.sort_array(F.array_union(F.coalesce("applied", F.array().cast(f"array<{_ORDER}>")), "given"))).otherwise(col("applied")),
+        "applied": col("now_applied"),
         "writers": F.when(col("event").isNotNull(), F.struct(
             *[F.greatest(f"writers.{w}", f"by_{w}").alias(w) for w in WRITERS],
             F.when(col("dateanalyzed").isNull() | (col("dateanalyzed") == col("writers.first.ts")),
@@ -147,7 +190,9 @@ def lifecycle_next(labdata: DataFrame, events: DataFrame) -> DataFrame:
             .otherwise(col("writers.first")).alias("first"))).otherwise(col("writers")),
         **{c: F.when(newer("counters", "reset"), F.lit(0)).otherwise(col(c)) for c in COUNTERS},
     }
-    return labdata.join(folded, "uid", "left").withColumns(columns).select(*labdata.columns, "event")
+    applied = taken_intervals(events, held).withColumnRenamed("applied", "now_applied")
+    after = labdata.join(folded, "uid", "left").join(applied, "uid", "left")
+    return after.withColumns(columns).select(*labdata.columns, "event")
 
 
 def apply_metrics(labdata: DataFrame, *metrics: DataFrame) -> DataFrame:

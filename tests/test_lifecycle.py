@@ -100,6 +100,53 @@ def test_late_events_fill_what_no_newer_event_wrote(rows):
     assert (asked.deleted, asked.event) == (1, None)
 
 
+def intervals(frame):
+    return {r.uid: [tuple(i) for i in r.applied] if r.applied else r.applied for r in frame.collect()}
+
+
+def test_taken_events_are_kept_as_intervals(rows):
+    lab = rows([row("a", 1), row("b", 1), row("c", 1)], LAB)
+    log = [("ab"[i % 2], at(1), i, "started", None, None) for i in range(1, 41)] + [("a", at(2), 100, "completed", None, None), ("x", at(2), 101, "failed", "", None)]
+    step = lambda state, events: lifecycle.lifecycle_next(state, rows(events, EVENTS))
+    once = step(lab, log).drop("event")
+    assert intervals(once) == {"a": [(2, 40), (100, 100)], "b": [(1, 39)], "c": None}
+    late = ("a", at(3), 60, "failed", "x", None)
+    more = step(once, [late, ("b", at(1), 41, "started", None, None)])
+    got = {r.uid: r for r in more.collect()}
+    assert (got["a"].libstatus, got["a"].event, got["b"].event) == (2010, "failed", "started")
+    assert intervals(more) == {"a": [(2, 40), (60, 60), (100, 100)], "b": [(1, 39), (41, 41)], "c": None}
+    # the whole log again changes nothing but joins what lies in one island
+    again = step(more.drop("event"), [*log, late, ("b", at(1), 41, "started", None, None)])
+    assert all(r.event is None for r in again.collect())
+    assert intervals(again) == {"a": [(2, 40), (60, 60), (100, 100)], "b": [(1, 41)], "c": None}
+
+
+def test_intervals_end_at_blocks_of_ids(rows, monkeypatch):
+    monkeypatch.setattr(lifecycle, "BLOCK_BITS", 3)
+    lab = rows([row("a", 1), row("b", 1)], LAB)
+    log = [("a" if i % 3 else "b", at(1 + i % 5), i, "started", None, None) for i in range(30)] + [("b", at(9), -5, "failed", "m", None)]
+    once = lifecycle.lifecycle_next(lab, rows(log, EVENTS)).drop("event")
+    got = intervals(once)
+    assert got["a"] == [(1, 7), (8, 14), (16, 23), (25, 29)] and got["b"] == [(-5, -5), (0, 6), (9, 15), (18, 21), (24, 27)]
+    assert all(r.event is None for r in lifecycle.lifecycle_next(once, rows(log[::-1], EVENTS)).collect())
+    other = [("a", at(20), 24, "failed", "late", None)]
+    # an id that the log gave to another experiment lies between intervals only where blocks end
+    assert lifecycle.lifecycle_next(once, rows(other, EVENTS)).filter("uid = 'a'").first().event == "failed"
+
+
+def test_very_many_events_of_one_experiment(spark, rows):
+    """A hundred thousand events: a state of two intervals, no event meets a list, and no plan pairs events with events."""
+    lab = rows([row("a", 1), row("b", 1)], LAB)
+    log = spark.range(100000).selectExpr(
+        "case when id % 1000 = 7 then 'b' else 'a' end as uid", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) as ts", "id as event_id",
+        "case when id % 2 = 0 then 'started' else 'completed' end as event", "cast(null as string) as message", "cast(null as string) as params")
+    first = lifecycle.lifecycle_next(lab, log).drop("event")
+    kept = spark.createDataFrame(first.collect(), first.schema)
+    assert intervals(kept)["a"] == [(0, 65535), (65536, 99999)]
+    again = lifecycle.lifecycle_next(kept, log.unionByName(rows([("a", at(30), 100000, "failed", "end", None)], EVENTS)))
+    assert {(r.uid, r.event, r.libstatus) for r in again.collect()} == {("a", "failed", 2010), ("b", None, 12)}
+
+
 def test_decisions_stand_at_their_own_time(rows):
     log = rows([("a", at(2), 1, "failed", None), ("b", at(1), 2, "started", None)],
                "uid string, ts timestamp_ntz, event_id bigint, event string, message string")
