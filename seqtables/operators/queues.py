@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtables import fixed
@@ -185,3 +185,46 @@ def launch_requests(
     )
     digest = F.sha2(F.concat_ws(":", "job", "uid", F.col("attempt").cast("string")), 256)
     return requests.select("uid", "kind", "job", F.concat_ws("__", "prefix", "uid", digest).alias("run_id"))
+
+
+def _caused(rows: DataFrame, kind: str, prefix: str, job: Column) -> DataFrame:
+    cause = F.concat(F.lit(f"{kind}:"), F.coalesce(F.col("event_id"), F.lit(0)).cast("string"))
+    return rows.select("uid", F.lit(kind).alias("kind"), job.alias("job"), F.lit(prefix).alias("prefix"), cause.alias("cause"))
+
+
+def numbered(requests: DataFrame, written: DataFrame) -> DataFrame:
+    """Requests (uid, job, cause and more) with their attempt, given the launches written so far (uid, job, cause, attempt).
+
+    A request whose cause was launched before has that launch's number again, so computing it anew gives the same
+    run; another cause has the next number. Causes that come together are numbered in order.
+    """
+    last = written.groupBy("uid", "job").agg(F.max("attempt").alias("_last"))
+    same = written.groupBy("uid", "job", "cause").agg(F.min("attempt").alias("_same"))
+    joined = requests.join(last, ["uid", "job"], "left").join(same, ["uid", "job", "cause"], "left")
+    place = F.dense_rank().over(Window.partitionBy("uid", "job", F.col("_same").isNull()).orderBy("cause"))
+    attempt = F.coalesce("_same", F.coalesce("_last", F.lit(0)) + place).cast("int")
+    return joined.withColumn("attempt", attempt).drop("_last", "_same")
+
+
+def run_id(prefix: Column, job: Column, uid: Column, attempt: Column) -> Column:
+    """The id of a run: the same for the same job, experiment and attempt."""
+    return F.concat_ws("__", prefix, uid, F.sha2(F.concat_ws(":", job, uid, attempt.cast("string")), 256))
+
+
+def launches(downloads: DataFrame, analyses: DataFrame, reruns: DataFrame, plugins: DataFrame, written: DataFrame,
+             download_job: str = "download") -> DataFrame:
+    """Runs to start: uid, kind, job, cause, attempt, run_id. Appended to ``written`` they are known the next time.
+
+    Each frame has uid and event_id, the experiment's last status event, which brought it into the queue (null: none yet);
+    ``analyses`` and ``reruns`` also workflow, ``plugins`` also job. So a second forced run follows another event than the
+    first, is another attempt and has another id, and a queue that is read twice gives the same ids.
+    """
+    workflow_job = text.stem(text.base_name(F.col("workflow")))
+    requests = (
+        _caused(downloads, "download", "trig", F.lit(download_job))
+        .unionByName(_caused(analyses, "analysis", "trig", workflow_job))
+        .unionByName(_caused(reruns, "reprocess", "forcerun", workflow_job))
+        .unionByName(_caused(plugins, "plugin", "trig", F.col("job")))
+    )
+    ident = run_id(F.col("prefix"), F.col("job"), F.col("uid"), F.col("attempt"))
+    return numbered(requests, written).select("uid", "kind", "job", "cause", "attempt", ident.alias("run_id"))

@@ -161,29 +161,34 @@ def _branch(view, prefix, suffix, when, kind, visibility, priority, colour, alte
     rgb = dict(zip(("colorR", "colorG", "colorB", "altColorR", "altColorG", "altColorB"),
                    (colour + "," + alternative).split(",")))
     colours = ", ".join(f'{v} as "{k}"' for k, v in rgb.items())
-    name = "replace(l.uid, '-', '_') || '" + suffix + "'"
+    name = "replace(s.uid, '-', '_') || '" + suffix + "'"
     lines = " || chr(10) || ".join(settings)
     return f"""
-select '{view}' as genome_db, {name} as "tableName", l.name4browser as "shortLabel", {kind} as "type",
-  l.name4browser as "longLabel", {visibility} as visibility, {priority} as priority, {colours}, {_CONSTANTS},
-  l.egroup_id as grp, {can_pack} as "canPack", {lines} as settings
-from labdata l, experimenttype et, genome g
-where l.deleted = 0 and l.libstatus between 10 and 99 and l.experimenttype_id = et.id and ({when})
-  and l.genome_id = g.id and l.egroup_id is not null and g.db like '{prefix}%'"""
+select '{view}' as genome_db, {name} as "tableName", s.name4browser as "shortLabel", {kind} as "type",
+  s.name4browser as "longLabel", {visibility} as visibility, {priority} as priority, {colours}, {_CONSTANTS},
+  s.egroup_id as grp, {can_pack} as "canPack", {lines} as settings
+from shown s where starts_with(s.db, '{prefix}') and ({when})"""
+
+
+_SHOWN = """shown as (
+select l.uid, l.name4browser, l.egroup_id, t.etype, g.db
+from (select * from labdata where egroup_id is not null and deleted = 0 and libstatus >= 10 and libstatus < 100) l
+inner join genome g on g.id = l.genome_id inner join experimenttype t on t.id = l.experimenttype_id),
+"""
 
 
 def _view(view: str, prefix: str) -> list[str]:
-    ref = lambda word, suffix: f"'{word} ' || replace(l.uid, '-', '_') || '{suffix}'"
-    group = "'group ' || l.egroup_id"
+    ref = lambda word, suffix: f"'{word} ' || replace(s.uid, '-', '_') || '{suffix}'"
+    group = "'group ' || s.egroup_id"
     stranded = "'bedGraph 4'" if view == "rn5" else \
-        "case when et.etype like '%dUTP%' then 'PbedGraph 4' else 'bedGraph 4' end"
+        "case when s.etype like '%dUTP%' then 'PbedGraph 4' else 'bedGraph 4' end"
     auto, top, hide = "'autoScale on'", "'windowingFunction maximum'", "'visibility hide'"
     full, dense = "'visibility full'", "'visibility dense'"
-    rna, dna, both = "et.etype like '%RNA%'", "et.etype like '%DNA%'", "et.etype like '%RNA%dUTP%'"
+    rna, dna, both = "s.etype like '%RNA%'", "s.etype like '%DNA%'", "s.etype like '%RNA%dUTP%'"
     big, bed, graph = "'bigWig'", "'bed 4 +'", "'bedGraph 4'"
     rows = [
         ("_wtrack", rna, stranded, 0, 10, _BLUE, _BLUE, 0, [auto, top]),
-        ("_f_wtrack", rna + " and et.etype not like '%dUTP%'", big, 0, 2, _BLUE, _BLUE, 0,
+        ("_f_wtrack", rna + " and s.etype not like '%dUTP%'", big, 0, 2, _BLUE, _BLUE, 0,
          [ref("track", "_f_wtrack"), auto, hide, top]),
         ("_multi_f_wtrack", both, big, 0, 2, _BLUE, _BLUE, 0,
          [ref("track", "_multi_f_wtrack"), group, "'container multiWig'", auto, hide, top]),
@@ -215,9 +220,9 @@ def _tracks(views) -> str:
 _VIEWS = [("hg19", "hg"), ("mm10", "mm"), ("dm3", "dm"), ("rn5", "rn"), ("rheMac8", "rheMac8"),
           ("xenLae9", "xenLae9"), ("xenTro3", "xenTro"), ("xenTro7_1", "xenTro7"), ("xenTro9", "xenTro9")]
 _add("track_db", "labdata experimenttype genome",
-     "select * exclude (genome_db) from tracks", f"tracks as ({_tracks(_VIEWS[:1])})")
+     "select * exclude (genome_db) from tracks", _SHOWN + f"tracks as ({_tracks(_VIEWS[:1])})")
 _add("track_db_all_genomes", "labdata experimenttype genome",
-     "select * from tracks", f"tracks as ({_tracks(_VIEWS)})")
+     "select * from tracks", _SHOWN + f"tracks as ({_tracks(_VIEWS)})")
 
 # --- manifests -----------------------------------------------------------------------------
 
@@ -352,8 +357,14 @@ from labdata l join experimenttype e on e.id = l.experimenttype_id
 join plugintype p on list_contains(from_json(p.etype_id, '["int"]'), e.id))
 """
 _add("plugin_match", "labdata experimenttype plugintype", "select uid, ptype, job from plugins", _PLUGINS)
-_add("launch_requests", "labdata experimenttype plugintype fastq_files", """
-select uid, kind, job, prefix || '__' || uid || '__' || sha256(job || ':' || uid || ':1') as run_id from (
+_add("launch_requests", "labdata experimenttype plugintype fastq_files genome last_events launch_log", """
+select uid, kind, job, cause, attempt, prefix || '__' || uid || '__' || sha256(job || ':' || uid || ':' || attempt) as run_id
+from (
+  select w.*, cast(coalesce((select min(g.attempt) from launch_log g where g.uid = w.uid and g.job = w.job and g.cause = w.cause),
+    coalesce((select max(g.attempt) from launch_log g where g.uid = w.uid and g.job = w.job), 0)
+    + (select count(distinct o.cause) from wanted o where o.uid = w.uid and o.job = w.job and o.cause <= w.cause
+       and not exists (select 1 from launch_log g where g.uid = o.uid and g.job = o.job and g.cause = o.cause))) as int) as attempt
+  from wanted w)""", _PRESENT + ", " + _PLUGINS + """, queued as (
   select uid, 'download' as kind, 'download' as job, 'trig' as prefix from labdata
   where libstatus = 0 and deleted = 0 and url <> ''
   union all
@@ -363,7 +374,9 @@ select uid, kind, job, prefix || '__' || uid || '__' || sha256(job || ':' || uid
   select r.uid, 'reprocess', replace(e.workflow, '.cwl', ''), 'forcerun' from ready r
   join labdata l on l.uid = r.uid join experimenttype e on e.id = l.experimenttype_id where r.action = 'reprocess'
   union all
-  select uid, 'plugin', job, 'trig' from plugins where libstatus = 12)""", _PRESENT + ", " + _PLUGINS)
+  select uid, 'plugin', job, 'trig' from plugins where libstatus = 12),
+wanted as (
+  select q.*, q.kind || ':' || coalesce(e.event_id, 0) as cause from queued q left join last_events e on e.uid = q.uid)""")
 
 _SIZES = "sizes as (select uid, sum(length) / 1024 as size from (select distinct * from file_listing) group by uid)"
 _add("footprint_kib", "file_listing", "select uid, size from sizes", _SIZES)
@@ -375,6 +388,7 @@ select uid, libstatus, event_id from (
   select *, row_number() over (partition by uid order by ts desc, event_id desc) as n from status_events) where n = 1"""
 _add("status_latest", "status_events", _LATEST)
 _add("status_latest_stream", "status_events", _LATEST)
+_add("status_current_stream", "status_events", _LATEST)
 _add("queue_claim", "labdata", """
 select uid, url, 1 as attempt, 'download' as job, 'trig__' || uid || '__' || sha256('download:' || uid || ':1') as run_id
 from labdata where libstatus = 0 and deleted = 0 and url is not null and url <> ''""")

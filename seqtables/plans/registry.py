@@ -259,15 +259,17 @@ def plugin_match(spark, sf):
 @query
 def launch_requests(spark, sf):
     t = lambda name: table(spark, sf, name)
-    first = lambda df: df.withColumn("attempt", F.lit(1))
-    downloaded = t("labdata").filter("libstatus = 10").join(
-        t("experimenttype").withColumnRenamed("id", "experimenttype_id"), "experimenttype_id")
+    last = t("last_events")
+    caused = lambda df: df.join(last, "uid", "left")
+    known = t("labdata").join(t("genome").select(F.col("id").alias("genome_id")), "genome_id")
+    downloaded = known.filter("libstatus = 10").join(t("experimenttype").withColumnRenamed("id", "experimenttype_id"), "experimenttype_id")
     finished = t("labdata").filter("libstatus = 12")
-    return queues.launch_requests(
-        first(queues.download_queue(t("labdata"))),
-        first(downloaded),
-        first(_ready(spark, sf).filter("action = 'reprocess'")),
-        first(queues.plugin_match(finished, t("experimenttype"), t("plugintype"))),
+    return queues.launches(
+        caused(queues.download_queue(t("labdata"))),
+        caused(downloaded),
+        caused(_ready(spark, sf).filter("action = 'reprocess'")),
+        caused(queues.plugin_match(finished, t("experimenttype"), t("plugintype"))),
+        t("launch_log"),
     )
 
 
@@ -387,3 +389,10 @@ def status_latest_stream(spark, sf):
     out, checkpoint = shared_folder(spark, "status"), shared_folder(spark, "status-checkpoint")
     _run(jobs.append_status_log(table(spark, sf, "status_events", stream="events"), out, checkpoint))
     return lifecycle.status_latest(spark.read.parquet(out))
+
+
+@query
+def status_current_stream(spark, sf):
+    out, checkpoint = shared_folder(spark, "current"), shared_folder(spark, "current-checkpoint")
+    _run(jobs.keep_current(table(spark, sf, "status_events", stream="events"), out, checkpoint, 16))
+    return buckets.read(spark, out, jobs.CURRENT).drop("ts")

@@ -7,28 +7,29 @@ dimension reads.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seqtables import fixed
+
 BASE_TABLES = ("nation", "orders", "lineitem", "events", "documents", "part")
 
+_TYPES = ", ".join(f"({i}, '{etype}', '{workflow}')" for i, (etype, workflow, _) in enumerate(fixed.EXPERIMENT_TYPES, 1))
+
+
+def _names(rules: tuple[str, ...]) -> str:
+    return json.dumps(rules, separators=(",", ":"))
+
+
 ADAPTERS: dict[str, str] = {
-    "experimenttype": """
-select * from (values
- (1,'RNA-Seq','rnaseq-se.cwl'),(2,'RNA-Seq pair','rnaseq-pe.cwl'),(3,'RNA-Seq dUTP','rnaseq-se-dutp.cwl'),
- (4,'RNA-Seq dUTP Mitochondrial','rnaseq-se-dutp-mitochondrial.cwl'),
- (5,'RNA-Seq dUTP pair Mitochondrial','rnaseq-pe-dutp-mitochondrial.cwl'),
- (6,'RNA-Seq dUTP pair','rnaseq-pe-dutp.cwl'),(7,'DNA-Seq','chipseq-se.cwl'),(8,'DNA-Seq pair','chipseq-pe.cwl'),
- (9,'DNA-Seq Trim Galore','trim-chipseq-se.cwl'),(10,'DNA-Seq pair Trim Galore','trim-chipseq-pe.cwl'),
- (11,'RNA-Seq Trim Galore','trim-rnaseq-se.cwl'),(12,'RNA-Seq pair Trim Galore','trim-rnaseq-pe.cwl'),
- (13,'RNA-Seq dUTP Trim Galore','trim-rnaseq-se-dutp.cwl'),
- (14,'RNA-Seq dUTP pair Trim Galore','trim-rnaseq-pe-dutp.cwl')) t(id, etype, workflow)""",
-    "upload_rules": """
+    "experimenttype": f"select * from (values {_TYPES}) t(id, etype, workflow)",
+    "upload_rules": f"""
 select id as experimenttype_id, etype,
-  case when etype like '%DNA%' then '["upload_macs2_fragment_stat","upload_iaintersect_result","upload_get_stat","upload_atdp","upload_bigwig","upload_folder_size","delete_files"]'
-       when etype like '%dUTP%' then '["upload_bigwig_upstream","upload_bigwig_downstream","upload_get_stat","upload_rpkm","upload_folder_size","delete_files"]'
-       else '["upload_bigwig","upload_get_stat","upload_rpkm","upload_folder_size","delete_files"]' end as upload_rules
+  case when etype like '%DNA%' then '{_names(fixed.RULES_DNA)}'
+       when etype like '%dUTP%' then '{_names(fixed.RULES_RNA_STRANDED)}'
+       else '{_names(fixed.RULES_RNA)}' end as upload_rules
 from experimenttype""",
     "genome": """
 select * from (values (1,'hg19','hg19'),(2,'mm10','mm10'),(3,'dm3','dm3'),(4,'rn5','rn5'),
@@ -136,6 +137,17 @@ from documents""",
 select concat('exp-', cast(user_id as string)) as uid, ts, event_id,
   case event_type when 'signup' then 0 when 'view' then 10 when 'click' then 11 when 'purchase' then 12 else 2010 end as libstatus
 from events""",
+    "last_events": """
+select uid, event_id from (
+  select uid, event_id, row_number() over (partition by uid order by ts desc, event_id desc) as n from status_events) t
+where n = 1""",
+    "launch_log": """
+select l.uid, 'download' as job, concat('download:', cast(case when l.id % 3 = 0 then coalesce(e.event_id, 0) else -1 end as string)) as cause,
+  cast(2 as int) as attempt
+from labdata l left join last_events e on e.uid = l.uid where l.id % 3 < 2
+union all
+select l.uid, replace(t.workflow, '.cwl', '') as job, case when l.id % 2 = 0 then 'analysis:-7' else 'reprocess:-7' end as cause, cast(3 as int) as attempt
+from labdata l join experimenttype t on t.id = l.experimenttype_id where l.id % 5 = 1""",
     "lifecycle_log": """
 select concat('exp-', cast(user_id as string)) as uid, ts, event_id,
   case event_type when 'signup' then 'queued' when 'view' then 'downloaded' when 'click' then 'started'

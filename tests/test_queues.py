@@ -110,3 +110,34 @@ def test_launch_ids_repeat_per_attempt(rows):
     assert first == again and all(first[k].run_id != later[k].run_id for k in first)
     assert first["analysis"].job == "w.x" and first["reprocess"].run_id.startswith("forcerun__a__")
     assert len({r.run_id for r in first.values()}) == 4
+
+
+REQUEST = "uid string, event_id bigint"
+WRITTEN = "uid string, job string, cause string, attempt int"
+
+
+def started(rows, downloads=(), analyses=(), reruns=(), plugins=(), written=()):
+    more = REQUEST + ", workflow string"
+    frame = queues.launches(rows(list(downloads), REQUEST), rows(list(analyses), more), rows(list(reruns), more),
+                            rows(list(plugins), REQUEST + ", job string"), rows(list(written), WRITTEN))
+    return {(r.uid, r.kind, r.job, r.cause, r.attempt, r.run_id) for r in frame.collect()}
+
+
+def test_an_attempt_follows_its_cause(rows):
+    first = started(rows, reruns=[("a", 5, "x/chip.cwl")], downloads=[("b", None)])
+    assert {r[:5] for r in first} == {("a", "reprocess", "chip", "reprocess:5", 1), ("b", "download", "download", "download:0", 1)}
+    log = [(r[0], r[2], r[3], r[4]) for r in first]
+    # computed again, before or after it is written: the same
+    assert started(rows, reruns=[("a", 5, "x/chip.cwl")], downloads=[("b", None)], written=log) == first
+    second = started(rows, reruns=[("a", 9, "x/chip.cwl")], written=log)
+    assert {r[4] for r in second} == {2} and not {r[5] for r in second} & {r[5] for r in first}
+    log += [(r[0], r[2], r[3], r[4]) for r in second]
+    assert {r[4] for r in started(rows, reruns=[("a", 5, "x/chip.cwl")], written=log)} == {1}
+
+
+def test_causes_that_come_together_are_numbered(rows):
+    got = started(rows, analyses=[("a", 3, "chip.cwl")], reruns=[("a", 3, "chip.cwl"), ("a", 3, "chip.cwl")], plugins=[("a", 3, "chip"), ("a", 3, "pca")],
+                  written=[("a", "chip", "download:1", 4), ("z", "chip", "x", 9)])
+    assert {(r[1], r[2], r[4]) for r in got} == {("analysis", "chip", 5), ("plugin", "chip", 6), ("reprocess", "chip", 7), ("plugin", "pca", 1)}
+    assert len({r[5] for r in got}) == 4
+    assert started(rows) == set()

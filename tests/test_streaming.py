@@ -1,6 +1,7 @@
 import datetime as dt
 
 from seqtables.operators import lifecycle, queues
+from seqtables.sources import buckets
 from seqtables.streaming import jobs
 
 CHANGES = "uid string, url string, libstatus int, deleted int, attempt int"
@@ -61,3 +62,39 @@ def test_status_fold_runs_on_a_stream(spark, rows, tmp_path):
          .queryName("latest_status").trigger(availableNow=True).start())
     q.awaitTermination()
     assert [tuple(r) for r in spark.table("latest_status").collect()] == [("a", 4, 4)]
+
+
+def test_attempts_on_a_stream(spark, rows, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    schema = "uid string, url string, libstatus int, deleted int, event_id bigint"
+    read = lambda: spark.read.schema("uid string, url string, kind string, job string, cause string, attempt int, run_id string").parquet(out)
+    none = rows([], "uid string, job string, cause string, attempt int")
+    rows([("a", "x", 0, 0, None), ("a", "x", 0, 0, None), ("b", "", 0, 0, 1)], schema).write.mode("append").parquet(src)
+    jobs.claim_attempts(stream(spark, src, schema), none, out, ck).awaitTermination()
+    assert [(r.uid, r.attempt) for r in read().collect()] == [("a", 1)]
+    rows([("a", "x", 0, 0, 7), ("a", "x", 0, 0, None), ("c", "x", 0, 0, 2)], schema).write.mode("append").parquet(src)
+    written = spark.createDataFrame(read().select("uid", "job", "cause", "attempt").collect(), none.schema)
+    jobs.claim_attempts(stream(spark, src, schema), written, out, ck).awaitTermination()
+    assert sorted((r.uid, r.attempt) for r in read().collect()) == [("a", 1), ("a", 2), ("c", 1)]
+    # the ids are those of the batch form
+    batch = queues.launches(rows([("a", 7)], "uid string, event_id bigint"), *[rows([], "uid string, event_id bigint, workflow string")] * 2,
+                            rows([], "uid string, event_id bigint, job string"), written).first()
+    assert batch.run_id in {r.run_id for r in read().collect()}
+
+
+def test_the_current_status_is_stored(spark, rows, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    when = lambda d: dt.datetime(2024, 1, d)
+    keep = lambda: jobs.keep_current(stream(spark, src, EVENTS), out, ck, 4).awaitTermination()
+    read = lambda: sorted((r.uid, r.libstatus, r.event_id) for r in buckets.read(spark, out, jobs.CURRENT).collect())
+    rows([("a", when(1), 1, 0), ("a", when(3), 2, 10), ("007", when(1), 3, 12)], EVENTS).write.mode("append").parquet(src)
+    keep()
+    assert read() == [("007", 12, 3), ("a", 10, 2)]
+    rows([("a", when(2), 4, 11), ("b", when(1), 5, 0), ("007", when(1), 6, 1000)], EVENTS).write.mode("append").parquet(src)
+    keep()
+    assert read() == [("007", 1000, 6), ("a", 10, 2), ("b", 0, 5)]
+    keep()
+    # a batch that is written again changes nothing
+    last = max((tmp_path / "ck-changes").iterdir(), key=lambda f: int(f.name.split("=")[1]))
+    buckets.replace(spark.read.schema(jobs.CURRENT).parquet(str(last)), out)
+    assert read() == [("007", 1000, 6), ("a", 10, 2), ("b", 0, 5)]
