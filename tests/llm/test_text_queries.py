@@ -14,12 +14,15 @@ CONTRACT = {
     "op6_jaccard": ["doc_id", "n_shingles", "component_id"],
     "op7_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_tokenfiles": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12_bytepairs": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op13_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
     "op10_syncmers": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
 }
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
