@@ -128,6 +128,13 @@ ROUTE_ARCHIVE = r"^(GSM|SR[ARX])[0-9]+( (GSM|SR[ARX])[0-9]+)*$"
 ROUTE_URL = r"^https?://|^s?ftp://|^-"
 ROUTE_COPY = r"^[0-9]+( [0-9]+)*$"
 
+# --- fixed values: file types a download may have, and what a failed one says ----------------
+DOWNLOAD_TYPES = ("bzip2", "gzip", "Zip", "ASCII")
+TEXT_UNKNOWN_TYPE = "Error: file type unknown"
+TEXT_NOT_FASTQ = "Error: not a fastq"
+TEXT_BAD_FILTER = "Error: Bad filter"
+TEXT_NO_LOCAL = "Skip local: File not found 0"
+
 # --- fixed values: objects removed with an experiment ----------------------------------------
 BROWSER_TABLE_SUFFIXES = ("_wtrack", "_islands", "_f_wtrack", "_upstream_f_wtrack", "_downstream_f_wtrack")
 BROWSER_VIEW_SUFFIXES = ("_islands",)

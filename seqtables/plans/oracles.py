@@ -351,6 +351,38 @@ select l.uid, l.url, count(p.path) as n_files,
   case when count(p.path) = 2 then max(p.path) end as mate_2
 from labdata l left join local_paths p on contains(split_part(p.path, '/', -1), l.url)
 where l.url <> '' and {_ROUTE.format(u='l.url')} = 'local' group by l.uid, l.url""")
+_add("download_outcome", _DIM_TABLES + " local_paths fetched fastq_records fastq_files", """
+select uid, case when why is null then 'downloaded' else 'download_failed' end as event, why as message
+from (select uid, min(mate) filter (state <> 'ok') as stop, arg_min(why, mate) filter (state = 'failed') as why,
+    arg_min(state, mate) filter (state <> 'ok') as said from steps group by uid)
+where stop is null or said = 'failed'
+union all
+select u.uid, 'downloaded', null from underway u
+where u.route in ('sra', 'copy') and exists (select 1 from fastq_files f where f.uid = u.uid and f.mate = 1)
+  and (not u.pair or exists (select 1 from fastq_files f where f.uid = u.uid and f.mate = 2))""",
+     _DIM + f""", underway as (select *, {_ROUTE.format(u='url')} as route from dim where libstatus = 1 and url is not null),
+matched as (
+select u.uid, count(p.path) as n from underway u left join local_paths p on contains(split_part(p.path, '/', -1), u.url)
+where u.route = 'local' and u.url <> '' group by u.uid),
+bad_fastq as (
+select uid, mate from fastq_records group by uid, mate
+having count(*) filter (regexp_matches(l1, '^[ \\t]*@')) <> count(*) filter (regexp_matches(l3, '^[ \\t]*\\+'))),
+awaited as (
+select uid, m as mate, case when m = 2 and split_part(url, ';', 2) = '' then 'Error: no address'
+    when m = 1 and pair and split_part(url, ';', 1) = '' then 'Error: no address' end as refused
+from underway, (values (1), (2)) v(m) where route = 'url' and (m = 1 or pair)
+union all
+select uid, m, case when n = 0 then 'Skip local: File not found 0' when n > 2 then 'Error: Bad filter' end
+from matched, (values (1), (2)) v(m) where m = 1 or n = 2),
+judged_files as (
+select a.uid, a.mate, f.file_type,
+  case when a.refused is not null then a.refused
+    when f.file_type is not null and f.file_type not in ('bzip2', 'gzip', 'Zip', 'ASCII') then 'Error: file type unknown'
+    when f.file_type is not null and exists (select 1 from bad_fastq b where b.uid = a.uid and b.mate = a.mate) then 'Error: not a fastq' end as why
+from awaited a left join fetched f on f.uid = a.uid and f.mate = a.mate),
+steps as (
+select *, case when why is not null then 'failed' when file_type is null then 'awaited' else 'ok' end as state from judged_files)
+""")
 _PLUGINS = """plugins as (
 select l.uid, p.ptype, replace(regexp_replace(p.workflow, '\\.[^.]*$', ''), '.', '_dot_') as job, l.libstatus
 from labdata l join experimenttype e on e.id = l.experimenttype_id

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtables.operators import catalogue, experiments, lifecycle, manifests, queues, rollups, tracks, uploads
+from seqtables.operators import catalogue, downloads, experiments, lifecycle, manifests, queues, rollups, tracks, uploads
 from seqtables.session import shared_folder
 from seqtables.sources import buckets, fastq, inventory, readers, storage
 from seqtables.sources.adapters import table
@@ -234,6 +234,15 @@ def local_files(spark, sf):
     return queues.local_files(table(spark, sf, "labdata"), table(spark, sf, "local_paths"))
 
 
+@query
+def download_outcome(spark, sf):
+    t = lambda name: table(spark, sf, name)
+    underway = _dim(spark, sf).filter("libstatus = 1")
+    checks = fastq.check_numbered(_numbered_lines(spark, sf), "uid", "mate")
+    steps = downloads.download_steps(underway, queues.local_files(underway, t("local_paths")), t("fetched"), checks)
+    return downloads.download_outcome(underway, steps, inventory.read_files(t("read_file_paths")))
+
+
 def _present(spark, sf) -> DataFrame:
     t = lambda name: table(spark, sf, name)
     queue = queues.reprocess_queue(t("labdata"))

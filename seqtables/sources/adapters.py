@@ -190,6 +190,12 @@ from fastq_files
 union all
 select concat('/wardrobe/raw_data/', uid, '/kept/', uid, '.fastq.bz2') as path, cast(9 as bigint) as length
 from fastq_files where mate = 2""",
+    "fetched": """
+select uid, cast(1 as int) as mate, case id % 7 when 0 then 'HTML' when 1 then 'bzip2' when 2 then 'ASCII' else 'gzip' end as file_type
+from labdata where id % 12 <> 5
+union all
+select uid, cast(2 as int) as mate, case id % 5 when 0 then 'PDF' when 1 then 'Zip' else 'gzip' end as file_type
+from labdata where id % 10 <> 1""",
     "finished": """
 select id, uid, experimenttype_id, case when id % 37 = 8 then null else genome_id end as genome_id
 from labdata where libstatus = 11""",
