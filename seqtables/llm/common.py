@@ -39,18 +39,50 @@ def saved(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Whether shuffle files go as soon as the query that wrote them has ended.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Workspace:
-    """Working tables of one run below one shared folder, each removed when nothing reads it any more."""
+    """Working tables of one run below one shared folder, each removed when nothing reads it any more.
+
+    A table is read back once it is written, so the shuffles that made it go at once, not when the driver next collects garbage.
+    """
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark, self.folder = spark, working_folder(spark, purpose)
+        self.names: list[str] = []
+        self.used = 0
 
     def save(self, name: str, df: DataFrame, codec: str = "zstd") -> DataFrame:
         """The rows written as the table of that name and read back."""
-        df.write.option("compression", codec).parquet(f"{self.folder}/{name}")
+        self.names.append(name)
+        self.used += 1
+        before = self.spark.conf.get(_CLEAN_UP, None)
+        self.spark.conf.set(_CLEAN_UP, True)
+        try:
+            df.write.option("compression", codec).parquet(f"{self.folder}/{name}")
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEAN_UP)
+            else:
+                self.spark.conf.set(_CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def remove(self, name: str) -> None:
+    def number(self, name: str) -> str:
+        """A name not used yet, for tables of which there are several."""
+        return f"{name}-{self.used}"
+
+    def remove(self, *names: str) -> None:
+        for name in names:
+            self._remove(name)
+
+    def remove_others(self, *kept: str) -> None:
+        """Removes all tables but those named."""
+        self.remove(*(n for n in self.names if n not in kept))
+
+    def _remove(self, name: str) -> None:
+        self.names = [n for n in self.names if n != name]
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 

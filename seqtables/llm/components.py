@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import saved
+from seqtables.llm.common import Workspace
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component: the least node it is linked with, for every node of the links."""
-    edges = saved(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "links")
+def components(links: DataFrame, a: str = "a", b: str = "b", work: Workspace | None = None) -> DataFrame:
+    """node, component: the least node it is linked with, for every node of the links. Only the last round's table stays."""
+    work = work or Workspace(links.sparkSession, "components")
+    name = work.number("links")
+    edges = work.save(name, links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -24,7 +26,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         nxt = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = saved(nxt.filter("u <> v").distinct(), "links")
+        done, name = name, work.number("links")
+        edges = work.save(name, nxt.filter("u <> v").distinct())
+        work.remove(done)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break

@@ -17,8 +17,8 @@ the token is very frequent.
    blocks: a cell holds two blocks of classes and compares each of the one with each of the other, and the largest
    component's blocks meet the others' only. So what a task holds is bounded whatever the token.
 
-Pairs that remain are compared on whole sets: first the most promising one of each two components, then, where that
-gave no link, the others. Texts travel to the comparison by star: a star's centre is read once for
+Pairs that remain are compared on whole sets, in rounds: each component proposes its most promising pairs, and those that
+link join components before the next round. Texts travel to the comparison by star: a star's centre is read once for
 all its partners, and stars of many partners are split. Lists of ids grow with the corpus, so their joins
 are merge joins at every size.
 
@@ -31,10 +31,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import Words, lowered, mixed, runs_hashed, saved, signed, slices, utf8
+from seqtables.llm.common import Words, Workspace, lowered, mixed, runs_hashed, signed, slices, utf8
 from seqtables.llm.components import components
 
 SHINGLE = 5
@@ -51,8 +51,11 @@ SIGNATURE_BITS = 512
 SALTS = 16
 STAR_SPLITS = 32
 FANOUT = 8
-#: rows a block of a split bucket holds, about
+#: rows a block of a split bucket holds, about, and rows of the buckets that one leader brings to a task, about
 BLOCK_ROWS = 1 << 12
+LEADER_ROWS = 1 << 16
+#: a component proposes one pair in the first round, and this many times more in each round after
+MORE_PROPOSALS = 16
 
 _TIER = np.uint64(62)
 
@@ -105,8 +108,9 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _described(docs: DataFrame) -> DataFrame:
+def _described(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
     """A row per document (doc_id, n, class, bits) and rows of tokens frequent in a chunk (token, and as n its documents there)."""
+    work = work or Workspace(docs.sparkSession, "jaccard")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def describe(batches):
@@ -138,7 +142,7 @@ def _described(docs: DataFrame) -> DataFrame:
         if chunk:
             yield frequent()
 
-    return saved(docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, class long, bits binary, token long"), "sets")
+    return work.save("sets", docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, class long, bits binary, token long"))
 
 
 def _frequent(described: DataFrame) -> DataFrame:
@@ -176,7 +180,7 @@ def _prefix_rows(docs: DataFrame, frequent: np.ndarray, tier: np.ndarray) -> Dat
     return rows.withColumn("salt", F.when(F.col("token") < 0, F.pmod("class", F.lit(SALTS))).otherwise(0).cast("int"))
 
 
-def _buckets(rows: DataFrame) -> DataFrame:
+def _buckets(rows: DataFrame, work: Workspace) -> DataFrame:
     """Rows of buckets with several classes (of frequent tokens all), with the bucket's first class as hub."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -203,15 +207,15 @@ def _buckets(rows: DataFrame) -> DataFrame:
                                              [*names, *(f"hub_{c}" for c in hub_names)])
             last, shown = {c: column[c][final:final + 1] for c in names}, passed
 
-    return saved(rows.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt", "rep", "class")
-                 .select("token", "salt", "rep", "class", "n")
-                 .mapInArrow(several, "token long, salt int, rep long, class long, n int, hub_rep long, hub_class long, hub_n int"), "buckets")
+    return work.save("buckets", rows.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt", "rep", "class")
+                     .select("token", "salt", "rep", "class", "n")
+                     .mapInArrow(several, "token long, salt int, rep long, class long, n int, hub_rep long, hub_class long, hub_n int"))
 
 
 _NEAR_SIZES = f"{DENOMINATOR} * least(n_a, n_b) >= {NUMERATOR} * greatest(n_a, n_b)"
 
 
-def _first_pairs(buckets: DataFrame) -> DataFrame:
+def _first_pairs(buckets: DataFrame, work: Workspace) -> DataFrame:
     """Each class with the hub it meets most often (also the hubs of a very frequent token's buckets with one of them).
 
     This only finds most links cheaply: what it leaves is met again in the second step.
@@ -228,10 +232,10 @@ def _first_pairs(buckets: DataFrame) -> DataFrame:
            .agg(F.min("rep_a").alias("rep_a"), F.min("rep_b").alias("rep_b"), F.min("n_b").alias("n"), F.count("*").alias("shared")))
     best = met.groupBy("b").agg(F.max(F.struct("shared", F.negative("rep_a").alias("_last"), "a", "rep_a", "rep_b", "n")).alias("best"))
     # a hub met at under a twentieth of the tokens is rather one that shares a passage
-    return saved(best.filter("best.shared * 20 >= best.n").select("best.a", "b", "best.rep_a", "best.rep_b"), "pairs")
+    return work.save("hubs", best.filter("best.shared * 20 >= best.n").select("best.a", "b", "best.rep_a", "best.rep_b"))
 
 
-def _distinct(pairs: DataFrame) -> DataFrame:
+def _distinct(pairs: DataFrame, work: Workspace) -> DataFrame:
     """Each pair once, if it shares enough first tokens.
 
     Of the set whose first tokens end first, every common token up to that end is among both sets' first tokens, and
@@ -241,10 +245,10 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     enough = f"shared + greatest({rest('n_a')}, {rest('n_b')}) >= {NUMERATOR} * (n_a + n_b) / {NUMERATOR + DENOMINATOR} - 1e-6"
     counted = pairs.groupBy("a", "b").agg(F.min("rep_a").alias("rep_a"), F.min("rep_b").alias("rep_b"), F.min("n_a").alias("n_a"),
                                           F.min("n_b").alias("n_b"), F.sum("times").alias("shared"))
-    return saved(counted.filter(enough).select("a", "b", "rep_a", "rep_b", "shared"), "pairs")
+    return work.save("pairs", counted.filter(enough).select("a", "b", "rep_a", "rep_b", "shared"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, work: Workspace) -> DataFrame:
     """The pairs (a, b) of classes that link, compared on whole sets."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = pairs.withColumn("split", F.pmod(F.xxhash64("b"), F.lit(STAR_SPLITS)).cast("int"))
@@ -271,7 +275,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         b.append(cls)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return saved(stars.select("star", "split", "role", "class", "text").mapInArrow(compare, "a long, b long").distinct(), "verified")
+    return work.save(work.number("verified"), stars.select("star", "split", "role", "class", "text").mapInArrow(compare, "a long, b long").distinct())
 
 
 #: the least overlap of linked sets, as a share of the sum of their sizes
@@ -282,7 +286,7 @@ _ONES = np.array([bin(i).count("1") for i in range(256)], np.int32)
 #: no component has this number, as they are hashes; node pairs handled at once
 _SEVERAL = np.iinfo(np.int64).min
 _AT_ONCE = 1 << 14
-_COUNTED_AT_ONCE = 1 << 21
+_COUNTED_AT_ONCE = 1 << 19
 #: more than the blocks of any bucket
 _STRIDE = 1 << 24
 
@@ -380,10 +384,10 @@ def _celled(rows: DataFrame) -> DataFrame:
     return split.withColumn("_cell", F.explode(cells)).select(*rows.columns, "_cell.cell", "_cell.side")
 
 
-def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """The components of the links, and pairs of different components from the signature trees of buckets that hold several."""
     parts = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = components(links)
+    found = components(links, work=work)
     rows = (buckets.select("token", "rep", "class", "n", F.struct("hub_rep", "hub_class").alias("hub")).join(found.hint("merge"), F.col("class") == F.col("node"), "left")
             .withColumn("component", F.coalesce("component", "class")))
     held = rows.groupBy("token", "component").agg(F.count("*").alias("rows"), F.min("hub").alias("hub"))
@@ -391,15 +395,20 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
                                                 F.sum("rows").alias("rows"), F.min("hub").alias("hub"))
                     .filter("components > 1").select("token", F.col("top.component").alias("main"), F.col("top.rows").alias("bulk"),
                             (F.col("rows") - F.col("top.rows")).alias("others"), F.col("hub.hub_class").alias("lead")))
-    rows = saved(rows.select("token", "rep", "class", "n", "component").join(mixed_tokens.hint("merge"), "token")
-                 .withColumn("main", F.col("component") == F.col("main")), "mixed")
+    mixed_tokens = work.save("tokens", mixed_tokens)
+    # a leader of many rows is split by token, by as much as it has rows
+    shares = mixed_tokens.groupBy("lead").agg(F.ceil(F.sum(F.col("bulk") + F.col("others")) / LEADER_ROWS).alias("shares"))
+    mixed_tokens = (mixed_tokens.join(shares.hint("merge"), "lead")
+                    .withColumn("share", F.pmod(F.xxhash64("token"), F.col("shares")).cast("int")).drop("shares"))
+    rows = work.save("mixed", rows.select("token", "rep", "class", "n", "component").join(mixed_tokens.hint("merge"), "token")
+                     .withColumn("main", F.col("component") == F.col("main")))
     # how many tokens a class may share at most with others it is not linked with yet
     met = rows.groupBy("class").agg(F.count("*").alias("met"))
     bits = described.filter("n > 0").groupBy("class").agg(F.min("bits").alias("bits")).join(met.hint("merge"), "class")
     sent = (_celled(rows.join(bits.hint("merge"), "class"))
-            .select("lead", "token", "cell", "side", "n", "rep", "class", "component", F.col("met").cast("int").alias("met"), "bits"))
+            .select("lead", "share", "token", "cell", "side", "n", "rep", "class", "component", F.col("met").cast("int").alias("met"), "bits"))
     # the tokens two near copies share mostly have one leader, so their pairs are counted before they are shuffled
-    cells = sent.repartition(parts, "lead", "cell").sortWithinPartitions("token", "cell", "side", "n", "class").drop("lead")
+    cells = sent.repartition(parts, "lead", "share", "cell").sortWithinPartitions("token", "cell", "side", "n", "class").drop("lead", "share")
 
     names = ("token", "cell", "side", "n", "rep", "class", "component", "met")
 
@@ -433,17 +442,21 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
         return [column[c][k] for k in (i[ok], j[ok]) for c in ("rep", "class", "n")]
 
     def traverse(batches):
-        """Whole cells at once; the last one of a batch waits for the next. Equal pairs are counted on the way."""
-        made, size = [], 0
+        """Whole cells at once; the last one of a batch waits for the next. Equal pairs are counted on the way, and go on
+        only at the end or when there are very many different ones."""
+        made, size, held = [], 0, None
         for ready in whole(batches):
             for run in pairs(*numbers(ready)):
-                made.append(run)
+                made.append([*run, np.ones(len(run[0]), np.int64)])
                 size += len(run[0])
                 if size >= _COUNTED_AT_ONCE:
-                    yield counted(made)
+                    held = counted(made if held is None else [held, *made])
                     made, size = [], 0
-        if made:
-            yield counted(made)
+                    if len(held[0]) >= _COUNTED_AT_ONCE:
+                        yield batch_of(held)
+                        held = None
+        if made or held is not None:
+            yield batch_of(counted(made if held is None else [held, *made]))
 
     def whole(batches):
         tail, place = [], None
@@ -464,7 +477,8 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
             yield pa.Table.from_batches(tail).combine_chunks()
 
     def counted(made):
-        rep_a, a, n_a, rep_b, b, n_b = (np.concatenate(x) for x in zip(*made))
+        """Each pair once, in order of a and b, and how often it was met."""
+        rep_a, a, n_a, rep_b, b, n_b, times = (np.concatenate(x) for x in zip(*made))
         swap = a > b
         for x, y in ((rep_a, rep_b), (a, b), (n_a, n_b)):
             x[swap], y[swap] = y[swap].copy(), x[swap].copy()
@@ -472,34 +486,80 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame) ->
         new = np.ones(len(a), bool)
         new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
         at = np.flatnonzero(new)
-        times = np.diff(np.append(at, len(a)))
-        return pa.RecordBatch.from_arrays([pa.array(x[order][at]) for x in (rep_a, a, n_a, rep_b, b, n_b)] + [pa.array(times.astype(np.int64))],
-                                          ["rep_a", "a", "n_a", "rep_b", "b", "n_b", "times"])
+        total = np.add.reduceat(times[order], at) if len(at) else times
+        return [x[order][at] for x in (rep_a, a, n_a, rep_b, b, n_b)] + [total]
+
+    def batch_of(columns):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["rep_a", "a", "n_a", "rep_b", "b", "n_b", "times"])
 
     def numbers(table):
         packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(table.num_rows, -1)
         return {c: table.column(c).to_numpy().astype(np.int64) for c in names}, packed
 
-    return found, _distinct(cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"))
+    return found, _distinct(cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"), work)
 
 
-def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, n, class) and the links (a, b) between classes, enough to connect what is connected."""
-    described = _described(docs)
+def linked(docs: DataFrame, work: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, n, class) and links (a, b) between classes that connect what is connected: at most two for each
+    class from the first step, and for each round after it a link between two components that it joined."""
+    work = work or Workspace(docs.sparkSession, "jaccard")
+    described = _described(docs, work)
     often = _frequent(described).toPandas()
     frequent = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(frequent)
-    buckets = _buckets(_prefix_rows(docs, frequent[order], often["tier"].to_numpy(dtype=np.uint64)[order]))
-    first = _verified(docs, _first_pairs(buckets))
-    found, pairs = _second_pairs(described, buckets, first)
-    # between two components the most promising pair goes first; if it links, the others need no look
-    best = (_in_components(pairs, found).groupBy(F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high"))
-            .agg(F.max(F.struct("shared", "a", "b", "rep_a", "rep_b")).alias("best")).select("best.*"))
-    best = saved(best, "pairs")
-    second = _verified(docs, best)
-    links = first.unionByName(second)
-    left = _in_components(pairs, components(links)).filter("of_a <> of_b").join(best.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-    return described.filter("token is null").select("doc_id", "n", "class"), links.unionByName(_verified(docs, left))
+    buckets = _buckets(_prefix_rows(docs, frequent[order], often["tier"].to_numpy(dtype=np.uint64)[order]), work)
+    first = _verified(docs, _first_pairs(buckets, work), work)
+    found, pairs = _second_pairs(described, buckets, first, work)
+    work.remove("buckets", "mixed", "tokens", "hubs")
+    return described.filter("token is null").select("doc_id", "n", "class"), first.unionByName(_united(docs, pairs, found, work))
+
+
+def _united(docs: DataFrame, pairs: DataFrame, found: DataFrame, work: Workspace) -> DataFrame:
+    """Links (a, b) between components, found in rounds.
+
+    Each component proposes its most promising pairs not yet compared, one at first; the pairs proposed are compared, the
+    components they join become one, and pairs inside one component need no look any more. Components left apart propose
+    more in each round, until no pair is left. So a group in c pieces is joined by about c comparisons, not by one for
+    each two pieces, and every pair between components that stay apart is compared once.
+    """
+    live = work.number("live")
+    left = work.save(live, _in_components(pairs, found).filter("of_a <> of_b"))
+    links, many = docs.sparkSession.createDataFrame([], "a long, b long"), 1
+    while not left.isEmpty():
+        ends = left.select(F.col("of_a").alias("of"), "shared", "a", "b").unionByName(left.select(F.col("of_b").alias("of"), "shared", "a", "b"))
+        if many == 1:
+            chosen = ends.groupBy("of").agg(F.max(F.struct("shared", "a", "b")).alias("best")).select("best.a", "best.b")
+        else:
+            first = Window.partitionBy("of").orderBy(F.desc("shared"), "a", "b")
+            chosen = ends.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= many)
+        proposed = work.save(work.number("proposed"), left.join(chosen.select("a", "b").distinct().hint("merge"), ["a", "b"]))
+        joining = (proposed.join(_verified(docs, proposed.select("a", "b", "rep_a", "rep_b"), work).hint("merge"), ["a", "b"])
+                   .groupBy(F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high"))
+                   .agg(F.min(F.struct("a", "b")).alias("link")))
+        joining = work.save(work.number("joining"), joining.select("low", "high", "link.a", "link.b"))
+        links = links.unionByName(joining.select("a", "b"))
+        rest = left.join(proposed.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+        now = work.save(work.number("now"), _hooked(joining))
+        for side in ("of_a", "of_b"):
+            moved = now.select(F.col("u").alias(f"_{side}"), F.col("label").alias(f"new_{side}"))
+            rest = (rest.join(moved.hint("merge"), F.col(side) == F.col(f"_{side}"), "left")
+                    .withColumn(side, F.coalesce(f"new_{side}", side)).drop(f"_{side}", f"new_{side}"))
+        before, live = live, work.number("live")
+        left = work.save(live, rest.filter("of_a <> of_b"))
+        work.remove(before)
+        many *= MORE_PROPOSALS
+    return links
+
+
+def _hooked(joining: DataFrame) -> DataFrame:
+    """u and label: for each component joined with others (low, high) the least one within two links.
+
+    Most groups come together by this. Where a longer chain does not, its parts go on as several components, and
+    a pair between them is compared though it need not be.
+    """
+    both = joining.select(F.col("low").alias("u"), F.col("high").alias("v")).unionByName(joining.select(F.col("high").alias("u"), F.col("low").alias("v")))
+    near = both.groupBy("u").agg(F.least("u", F.min("v")).alias("label"))
+    return both.join(near.withColumnRenamed("u", "v").hint("merge"), "v").groupBy("u").agg(F.min("label").alias("label"))
 
 
 def _in_components(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -513,24 +573,30 @@ def _in_components(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    described, links = linked(docs)
-    # an empty set is a class of its own for each document; several texts under one id hold their classes together
-    many = (described.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-            .filter("a <> b").select("a", "b"))
-    found = components(links.unionByName(many))
+    work = Workspace(docs.sparkSession, "jaccard")
+    described, links = linked(docs, work)
+    # an empty set is a class of its own for each document; several texts under one id hold all their classes together
+    owned = described.filter("n > 0 and doc_id is not null").select("doc_id", "class")
+    several = owned.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).filter("a <> z").select("doc_id", "a")
+    ties = owned.join(several, "doc_id").select("a", F.col("class").alias("b")).filter("a <> b").distinct()
+    found = components(links.unionByName(ties), work=work)
     labelled = (described.filter("n > 0 and doc_id is not null").join(found, F.col("class") == F.col("node"), "left")
                 .select("doc_id", F.col("n"), F.coalesce("component", "class").alias("label")))
     least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     full = labelled.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = described.filter("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty)
+    result = work.save("result", full.unionByName(empty))
+    work.remove_others("result")
+    return result
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The documents with one row of each group of near copies, that of the least id; empty texts and null ids stay.
 
-    Of rows that repeat an id one stays.
+    Of rows that repeat an id the first by text, and then by the other columns, stays.
     """
     keep = join(docs).filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_kept"), "left_semi")
+    first = named.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_first"))
+    one = first.select(*["doc_id" if c == "doc_id" else F.col("_first")[c].alias(c) for c in docs.columns])
+    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
