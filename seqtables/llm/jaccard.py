@@ -9,7 +9,9 @@ the token is very frequent.
 
 1. Each class is compared with the bucket leader it meets most often, and components are formed of the links found.
    Copies that differ a little, however many, are mostly one component after this.
-2. In buckets that still hold several components a signature tree is built: leaves are the classes in order of
+2. In buckets that still hold several components each class is compared with the one before it that it meets most often, in a
+   few orders of the classes: near copies out of reach of their leaders come together in such chains.
+3. In buckets that then hold several a signature tree is built: leaves are the classes in order of
    size, and each node above holds the OR of the token bitmaps below it, their size range and the most
    tokens that share a bit. The tree is traversed against itself; a pair of nodes is dropped when its sizes are too far
    apart, when both are of one component, or when the bits in common cannot make the overlap needed. Pairs that meet
@@ -29,6 +31,8 @@ equal sets; an empty table gives no rows. Columns other than doc_id and text are
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -54,6 +58,9 @@ FANOUT = 8
 #: rows a block of a split bucket holds, about, and rows of the buckets that one leader brings to a task, about
 BLOCK_ROWS = 1 << 12
 LEADER_ROWS = 1 << 16
+#: rounds of chains, and the share of a round's pairs that must link for another one
+MOST_CHAINS = 4
+CHAIN_SHARE = 0.05
 #: a component proposes one pair in the first round, and this many times more in each round after
 MORE_PROPOSALS = 16
 
@@ -384,18 +391,68 @@ def _celled(rows: DataFrame) -> DataFrame:
     return split.withColumn("_cell", F.explode(cells)).select(*rows.columns, "_cell.cell", "_cell.side")
 
 
-def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """The components of the links, and pairs of different components from the signature trees of buckets that hold several."""
-    parts = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = components(links, work=work)
-    rows = (buckets.select("token", "rep", "class", "n", F.struct("hub_rep", "hub_class").alias("hub")).join(found.hint("merge"), F.col("class") == F.col("node"), "left")
-            .withColumn("component", F.coalesce("component", "class")))
+def _mixed(rows: DataFrame) -> DataFrame:
+    """token and several columns on the tokens whose buckets hold more than one component; rows has the hub of the bucket's first row."""
     held = rows.groupBy("token", "component").agg(F.count("*").alias("rows"), F.min("hub").alias("hub"))
-    mixed_tokens = (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"),
-                                                F.sum("rows").alias("rows"), F.min("hub").alias("hub"))
-                    .filter("components > 1").select("token", F.col("top.component").alias("main"), F.col("top.rows").alias("bulk"),
-                            (F.col("rows") - F.col("top.rows")).alias("others"), F.col("hub.hub_class").alias("lead")))
-    mixed_tokens = work.save("tokens", mixed_tokens)
+    return (held.groupBy("token").agg(F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("top"),
+                                      F.sum("rows").alias("rows"), F.min("hub").alias("hub"))
+            .filter("components > 1").select("token", F.col("top.component").alias("main"), F.col("top.rows").alias("bulk"),
+                                             (F.col("rows") - F.col("top.rows")).alias("others"), F.col("hub.hub_class").alias("lead")))
+
+
+def _chained(docs: DataFrame, rows: DataFrame, work: Workspace) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows with components joined by chains, and the links that joined them.
+
+    In each round the classes of a bucket stand in the order of a hash of their own, the same in all buckets, and each meets the
+    one before it. Of all it meets in any bucket it is compared with the one it meets most often, so near copies out of reach of
+    their buckets' leaders at least halve their components in a round, at one pair a row. It goes on while a round
+    joins more than ``CHAIN_SHARE`` of what it met; what it leaves is met again in the trees.
+    """
+    links, name = [], work.number("chain")
+    rows = work.save(name, rows)
+    for step in range(MOST_CHAINS):
+        order = Window.partitionBy("token", "salt").orderBy(F.xxhash64("class", F.lit(step)), "class")
+        before = F.lag(F.struct("rep", "class", "n", "component")).over(order)
+        met = (rows.withColumn("_before", before).filter("_before.component <> component").select(
+            F.col("_before.rep").alias("rep_a"), F.col("_before.class").alias("a"), F.col("_before.n").alias("n_a"),
+            F.col("_before.component").alias("of_a"), F.col("rep").alias("rep_b"), F.col("class").alias("b"), F.col("n").alias("n_b"),
+            F.col("component").alias("of_b")).filter(_NEAR_SIZES))
+        counted = met.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.min(c).alias(c) for c in ("rep_a", "rep_b", "n_a", "n_b", "of_a", "of_b")])
+        counted = work.save(work.number("met"), counted.filter("shared * 20 >= least(n_a, n_b)"))
+        pair = F.struct("shared", "a", "b")
+        ends = counted.select(F.col("a").alias("end"), pair.alias("pair")).unionByName(counted.select(F.col("b").alias("end"), pair.alias("pair")))
+        best = ends.groupBy("end").agg(F.max("pair").alias("best")).select("best.a", "best.b").distinct()
+        proposed = work.save(work.number("proposed"), counted.join(best.hint("merge"), ["a", "b"]))
+        found = _verified(docs, proposed.select("a", "b", "rep_a", "rep_b"), work)
+        joining = work.save(work.number("joining"), proposed.join(found.hint("merge"), ["a", "b"])
+                            .groupBy(F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high"))
+                            .agg(F.min(F.struct("a", "b")).alias("link")).select("low", "high", "link.a", "link.b"))
+        links.append(joining.select("a", "b"))
+        tried, done = proposed.count(), joining.count()
+        if not done:
+            break
+        moved = work.save(work.number("now"), _hooked(joining))
+        last, name = name, work.number("chain")
+        rows = work.save(name, rows.join(moved.hint("merge"), F.col("component") == F.col("u"), "left")
+                         .withColumn("component", F.coalesce("label", "component")).drop("u", "label"))
+        work.remove(last)
+        if done < CHAIN_SHARE * tried:
+            break
+    return rows, links
+
+
+def _second_pairs(docs: DataFrame, described: DataFrame, buckets: DataFrame, links: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Components of classes in buckets that hold several, pairs of different components from the trees of such buckets, and the
+    links found on the way."""
+    parts = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = components(links, work=work)
+    rows = (buckets.select("token", "salt", "rep", "class", "n", F.struct("hub_rep", "hub_class").alias("hub"))
+            .join(own.hint("merge"), F.col("class") == F.col("node"), "left")
+            .withColumn("component", F.coalesce("component", "class")).drop("node"))
+    rows = rows.join(_mixed(rows).select("token").hint("merge"), "token", "left_semi")
+    rows, more = _chained(docs, rows, work)
+    found = rows.groupBy(F.col("class").alias("node")).agg(F.min("component").alias("component"))
+    mixed_tokens = work.save("tokens", _mixed(rows))
     # a leader of many rows is split by token, by as much as it has rows
     shares = mixed_tokens.groupBy("lead").agg(F.ceil(F.sum(F.col("bulk") + F.col("others")) / LEADER_ROWS).alias("shares"))
     mixed_tokens = (mixed_tokens.join(shares.hint("merge"), "lead")
@@ -496,12 +553,12 @@ def _second_pairs(described: DataFrame, buckets: DataFrame, links: DataFrame, wo
         packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(table.num_rows, -1)
         return {c: table.column(c).to_numpy().astype(np.int64) for c in names}, packed
 
-    return found, _distinct(cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"), work)
+    return found, _distinct(cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"), work), more
 
 
 def linked(docs: DataFrame, work: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n, class) and links (a, b) between classes that connect what is connected: at most two for each
-    class from the first step, and for each round after it a link between two components that it joined."""
+    class from the first step, and for each round after it links between components that it joined."""
     work = work or Workspace(docs.sparkSession, "jaccard")
     described = _described(docs, work)
     often = _frequent(described).toPandas()
@@ -509,9 +566,10 @@ def linked(docs: DataFrame, work: Workspace | None = None) -> tuple[DataFrame, D
     order = np.argsort(frequent)
     buckets = _buckets(_prefix_rows(docs, frequent[order], often["tier"].to_numpy(dtype=np.uint64)[order]), work)
     first = _verified(docs, _first_pairs(buckets, work), work)
-    found, pairs = _second_pairs(described, buckets, first, work)
+    found, pairs, more = _second_pairs(docs, described, buckets, first, work)
     work.remove("buckets", "mixed", "tokens", "hubs")
-    return described.filter("token is null").select("doc_id", "n", "class"), first.unionByName(_united(docs, pairs, found, work))
+    links = reduce(DataFrame.unionByName, [first, *more, _united(docs, pairs, found, work)])
+    return described.filter("token is null").select("doc_id", "n", "class"), links
 
 
 def _united(docs: DataFrame, pairs: DataFrame, found: DataFrame, work: Workspace) -> DataFrame:

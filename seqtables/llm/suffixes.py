@@ -6,7 +6,7 @@ among ``WINDOW`` neighbours. Equal passages of ``PASSAGE`` words keep the same s
 are sorted by these words over all tasks, and neighbours are compared: a suffix unlike both neighbours is
 in no repeated passage. What is left is extended: for each way a passage of ``PASSAGE`` words can lie about a kept
 suffix (so many words to its left, the rest to its right) the passage is hashed, and it repeats if the hash does.
-Of equal passages the one least by (doc_id, place) is the first; overlapping passages merge to spans.
+Of equal passages the one least by (doc_id, text, place) is the first; overlapping passages merge to spans.
 
 The range sort splits a passage shared by very many documents over tasks, as rows differ in document and place; passages
 are counted with partial aggregation. Exact copies are analysed once: the sort brings them together.
@@ -121,7 +121,7 @@ def _shared(suffixes: DataFrame) -> DataFrame:
 
 
 def _passages(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """hash, doc_id, start of every passage about a shared suffix."""
+    """hash, doc_id, class, start of every passage about a shared suffix."""
     wanted = shared.groupBy("doc_id", "class").agg(F.collect_list("place").alias("places"))
 
     def extend(batches):
@@ -137,31 +137,40 @@ def _passages(docs: DataFrame, shared: DataFrame) -> DataFrame:
                 starts = marked.starts[of]
                 owner = marked.owner[starts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[starts]), pa.array(part.column("doc_id").to_numpy()[owner]), pa.array((starts - marked.first[owner]).astype(np.int32))],
-                    ["hash", "doc_id", "start"])
+                    [pa.array(hashes[starts]), pa.array(part.column("doc_id").to_numpy()[owner]), pa.array(marked.classes[owner]),
+                     pa.array((starts - marked.first[owner]).astype(np.int32))],
+                    ["hash", "doc_id", "class", "start"])
 
     return saved(docs.join(wanted, "doc_id").select("doc_id", "class", "text", "places")
-                 .mapInArrow(extend, "hash long, doc_id long, start int"), "passages")
+                 .mapInArrow(extend, "hash long, doc_id long, class long, start int"), "passages")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, start and n_words of each span of repeated passages; first: whether it is where they stand first."""
+    """doc_id, start and n_words of each span of repeated passages; first: whether it is where they stand first.
+
+    Of several texts under one id each has spans of its own, by the places of its words.
+    """
+    return _spans(docs).drop("class")
+
+
+def _spans(docs: DataFrame) -> DataFrame:
+    """The spans with the class of the text that they lie in."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     suffixes = _suffixes(texts)
     passages = _passages(texts, _shared(suffixes))
-    # rows that repeat a document stand at the same place, and so do not make a passage repeat
-    place = F.struct("doc_id", "start")
+    # rows that repeat a document stand at the same place of the same text, and so do not make a passage repeat
+    place = F.struct("doc_id", "class", "start")
     firsts = passages.groupBy("hash").agg(F.min(place).alias("least"), F.max(place).alias("most")).filter("least < most").select("hash", "least")
     starts = passages.join(firsts, "hash").select(
-        "doc_id", "start", F.lit(PASSAGE).alias("n_words"), (place == F.col("least")).alias("first"))
+        "doc_id", "class", "start", F.lit(PASSAGE).alias("n_words"), (place == F.col("least")).alias("first"))
     # exact copies: each repeats the text whole, and the least id has it first
     whole = suffixes.filter((F.col("key").isNull()) & (F.col("place") >= PASSAGE)).select("class", "doc_id", F.col("place").alias("n_words")).distinct()
     least = whole.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1").select("class", "least")
-    copies = whole.join(least, "class").select("doc_id", F.lit(0).alias("start"), "n_words", (F.col("doc_id") == F.col("least")).alias("first"))
+    copies = whole.join(least, "class").select("doc_id", "class", F.lit(0).alias("start"), "n_words", (F.col("doc_id") == F.col("least")).alias("first"))
 
     def merge(batches):
         for batch in batches:
-            doc, begin, length, kind = [], [], [], []
+            doc, text, begin, length, kind = [], [], [], [], []
             for i in range(batch.num_rows):
                 found = batch.column("parts")[i].values
                 s, n, f = (found.field(k).to_numpy(zero_copy_only=False) for k in range(3))
@@ -176,16 +185,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     at = np.flatnonzero(new)
                     stop = ends[np.append(at[1:] - 1, len(some) - 1)]
                     doc += [batch.column("doc_id")[i].as_py()] * len(at)
+                    text += [batch.column("class")[i].as_py()] * len(at)
                     begin.append(s[some][at])
                     length.append(stop - s[some][at])
                     kind += [first] * len(at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(np.concatenate(begin or [np.zeros(0)]).astype(np.int32)),
+                [pa.array(doc, pa.int64()), pa.array(text, pa.int64()), pa.array(np.concatenate(begin or [np.zeros(0)]).astype(np.int32)),
                  pa.array(np.concatenate(length or [np.zeros(0)]).astype(np.int32)), pa.array(kind, pa.bool_())],
-                ["doc_id", "start", "n_words", "first"])
+                ["doc_id", "class", "start", "n_words", "first"])
 
-    return (starts.unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words", "first")).alias("parts"))
-            .mapInArrow(merge, "doc_id long, start int, n_words int, first boolean"))
+    return (starts.unionByName(copies).groupBy("doc_id", "class").agg(F.collect_list(F.struct("start", "n_words", "first")).alias("parts"))
+            .mapInArrow(merge, "doc_id long, class long, start int, n_words int, first boolean"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -194,8 +204,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     The words and white space outside such passages stay as they are, and so do null ids and all other columns;
     a column n_chars follows the text.
     """
-    spans = (repeated_spans(docs).filter("not first").groupBy("doc_id")
-             .agg(F.collect_list(F.struct("start", "n_words")).alias("_spans")).withColumnRenamed("doc_id", "_doc"))
+    spans = (_spans(docs).filter("not first").groupBy("doc_id")
+             .agg(F.collect_list(F.struct("class", "start", "n_words")).alias("_spans")).withColumnRenamed("doc_id", "_doc"))
     at, names = docs.columns.index("text"), docs.columns
     counted = names.index("n_chars") if "n_chars" in names else None
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
@@ -211,6 +221,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 if not found or not text:
                     continue
                 raw = np.frombuffer(text.encode(), np.uint8)
+                own = int(signed(span_hashes(raw, np.array([0]), np.array([len(raw)])))[0])
+                found = [s for s in found if s["class"] == own]  # the others lie in another text of this id
+                if not found:
+                    continue
                 words = Words(raw, np.array([0, len(raw)]))
                 stays = np.ones(len(raw), bool)
                 for s in found:
