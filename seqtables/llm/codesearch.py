@@ -1,10 +1,12 @@
 """Exact top-k search among binary codes by incremental multi-index hashing.
 
 A code is cut into segments of about log2(codes) bits, and each segment's value is indexed. A query probes, round by
-round, the segment values at distance 0, 1, 2 ... from its own. After the round of radius r every code within
-segments * (r + 1) - 1 bits has been met, as one of its segments lies within r; a query is done when its k-th
-verified distance is covered. What is met is verified on whole codes in the join itself, against the query's
-k-th distance so far.
+round, the segment values at distance 0, 1, 2 ... from its own. A code not met yet differs in each segment by more than the
+segment's radius, so with segments of radius r and some of r + 1 all codes within the sum of (radius + 1) over the segments,
+less one, have been met; a query is done when its k-th verified distance is covered. A round widens one segment more for
+each bit that the k-th distance so far is beyond what is covered, and all of them only while that is more than there are:
+the last round of a query is no wider than it must be. What is met is verified on whole codes in the join itself,
+against the query's k-th distance so far.
 
 Equal codes are one entry with their least ids (as many as can be asked for; ties go to the lesser id), so neither
 a code shared by very many rows nor a query asked very often is ever joined row by row.
@@ -73,11 +75,12 @@ def search(vectors: DataFrame, ident: str = "vec_id", vector: str = "embedding",
     entries = saved(_least_ids(rows, k + 1), "code-entries")
     index = entries.select("code", "ids", F.posexplode("code").alias("segment", "value"))
     queries = rows.filter(F.col("id") % every == 0)
-    open_queries = saved(queries.select(F.col("code").alias("query")).distinct().withColumn("bound", F.lit(sum(widths))), "queries")
+    open_queries = saved(queries.select(F.col("code").alias("query")).distinct()
+                         .withColumn("bound", F.lit(sum(widths))).withColumn("need", F.lit(m)), "queries")
     best, done = None, []
     for radius in range(max(widths) + 1):
         masks = F.element_at(F.array(*[_flips(w, min(radius, w)) if radius <= w else F.array().cast("array<long>") for w in widths]), F.col("segment") + 1)
-        probes = (open_queries.select("query", "bound", F.posexplode("query").alias("segment", "own"))
+        probes = (open_queries.select("query", "bound", "need", F.posexplode("query").alias("segment", "own")).filter("segment < need")
                   .select("query", "bound", "segment", F.explode(masks).alias("mask"), "own")
                   .select("query", "bound", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value")))
         # either side grows when it is unfolded, whatever its file size says, so neither is broadcast
@@ -88,12 +91,13 @@ def search(vectors: DataFrame, ident: str = "vec_id", vector: str = "embedding",
             found = found.unionByName(best).distinct()
         nearest = Window.partitionBy("query").orderBy("distance", "id")
         best = saved(found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k + 1).drop("rank"), "nearest")
-        covered = m * (radius + 1) - 1
-        state = best.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
+        state = best.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far")).join(open_queries.select("query", "need"), "query")
+        covered = F.least(F.col("need"), F.lit(m)) + (m * radius - 1)
         over = (F.col("n") > k) & (F.col("far") <= covered) | F.lit(radius >= max(widths))
-        finished = saved(state.select("query", over.alias("over"), F.when(F.col("n") > k, F.col("far")).otherwise(sum(widths)).alias("bound")), "covered")
+        finished = saved(state.select("query", over.alias("over"), F.when(F.col("n") > k, F.col("far")).otherwise(sum(widths)).alias("bound"),
+                                      F.when(F.col("n") > k, F.col("far") - (m * (radius + 1) - 1)).otherwise(m).alias("need")), "covered")
         done.append(best.join(finished.filter("over").select("query"), "query", "left_semi"))
-        open_queries = finished.filter("not over").select("query", "bound")
+        open_queries = finished.filter("not over").select("query", "bound", "need")
         best = best.join(open_queries.select("query"), "query", "left_semi")
         if open_queries.isEmpty():
             break
