@@ -80,17 +80,17 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        plain, joined = [], []
-        for p in wanted:
-            if p not in known:
-                if p in older:
-                    known[p] = older[p]
-                elif len(p) > _LONGEST_REMEMBERED:
-                    plain.append(p)
-                elif p[-1] in ".," and p[-2:-1].isalpha() or p[0] == "\n" and not p[1:2].isspace() and len(p) > 1:
-                    joined.append(p)
-                else:
-                    plain.append(p)
+        plain, joined, passing = [], [], []
+        for p in wanted.difference(known):
+            if p in older:
+                known[p] = older[p]
+            elif len(p) > _LONGEST_REMEMBERED:
+                plain.append(p)
+                passing.append(p)
+            elif p[-1] in ".," and p[-2:-1].isalpha() or p[0] == "\n" and not p[1:2].isspace() and len(p) > 1:
+                joined.append(p)
+            else:
+                plain.append(p)
         self._remember(plain)
         parts = []
         for p in joined:
@@ -100,7 +100,7 @@ class Encoder:
         self._remember(list({x for _, *trio in parts for x in trio if x and x not in known}))
         for p, before, word, after in parts:
             known[p] = (known[before] if before else b"") + known[word] + (known[after] if after else b"")
-        return [p for p in wanted if len(p) > _LONGEST_REMEMBERED]
+        return passing
 
     def _remember(self, pieces: list[str]) -> None:
         self.known.update(zip(pieces, self._whole(pieces)))
