@@ -12,8 +12,7 @@ are dealt into ranges of ids, and the first document of each range is handed to
 every task sees the successor of its last document; the text is shuffled once.
 
 Defined cases: a null text is empty; an empty text has the empty fingerprint, alike (1) to another empty one and
-unlike (0) to any other; in a text under ``SHORT`` characters every run of ``TINY`` bytes is an anchor, or the whole
-text if it is shorter still; null ids come first; rows of one id
+unlike (0) to any other; a text too short for a small anchor is one as a whole; null ids come first; rows of one id
 are ordered by text; a table of one document is its own successor; an empty table gives no rows. Columns other
 than doc_id and text are not looked at.
 """
@@ -31,88 +30,111 @@ from pyspark.sql import functions as F
 
 from seqtables.llm.common import SLICE_BYTES, buckets_wanted, cut_points, mixed, range_of, span_hashes, utf8
 
-K = 16
-S = 8
+#: Bytes of a k-mer and of the s-mers in it, of either kind.
+LARGE, SMALL = (16, 8), (5, 2)
+K, S = LARGE
 ANCHORS = 64
-SHORT = 2 * K
-TINY = 4
+SHORT, LONG = 32, 64
 _UNIT = 16
 _PLACE_BITS = np.uint64(16)
+_SMALL_BIT = np.uint64(1 << 63)
 _LEAST = np.iinfo(np.int64).min
 
 
-def _smers(raw: np.ndarray) -> np.ndarray:
-    """Hashes of the S bytes from each place on."""
-    count = len(raw) - S + 1
+def _smers(raw: np.ndarray, s: int) -> np.ndarray:
+    """Hashes of the s bytes from each place on, for s of 2, 4 or 8."""
+    count = len(raw) - s + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
-    return mixed(np.lib.stride_tricks.sliding_window_view(raw, S).reshape(-1)[:count * S].view("<u8"))
+    numbers = np.lib.stride_tricks.sliding_window_view(raw, s).reshape(-1)[:count * s].view(f"<u{s}")
+    return mixed(numbers.astype(np.uint64))
 
 
-def anchors(texts: pa.Array) -> list[np.ndarray]:
-    """For each text its anchors, hash above place, in the order of the text."""
-    raw, places = utf8(texts)
-    lengths = np.diff(places)
-    width = K - S + 1
-    small, count = _smers(raw), len(raw) - K + 1
-    empty = np.zeros(0, np.uint64)
-    at, mark = np.zeros(0, np.int64), empty
-    if count > 0:
-        least, reach = small, 1
-        while 2 * reach <= width:
-            least = np.minimum(least[:-reach], least[reach:])
-            reach *= 2
-        least = np.minimum(least[:count], least[width - reach:width - reach + count])
-        at = np.flatnonzero((least == small[:count]) | (least == small[width - 1:width - 1 + count]))
-        ends = places[np.searchsorted(places, at, side="right")]  # a chosen k-mer lies in one text
-        at = at[at + K <= ends]
-        mark = span_hashes(raw, at, at + K)
+def _chosen(raw: np.ndarray, places: np.ndarray, k: int, s: int) -> np.ndarray:
+    """Where the closed syncmers of the texts begin."""
+    width, count = k - s + 1, len(raw) - k + 1
+    if count <= 0:
+        return np.zeros(0, np.int64)
+    small = _smers(raw, s)
+    least, reach = small, 1
+    while 2 * reach <= width:
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    least = np.minimum(least[:count], least[width - reach:width - reach + count])
+    at = np.flatnonzero((least == small[:count]) | (least == small[width - 1:width - 1 + count]))
+    return at[at + k <= places[np.searchsorted(places, at, side="right")]]  # a chosen k-mer lies in one text
+
+
+def _sketched(raw: np.ndarray, places: np.ndarray, at: np.ndarray, ends: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each anchor that its fingerprint keeps, and the anchor: hash above place, in the order of the text."""
+    mark = span_hashes(raw, at, ends)
     owner = np.searchsorted(places, at, side="right") - 1
-    short = pc.less(pc.utf8_length(texts), SHORT).to_numpy(zero_copy_only=False)
-    long = ~short[owner]
-    at, mark, owner = at[long], mark[long], owner[long]
-    brief = np.flatnonzero(short & (lengths > 0))
-    runs = np.maximum(lengths[brief] - TINY + 1, 1)
-    whose = np.repeat(brief, runs)
-    begin = places[whose] + np.arange(len(whose)) - np.repeat(np.cumsum(runs) - runs, runs)
-    at = np.concatenate([at, begin])
-    mark = np.concatenate([mark, span_hashes(raw, begin, np.minimum(begin + TINY, places[whose + 1]))])
-    owner = np.concatenate([owner, whose])
     order = np.lexsort((at, mark, owner))
     at, mark, owner = at[order], mark[order], owner[order]
     fresh = np.ones(len(at), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])
     begun = np.flatnonzero(fresh)
     earlier = (np.arange(len(at)) - begun[np.cumsum(fresh) - 1]).astype(np.uint64)
-    mark = mixed(mark + earlier) >> _PLACE_BITS
+    mark = mixed(mark + earlier) >> (_PLACE_BITS + np.uint64(1))
     order = np.lexsort((at, mark, owner))
     at, mark, owner = at[order], mark[order], owner[order]
-    first = np.ones(len(at), bool)
-    first[1:] = (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])
-    at, mark, owner = at[first], mark[first], owner[first]
-    begin = np.searchsorted(owner, np.arange(len(texts) + 1))
-    least = np.arange(len(owner)) - begin[owner] < ANCHORS
-    at, mark, owner = at[least], mark[least], owner[least]
+    kept = np.ones(len(at), bool)
+    kept[1:] = (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1])
+    at, mark, owner = at[kept], mark[kept], owner[kept]
+    if most is not None:
+        least = np.arange(len(owner)) - np.searchsorted(owner, owner) < most
+        at, mark, owner = at[least], mark[least], owner[least]
     order = np.lexsort((at, owner))
     at, mark, owner = at[order], mark[order], owner[order]
-    unit = np.maximum(_UNIT, -(-lengths // (1 << int(_PLACE_BITS))))
+    unit = np.maximum(_UNIT, -(-np.diff(places) // (1 << int(_PLACE_BITS))))
     where = ((at - places[owner]) // unit[owner]).astype(np.uint64)
-    packed = (mark << _PLACE_BITS) | where
-    begin = np.searchsorted(owner, np.arange(len(texts) + 1))
-    return [packed[b:e] for b, e in zip(begin[:-1], begin[1:])]
+    return owner, (mark << _PLACE_BITS) | where
+
+
+def anchors(texts: pa.Array, most: int | None = ANCHORS) -> list[np.ndarray]:
+    """For each text its anchors, hash above place, in the order of the text: the large ones, then the small ones."""
+    raw, places = utf8(texts)
+    lengths, chars = np.diff(places), pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    of = lambda at: np.searchsorted(places, at, side="right") - 1
+    large = _chosen(raw, places, *LARGE)
+    large = large[chars[of(large)] >= SHORT]
+    brief = (chars < LONG) & (lengths > 0)
+    small = np.zeros(0, np.int64)
+    if brief.any():
+        # only the short texts' bytes, one after another
+        own = np.flatnonzero(np.repeat(brief, lengths))
+        edges = np.concatenate([[0], np.cumsum(np.where(brief, lengths, 0))])
+        small = own[_chosen(raw[own], edges, *SMALL)]
+    ends = small + SMALL[0]
+    bare = np.setdiff1d(np.flatnonzero(brief), of(small))
+    small, ends = np.concatenate([small, places[bare]]), np.concatenate([ends, places[bare + 1]])
+    found = [_sketched(raw, places, large, large + K, most), _sketched(raw, places, small, ends, most)]
+    cuts = [np.searchsorted(owner, np.arange(len(texts) + 1)) for owner, _ in found]
+    return [np.concatenate([found[0][1][cuts[0][i]:cuts[0][i + 1]], found[1][1][cuts[1][i]:cuts[1][i + 1]] | _SMALL_BIT]) for i in range(len(texts))]
 
 
 def text_of(found: np.ndarray) -> str:
     return found.astype(">u8").view(np.uint8).tobytes().hex()
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """0 to 1; from anchors as ``anchors`` gives them."""
+def likeness(a: np.ndarray, b: np.ndarray, most: int | None = ANCHORS) -> float:
+    """0 to 1; from anchors as ``anchors`` gives them with the same ``most``."""
     if len(a) == 0 or len(b) == 0:
         return float(len(a) == len(b))
+    kinds = [(x[x < _SMALL_BIT], x[x >= _SMALL_BIT]) for x in (a, b)]
+    for kind in (1, 0):
+        a, b = kinds[0][kind], kinds[1][kind]
+        if len(a) and len(b):
+            return _alike(a, b, most)
+    return 0.0
+
+
+def _alike(a: np.ndarray, b: np.ndarray, most: int | None) -> float:
     x, y = a >> _PLACE_BITS, b >> _PLACE_BITS
     # the least hashes of both together, up to a full sketch, but never beyond what a full sketch knows
-    both = np.union1d(x, y)[:ANCHORS] if max(len(x), len(y)) >= ANCHORS else np.union1d(x, y)
+    both = np.union1d(x, y)
+    if most is not None and max(len(x), len(y)) >= most:
+        both = both[:most]
     common, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     known = common <= both[-1]
     i, j = i[known], j[known]
@@ -162,8 +184,11 @@ def _dealt(docs: DataFrame, ranges: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(deal, f"range int, ahead boolean, doc_id {kind}, text string")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
+def fingerprints(docs: DataFrame, most: int | None = ANCHORS) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document.
+
+    ``most`` is the number of anchors a fingerprint keeps of either kind, None for all.
+    """
     spark = docs.sparkSession
     dealt = _dealt(docs, buckets_wanted(spark))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -174,7 +199,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         """rows: (range, ahead, id, text) in order; every row but those ahead and the last has its successor after it."""
         texts = [r[3] or "" for r in rows]
         changed = [edited(a, b) for a, b in zip(texts[:-1], texts[1:])]
-        found = anchors(pa.array(texts + changed, pa.large_string()))
+        found = anchors(pa.array(texts + changed, pa.large_string()), most)
         own, other = found[:len(texts)], found[len(texts):]
         kept = [i for i in range(len(rows) - 1) if not rows[i][1]]
         return pa.RecordBatch.from_arrays([
@@ -183,8 +208,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             pa.array([hashlib.sha256(changed[i].encode()).hexdigest() for i in kept], pa.string()),
             pa.array([text_of(own[i]) for i in kept], pa.string()),
             pa.array([text_of(other[i]) for i in kept], pa.string()),
-            pa.array([likeness(own[i], other[i]) for i in kept], pa.float64()),
-            pa.array([likeness(own[i], own[i + 1]) for i in kept], pa.float64())],
+            pa.array([likeness(own[i], other[i], most) for i in kept], pa.float64()),
+            pa.array([likeness(own[i], own[i + 1], most) for i in kept], pa.float64())],
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     from pyspark.sql.pandas.types import to_arrow_type
