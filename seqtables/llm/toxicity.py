@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick.
 
-Text is folded first: lower case, look-alike letters of other scripts and digits or signs that stand for letters
-become the letter meant. The lexicon holds whole words and word beginnings, each weighted by how much more often
+Text is folded first: lower case, look-alike letters of other scripts and digits or signs that stand for letters, at any
+place of a run with a letter, become the letter meant. The lexicon holds whole words and word beginnings, each weighted by how much more often
 it occurs in toxic than in other documents; it is learned from a bounded sample of labelled documents
 (``SAMPLE_PER_CLASS`` of each class in expectation). Entries are taken one by one, each for the toxic documents
 that none before it explains, so words that merely recur in copies of a toxic document stay out. Exception phrases are words or word pairs around a match
@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,8 @@ SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 _LOOKS = str.maketrans(LOOK_ALIKES)
 _SIGNED = str.maketrans(SIGNS)
 _WORD = re.compile(r"\w+")
-_MASKED = re.compile(r"(?<![^\W_])[^\W_]*(?:[0134578@$!|][^\W_]+)+")
+#: a run of letters, digits and signs that holds a digit or sign standing for a letter
+_MASKED = re.compile(r"(?<![^\W_])(?<![@$!|])[^\W_0134578]*+[0134578@$!|](?:[^\W_]|[@$!|])*+")
 _UNEVEN = re.compile(r"[ıɡͰ-ӿԀ-ԯ]")
 
 
@@ -55,6 +58,13 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _unmasked(found: re.Match) -> str:
+    """The run with its digits and signs as letters, if it has a letter at all. ``!`` and ``|`` at its end are punctuation."""
+    run = found.group()
+    word = run.rstrip("!|")
+    return word.translate(_SIGNED) + run[len(word):] if any(c.isalpha() for c in word) else run
+
+
 def fold(text: str | None) -> str:
     """The text's words in lower case with look-alikes resolved, with one space before and after each."""
     if not text:
@@ -62,7 +72,7 @@ def fold(text: str | None) -> str:
     text = text.lower()
     if not text.isascii() and _UNEVEN.search(text):
         text = text.translate(_LOOKS)
-    text = _MASKED.sub(lambda m: m.group().translate(_SIGNED) if not m.group().isdigit() else m.group(), text)
+    text = _MASKED.sub(_unmasked, text)
     return f" {' '.join(_WORD.findall(text))} "
 
 
@@ -98,7 +108,11 @@ class Lexicon:
                 spared.append((begin, last + 1))
             elif begin not in hits or hits[begin][1] < weight:
                 hits[begin] = (last + 1, weight)
-        return [(b, e, w) for b, (e, w) in hits.items() if not any(x <= b and e <= y for x, y in spared)]
+        # the furthest end of the exceptions that begin at or before a match decides whether one holds it
+        spared.sort()
+        begins, ends = [x for x, _ in spared], list(accumulate((y for _, y in spared), max))
+        held = lambda b, e: (k := bisect_right(begins, b)) > 0 and ends[k - 1] >= e
+        return [(b, e, w) for b, (e, w) in hits.items() if not held(b, e)]
 
     def features(self, automaton, text: str | None) -> tuple[float, float]:
         folded = fold(text)
