@@ -4,9 +4,10 @@ Tokens are summed per source, the source's repetition rate follows from its targ
 taken floor(rate) times plus once more with probability equal to the rate's fraction, decided by a digest of
 its id. Everything is DataFrame functions.
 
-Of a few digest seeds each source uses the one whose taken words come nearest to its target: every document's
-chance stays the rate's fraction, but a source of few or very unlike documents no longer misses by the
-chance of one seed.
+Of ``SEEDS`` digest seeds each source uses the one whose taken words come nearest to its target. In a source of many
+documents this leaves each document's chance at about the rate's fraction and takes away the miss that one seed has by
+chance. In a source of a few documents the choice is near to a rounding of its target: a source of one document of rate 0.4
+is always left out, and one of 1.6 always taken twice. With ``seeds=1`` the draw is one plain Bernoulli trial a document.
 
 Defined cases: null text has size 0 and null source is a source of its own, last in order; a source without
 words has target 0 and takes nothing; null ids draw as the empty text; repeated rows each count, and as they
