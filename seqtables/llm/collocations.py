@@ -20,6 +20,8 @@ the phrase's bytes; an empty table gives no rows. Columns other than lang and te
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,9 +33,12 @@ from seqtables.llm.common import Workspace, lowered, slices, utf8
 
 #: Words of a slice: what one task holds of a relation, and what a phrase costs one row for.
 SLICE_WORDS = 1 << 22
+#: Parts, by a checksum of the phrase, in which phrases of two words and more are counted one after another: what the disks hold
+#: at once of the shuffled phrases.
+PASSES = 2
 #: Entries of an array in a row of the working tables.
 CHUNK = 1 << 16
-TEXT_BYTES = 1 << 23
+TEXT_BYTES = 1 << 21
 UNKNOWN = "und"
 
 _PIECE_ENDS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\x0a\x0b\x0c\x0d", np.uint8))
@@ -109,6 +114,7 @@ def occurrences(docs: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:
                 base += len(counts)
             if held:
                 yield from _sequence(slice_id, np.concatenate([c for c, _ in held.values()]), np.concatenate([f for _, f in held.values()]))
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for part in slices(batch, "text", TEXT_BYTES):
@@ -126,37 +132,74 @@ def occurrences(docs: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(read, _SCHEMA)
 
 
-def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+def joined(slice_id: int, chunks: list, number: np.ndarray, gid: np.ndarray):
     """One slice: the occurrences whose phrase is frequent, joined with those at the next place of the piece."""
-    chunks = [(x["first"], x["codes"], x["follows"]) for x in left.select(["first", "codes", "follows"]).to_pylist()]
-    if not chunks or not right.num_rows:
-        return _FIELDS.empty_table()
+    if not chunks or not len(number):
+        return
     chunks.sort()
     codes = np.concatenate([np.frombuffer(c, "<i4") for _, c, _ in chunks])
     follows = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=len(c) // 4) for _, c, f in chunks]).astype(bool)
-    number, gid = right.column("number").to_numpy(), right.column("gid").to_numpy()
-    kept = np.full(int(codes.max()) + 1, -1, np.int64)
-    kept[number] = np.arange(len(number))
+    kept = np.full(max(int(codes.max()), int(number.max())) + 1, -1, np.int32)
+    kept[number] = np.arange(len(number), dtype=np.int32)
     codes = kept[codes]
     places = np.flatnonzero(follows[:-1] & (codes[:-1] >= 0) & (codes[1:] >= 0))
-    pairs, codes, counts = np.unique(codes[places] * len(number) + codes[places + 1], return_inverse=True, return_counts=True)
-    slice_id = left.column("slice")[0].as_py()
-    made = [_batch(_row(slice_id, a, left=_lists(pa.array(gid[pairs[a:b] // len(number)]), pa.int64()),
-                        right=_lists(pa.array(gid[pairs[a:b] % len(number)]), pa.int64()), counts=_lists(pa.array(counts[a:b]), pa.int64())))
-            for a, b in _chunks(len(pairs))]
+    pairs, codes, counts = np.unique(codes[places].astype(np.int64) * len(number) + codes[places + 1], return_inverse=True, return_counts=True)
+    for a, b in _chunks(len(pairs)):
+        yield _batch(_row(slice_id, a, left=_lists(pa.array(gid[pairs[a:b] // len(number)]), pa.int64()),
+                          right=_lists(pa.array(gid[pairs[a:b] % len(number)]), pa.int64()), counts=_lists(pa.array(counts[a:b]), pa.int64())))
     following = np.zeros(len(places), bool)
     following[:-1] = places[1:] == places[:-1] + 1
-    made += _sequence(slice_id, codes.reshape(-1), following)
-    return pa.Table.from_batches(made, _FIELDS)
+    yield from _sequence(slice_id, codes.reshape(-1), following)
+
+
+def _next_relation(relation: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Slices side by side with their frequent phrases, joined one after another."""
+    sequences = relation.filter("codes is not null").select("slice", "first", "codes", "follows")
+    both = (sequences.withColumns({"number": F.lit(None).cast("long"), "gid": F.lit(None).cast("long")})
+            .unionByName(frequent.select((F.shiftright("ref", 23)).alias("slice"), F.col("ref").bitwiseAND((1 << 23) - 1).alias("number"), "gid"),
+                         allowMissingColumns=True))
+    parts = int(relation.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def run(batches):
+        own, chunks, numbers, gids = None, [], [], []
 
-def _counted(relation: DataFrame, key: list[str], source: dict[str, str], least: int) -> DataFrame:
-    """slice, number, ref, gid, f and the key of the phrases that stand at least so often, one row a slice that holds them."""
-    arrays = F.arrays_zip(*[F.col(c).alias(n) for n, c in source.items()], F.col("counts").alias("n"))
-    rows = (relation.filter("counts is not null").select("slice", "first", "lang", F.posexplode(arrays))
-            .select("slice", (F.col("first") + F.col("pos")).alias("number"), *[k if k == "lang" else F.col(f"col.{k}").alias(k) for k in key],
-                    F.col("col.n").alias("n"))
-            .withColumn("ref", F.shiftleft("slice", 23).bitwiseOR(F.col("number"))))
+        def done():
+            empty = [np.zeros(0, np.int64)]
+            yield from joined(own, chunks, np.concatenate(numbers or empty), np.concatenate(gids or empty))
+            pa.default_memory_pool().release_unused()
+
+        for batch in batches:
+            ids = batch.column("slice").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)] if len(ids) else []
+            for a, b in zip(edges, edges[1:]):
+                if ids[a] != own:
+                    if own is not None:
+                        yield from done()
+                    own, chunks, numbers, gids = int(ids[a]), [], [], []
+                part = batch.slice(a, b - a)
+                words = part.filter(pc.is_valid(part.column("codes")))
+                chunks += zip(*(words.column(c).to_pylist() for c in ("first", "codes", "follows")))
+                listed = part.filter(pc.is_valid(part.column("number")))
+                numbers.append(listed.column("number").to_numpy(zero_copy_only=False))
+                gids.append(listed.column("gid").to_numpy(zero_copy_only=False))
+        if own is not None:
+            yield from done()
+
+    return both.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(run, _SCHEMA)
+
+
+def _counted(relation: DataFrame, key: list[str], least: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """ref (slice and number), gid, f and the key of the phrases that stand at least so often: a row for each slice that holds them.
+
+    Only phrases of the given part, by a checksum of the key, are looked at.
+    """
+    names = {"word": "words", "left": "left", "right": "right"}
+    arrays = F.arrays_zip(*[F.col(names[k]).alias(k) for k in key if k in names], F.col("counts").alias("n"))
+    rows = (relation.filter("counts is not null").select("slice", "first", *[k for k in key if k == "lang"], F.posexplode(arrays))
+            .select(*[k if k == "lang" else F.col(f"col.{k}").alias(k) for k in key], F.col("col.n").cast("int").alias("n"),
+                    F.shiftleft("slice", 23).bitwiseOR(F.col("first") + F.col("pos")).alias("ref")))
+    if parts > 1:
+        rows = rows.filter(F.pmod(F.xxhash64(*key), F.lit(parts)) == part)
     same = Window.partitionBy(*key)
     return (rows.withColumn("f", F.sum("n").over(same)).withColumn("gid", F.min("ref").over(same))
             .filter(F.col("f") >= least).drop("n"))
@@ -170,7 +213,7 @@ def mine(docs: DataFrame, least: int = 30, longest: int = 4, best: int = 2000, i
          slice_words: int = SLICE_WORDS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first collocations.
 
-    A slice may hold more than ``slice_words`` by the words of 8 MB of text or of one longer text; its numbers must stay
+    A slice may hold more than ``slice_words`` by the words of 2 MB of text or of one longer text; its numbers must stay
     below 2^23, which is checked.
     """
     work = Workspace(docs.sparkSession, "collocations")
@@ -181,17 +224,17 @@ def mine(docs: DataFrame, least: int = 30, longest: int = 4, best: int = 2000, i
     most = relation.filter("counts is not null").agg(F.max(F.col("first") + F.size("counts"))).first()[0] or 0
     if most > 1 << 23:
         raise ValueError(f"a slice holds {most} distinct words; set slice_words lower")
-    frequent = work.save("frequent-1", _counted(relation, ["lang", "word"], {"word": "words"}, least))
+    names = ["frequent-1"]
+    frequent = work.save("frequent-1", _counted(relation, ["lang", "word"], least))
     known = _phrases(frequent).select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.lit(1).alias("words"), "f")
     found = [work.save("phrases-1", known)]
     for length in range(2, longest + 1):
-        groups = relation.filter("codes is not null").select("slice", "first", "codes", "follows").groupBy("slice")
-        nxt = groups.cogroup(frequent.select("slice", "number", "gid").groupBy("slice")).applyInArrow(joined, _SCHEMA)
-        nxt = work.save(f"relation-{length}", nxt)
+        relation = work.save(f"relation-{length}", _next_relation(relation, frequent))
         work.remove(f"relation-{length - 1}")
-        frequent = work.save(f"frequent-{length}", _counted(nxt, ["left", "right"], {"left": "left", "right": "right"}, least))
-        work.remove(f"frequent-{length - 1}")
-        relation, before = nxt, found[-1]
+        work.remove(*names)
+        names = [f"frequent-{length}-{part}" for part in range(PASSES)]
+        parts = [work.save(name, _counted(relation, ["left", "right"], least, part, PASSES)) for part, name in enumerate(names)]
+        frequent, before = reduce(DataFrame.unionByName, parts), found[-1]
         whole = (_phrases(frequent).join(before.select(F.col("gid").alias("left"), "lang", F.col("phrase").alias("head")), "left")
                  .join(before.select(F.col("gid").alias("right"), "last"), "right")
                  .select("gid", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", F.lit(length).alias("words"), "f"))
@@ -200,8 +243,7 @@ def mine(docs: DataFrame, least: int = 30, longest: int = 4, best: int = 2000, i
     for more in found[1:]:
         known = known.unionByName(more)
     result = work.save("result", _ranked(known.select("lang", "phrase", "words", "f"), totals, best, inside))
-    for name in ["totals", f"relation-{longest}", f"frequent-{longest}"] + [f"phrases-{k}" for k in range(1, longest + 1)]:
-        work.remove(name)
+    work.remove_others("result")
     return result
 
 
