@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from seqtables.llm import jaccard, langid, mixing, suffixes, syncmers, toxicity
+from seqtables.llm import jaccard, langid, mixing, suffixes, syncmers, tokens, toxicity
 from seqtables.llm.common import Workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -191,3 +191,25 @@ def test_one_seed_draws_each_document_by_the_fraction(spark):
     for rate in (1 / 3, 2 / 3):
         mine = [r["copies"] for r in got if r["size"] == 30 and abs(r["target"] / 30 - rate) < 0.01]
         assert len(mine) == 100 and set(mine) == {0, 1} and abs(sum(mine) - 100 * rate) < 16
+
+
+# --- token ids -------------------------------------------------------------------------------------
+
+def test_words_skip_the_pre_tokenizer(monkeypatch):
+    coder, sent = tokens.Encoder(tokens.vocabulary()), []
+    whole = coder._whole
+    monkeypatch.setattr(coder, "_whole", lambda texts: sent.extend(texts) or whole(texts))
+    texts = ["Plain words, été und Maß.\nNew line", "3.14 × don't", ""]
+    want = [ids + b"\x02\x00" for ids in whole(texts)]
+    assert coder.encode(texts, 2) == want == coder.encode(texts, 2)
+    assert set(sent) == {",", ".", "\n", "3.14", " ×", " don't"} and len(sent) == 6
+
+
+@pytest.mark.parametrize("remembered", [5, 700_000])
+def test_pieces_have_the_ids_of_the_whole_text(monkeypatch, remembered):
+    monkeypatch.setattr(tokens, "REMEMBERED", remembered)
+    rng, coder = random.Random(6), tokens.Encoder(tokens.vocabulary())
+    parts = ["a", "B", "é", "À", "ÿ", "×", "÷", "ж", "漢", "1", ",", ".", "'s", "'", " ", "  ", "\n", "\n\n", "\t", "\r\n", " the", "x" * 60, "\u0301"]
+    for _ in range(20):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(50)]
+        assert coder.encode(texts, 2) == [ids + b"\x02\x00" for ids in coder._whole(texts)]
