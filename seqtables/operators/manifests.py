@@ -86,6 +86,19 @@ def cleanup_manifest(queue: DataFrame, genome: DataFrame, settings: DataFrame) -
     return per_database.select("uid", F.inline(F.when(F.col("db").isNull(), in_results).otherwise(in_browser)))
 
 
+def folders_above(files: DataFrame, folders: DataFrame) -> DataFrame:
+    """path and folder: of the folders that a file lies in those as deep as one of ``folders``.
+
+    The depths travel as one array, from a subquery of the same plan. So a file mostly makes one short row, and the folders
+    that all files lie in, each a key of very many rows, make none.
+    """
+    parts = F.split("path", "/")
+    depths = folders.filter("folder is not null").agg(F.collect_set(F.size(F.split("folder", "/")))).scalar()
+    inside = F.filter("depths", lambda i: i < F.size(parts))
+    above = F.transform(inside, lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    return files.withColumn("depths", depths).select("path", F.explode(above).alias("folder"))
+
+
 def cleanup_files(queue: DataFrame, uploaded: DataFrame, settings: DataFrame, files: DataFrame) -> DataFrame:
     """Files and folders to remove: uid, reason, kind and path.
 
@@ -93,14 +106,12 @@ def cleanup_files(queue: DataFrame, uploaded: DataFrame, settings: DataFrame, fi
     not hold ``fastq``, and the folder ``tophat`` whole; a deleted one (``delete``) loses its folder. Of experiments in
     ``uploaded`` (uid, those whose ``delete_files`` took effect) the plain FASTQ files named after them go. ``files`` is an inventory.
 
-    A file meets the experiments by an equi-join of the folders above it, so the whole store is read once, and a file makes
-    one short row for each folder it lies in.
+    A file meets the experiments by an equi-join of the folders above it, so the whole store is read once. ``queue`` and
+    ``uploaded`` are read twice.
     """
     named = queue.select("uid", F.col("action").alias("reason")).unionByName(uploaded.select("uid", F.lit("upload").alias("reason")))
     folders = named.withColumn("s", settings_row(settings)).select("uid", "reason", _folder(F.col("uid"), F.col("s.raw_data")).alias("folder"))
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
-    placed = files.select("path", F.explode(above).alias("folder")).join(folders, "folder")
+    placed = folders_above(files, folders).join(folders, "folder")
     rest, name = F.expr("substring(path, length(folder) + 2)"), text.base_name(F.col("path"))
     goes = (
         F.when(F.col("reason") == "delete", True)

@@ -99,9 +99,9 @@ def load_results(spark: SparkSession, folder: str, experiments: DataFrame, rules
         more = rejects(rule, read)
         rejected = more if rejected is None else rejected.unionByName(more)
     files = inventory.inventory(spark, folder)
-    found = _kept(verdicts(experiments, rules, settings, genome, files, rejected), "verdicts")
-    outcome = _kept(upload_outcome(experiments, rules, found), "outcomes")
-    active = _kept(effective(found, outcome), "loaders")
+    found = kept(verdicts(experiments, rules, settings, genome, files, rejected), "verdicts")
+    outcome = kept(upload_outcome(experiments, rules, found), "outcomes")
+    active = kept(effective(found, outcome), "loaders")
 
     def of(*names: str) -> DataFrame:
         return active.filter(F.col("rule").isin(*names)).select("uid").distinct()
@@ -112,7 +112,7 @@ def load_results(spark: SparkSession, folder: str, experiments: DataFrame, rules
     def put(name: str, table: DataFrame, uids: DataFrame, order: Sequence[str]) -> None:
         buckets.replace(schemas.stored(table, name), f"{tables}/{name}", uids, order, count)
 
-    isoforms, peaks = _kept(accepted("upload_rpkm"), "isoforms"), _kept(accepted("upload_iaintersect_result"), "peaks")
+    isoforms, peaks = kept(accepted("upload_rpkm"), "isoforms"), kept(accepted("upload_iaintersect_result"), "peaks")
     by_rule = {"upload_rpkm": (("isoforms", isoforms), ("genes", rollups.genes(isoforms)), ("common_tss", rollups.common_tss(isoforms))),
                "upload_iaintersect_result": (("islands", peaks), ("browser_islands", rollups.peaks_bed(peaks))),
                "upload_atdp": (("atdp", accepted("upload_atdp")),)}
@@ -132,7 +132,7 @@ def load_results(spark: SparkSession, folder: str, experiments: DataFrame, rules
             "fragments": accepted("upload_macs2_fragment_stat"), "sizes": sizes, "loaders": active}
 
 
-def _kept(rows: DataFrame, purpose: str) -> DataFrame:
+def kept(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read back: they are decided once and used several times."""
     path = shared_folder(rows.sparkSession, purpose)
     rows.write.parquet(path)

@@ -192,9 +192,10 @@ def upload_outcome(spark, sf):
 @query
 def cleanup_files(spark, sf):
     t = lambda name: table(spark, sf, name)
-    found = _verdicts(spark, sf)
-    uploaded = uploads.effective(found, _outcome(spark, sf, found)).filter("rule = 'delete_files'")
-    return manifests.cleanup_files(_present(spark, sf), uploaded, t("settings"), t("store_files"))
+    found = uploads.kept(_verdicts(spark, sf), "verdicts")
+    uploaded = uploads.effective(found, _outcome(spark, sf, found)).filter("rule = 'delete_files'").select("uid")
+    return manifests.cleanup_files(uploads.kept(_present(spark, sf).select("uid", "action"), "queue"), uploads.kept(uploaded, "uploaded"),
+                                   t("settings"), t("store_files"))
 
 
 # --- queues --------------------------------------------------------------------------------

@@ -141,3 +141,14 @@ def test_loaders_after_a_failure_are_void(spark, rows):
                                      rows([(1, '["r0"]')], "experimenttype_id int, upload_rules string"), found)
     assert {(r.uid, r.event, r.position) for r in outcome.collect()} == {("a", "failed", 1), ("b", "completed", None), ("c", "completed", None)}
     assert {(r.uid, r.rule) for r in uploads.effective(found, outcome).collect()} == {("a", "r0"), ("b", "r0")}
+
+
+def test_a_file_makes_rows_for_folders_of_experiments_depth_only(rows):
+    files = rows([("/w/raw/a/x.txt",), ("/w/raw/a/sub/y.txt",), ("/w/z",), ("top",), (None,)], "path string")
+    folders = rows([("/w/raw/a",), ("/w/raw/b",), (None,)], "folder string")
+    assert sorted(tuple(r) for r in manifests.folders_above(files, folders).collect()) == [
+        ("/w/raw/a/sub/y.txt", "/w/raw/a"), ("/w/raw/a/x.txt", "/w/raw/a")]
+    deep = folders.unionByName(rows([("/w",)], "folder string"))
+    assert sorted(tuple(r) for r in manifests.folders_above(files, deep).collect()) == [
+        ("/w/raw/a/sub/y.txt", "/w"), ("/w/raw/a/sub/y.txt", "/w/raw/a"), ("/w/raw/a/x.txt", "/w"), ("/w/raw/a/x.txt", "/w/raw/a"), ("/w/z", "/w")]
+    assert manifests.folders_above(files, folders.filter("false")).count() == 0
