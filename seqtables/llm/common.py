@@ -39,8 +39,10 @@ def saved(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Whether shuffle files go as soon as the query that wrote them has ended.
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a working table is written: shuffle files go as soon as the query that wrote them has ended, and rows reach Python in
+#: batches of so many bytes. The usual ten thousand rows of text are tens of megabytes, held several times over on either side.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": True,
+            "spark.sql.execution.arrow.maxBytesPerBatch": 4 * SLICE_BYTES}
 
 
 class Workspace:
@@ -58,15 +60,17 @@ class Workspace:
         """The rows written as the table of that name and read back."""
         self.names.append(name)
         self.used += 1
-        before = self.spark.conf.get(_CLEAN_UP, None)
-        self.spark.conf.set(_CLEAN_UP, True)
+        before = {key: self.spark.conf.get(key, None) for key in _WRITING}
+        for key, value in _WRITING.items():
+            self.spark.conf.set(key, value)
         try:
             df.write.option("compression", codec).parquet(f"{self.folder}/{name}")
         finally:
-            if before is None:
-                self.spark.conf.unset(_CLEAN_UP)
-            else:
-                self.spark.conf.set(_CLEAN_UP, before)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def number(self, name: str) -> str:

@@ -115,6 +115,18 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
+def repeated(chunk: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that occur so often in a chunk, in order, and how often; the chunk is emptied. Besides the chunk and one sorted
+    copy only what is frequent is held."""
+    tokens = np.concatenate(chunk)
+    chunk.clear()
+    tokens.sort()
+    behind = max(1, int(np.ceil(least))) - 1
+    ends = tokens[behind:]
+    found = np.unique(ends[ends == tokens[:len(ends)]])
+    return found, np.searchsorted(tokens, found, "right") - np.searchsorted(tokens, found, "left")
+
+
 def _described(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
     """A row per document (doc_id, n, class, bits) and rows of tokens frequent in a chunk (token, and as n its documents there)."""
     work = work or Workspace(docs.sparkSession, "jaccard")
@@ -124,9 +136,7 @@ def _described(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
         chunk, held, rows = [], 0, 0
 
         def frequent():
-            token, n = np.unique(np.concatenate(chunk), return_counts=True)
-            some = n >= max(LEAST_SEEN, FREQUENT * rows)
-            token, n = token[some], n[some]
+            token, n = repeated(chunk, max(LEAST_SEEN, FREQUENT * rows))
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(len(token), arrow_id), pa.array(n, pa.int64()),
                  pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.binary()), pa.array(signed(token))],
@@ -141,11 +151,11 @@ def _described(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
                      pa.array([class_of(s) for s in sets], pa.int64()), pa.array([signature(s).tobytes() for s in sets], pa.binary()),
                      pa.nulls(len(sets), pa.int64())],
                     ["doc_id", "n", "class", "bits", "token"])
-                chunk += sets
+                chunk.append(np.concatenate(sets))  # few large arrays go back to the system when they are dropped, many small ones do not
                 held, rows = held + sum(map(len, sets)), rows + len(sets)
                 if held >= CHUNK_TOKENS:
                     yield frequent()
-                    chunk, held, rows = [], 0, 0
+                    held, rows = 0, 0
         if chunk:
             yield frequent()
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -213,3 +214,33 @@ def test_pieces_have_the_ids_of_the_whole_text(monkeypatch, remembered):
     for _ in range(20):
         texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(50)]
         assert coder.encode(texts, 2) == [ids + b"\x02\x00" for ids in coder._whole(texts)]
+
+
+# --- memory -------------------------------------------------------------------------------------
+
+def test_frequent_tokens_of_a_chunk_are_counted_in_one_copy_of_it():
+    rng = np.random.default_rng(6)
+    parts = [rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) for _ in range(10)]
+    for i, part in enumerate(parts):
+        part[:50] = np.arange(50)
+        part[50:60] = np.arange(100, 110) if i % 2 else part[50:60]
+    for least in (6, 5, 4.2, 1):
+        want = {int(t): int(n) for t, n in zip(*np.unique(np.concatenate(parts), return_counts=True)) if n >= least}
+        assert dict(zip(*(x.tolist() for x in jaccard.repeated(list(parts), least)))) == want
+    chunk, size = list(parts), sum(p.nbytes for p in parts)
+    tracemalloc.start()
+    jaccard.repeated(chunk, 6)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not chunk and most < 1.5 * size
+
+
+def test_working_tables_reach_python_in_small_batches(spark):
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64()), pa.array([batch.num_rows], pa.int64())], ["bytes", "n"])
+
+    rows = spark.range(0, 6000, 1, 1).selectExpr("repeat('text ', 1000) as text")
+    found = Workspace(spark, "batches").save("measured", rows.mapInArrow(measure, "bytes long, n long")).collect()
+    assert sum(r["n"] for r in found) == 6000 and max(r["bytes"] for r in found) < 9 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != str(4 << 20)
