@@ -427,6 +427,33 @@ def test_code_search(spark):
     assert codesearch.search(vectors.limit(0)).count() == 0
 
 
+def test_code_search_in_groups(spark, monkeypatch):
+    """Masks become rows for the first bits of a segment only, and crowded groups are dealt over several."""
+    unfolded, flips = [], codesearch._flips
+    monkeypatch.setattr(codesearch, "_flips", lambda width, radius: unfolded.append((width, radius)) or flips(width, radius))
+    monkeypatch.setattr(codesearch, "GROUP_CODES", 64)
+    monkeypatch.setattr(codesearch, "MOST_CODES", 16)
+    rng = np.random.default_rng(8)
+    signs = rng.integers(0, 2, (600, 32)) * 2 - 1
+    signs[200:400, :11] = 1
+    signs[400:420] = signs[7]
+    vectors = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(signs)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in codesearch.search(vectors, k=6).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["distance"], r["neighbour_id"]))
+    assert set(got) == set(range(0, 600, 50))
+    for q, found in got.items():
+        want = sorted((int((signs[q] != signs[i]).sum()), i) for i in range(600) if i != q)[:6]
+        assert [(d, i) for _, d, i in sorted(found)] == want
+    assert unfolded and max(width for width, _ in unfolded) <= 4 and max(radius for _, radius in unfolded) <= 4
+
+
+def test_nearest_keep_ties_of_one_id():
+    asking, distance, least = (np.array(x) for x in ([1, 0, 0, 0, 0, 1], [4, 2, 2, 2, 1, 3], [9, 5, 5, 6, 8, 9]))
+    assert sorted(codesearch._nearest(asking, distance, least, 2).tolist()) == [0, 1, 2, 4, 5]
+    assert len(codesearch._nearest(*(np.zeros(0, int),) * 3, 2)) == 0
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame([(i, f"http://x/{i}", "page " * (i % 13)) for i in range(1, 700)] + [(5000, None, None), (None, "u", "h")],
                                   "page_id long, url string, html string")
