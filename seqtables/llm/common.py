@@ -3,9 +3,12 @@ and running totals over an ordered corpus without a single-task window."""
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +35,37 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: While a table is written, rows reach Python in batches of so many bytes. The usual ten thousand rows of text are tens of
+#: megabytes, held several times over on either side.
+_SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": 4 * SLICE_BYTES}
+#: While a working table is written, also: shuffle files go as soon as the query that wrote them has ended.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": True, **_SMALL_BATCHES}
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict) -> Iterator[None]:
+    """The session's settings changed for a while."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def saved(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     """The rows written to the shared folder as Parquet and read back, so that nothing above is computed twice."""
     path = working_folder(df.sparkSession, purpose)
-    df.write.option("compression", codec).parquet(path)
+    with _settings(df.sparkSession, _SMALL_BATCHES):
+        df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: While a working table is written: shuffle files go as soon as the query that wrote them has ended, and rows reach Python in
-#: batches of so many bytes. The usual ten thousand rows of text are tens of megabytes, held several times over on either side.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": True,
-            "spark.sql.execution.arrow.maxBytesPerBatch": 4 * SLICE_BYTES}
-
-
 class Workspace:
     """Working tables of one run below one shared folder, each removed when nothing reads it any more.
 
@@ -60,17 +81,8 @@ class Workspace:
         """The rows written as the table of that name and read back."""
         self.names.append(name)
         self.used += 1
-        before = {key: self.spark.conf.get(key, None) for key in _WRITING}
-        for key, value in _WRITING.items():
-            self.spark.conf.set(key, value)
-        try:
+        with _settings(self.spark, _WRITING):
             df.write.option("compression", codec).parquet(f"{self.folder}/{name}")
-        finally:
-            for key, value in before.items():
-                if value is None:
-                    self.spark.conf.unset(key)
-                else:
-                    self.spark.conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def number(self, name: str) -> str:
@@ -100,6 +112,54 @@ def buckets_wanted(spark: SparkSession) -> int:
     return min(4096, max(8, 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+# --- memory of a worker ------------------------------------------------------------------------
+
+#: What an operator's tasks leave in a worker for its next ones, by the operator's module.
+_caches: dict[str, dict] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
+def cache(owner: str) -> dict:
+    """A dictionary that lasts in a worker until ``lean`` work of others begins there."""
+    return _caches.setdefault(owner, {})
+
+
+def give_back() -> None:
+    """Memory that nothing holds goes back to the system. Allocators otherwise keep what the largest batch took, and a worker
+    serves every operator of a session."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def lean(work: Callable, keeps: str | None = None) -> Callable:
+    """The same work on batches, without what other operators left in the worker (but for the cache it keeps), and giving
+    memory back after every few megabytes of rows and at its end."""
+    def run(batches):
+        _begun(keeps)
+        yield from work(_given_back(batches))
+        give_back()
+
+    return run
+
+
+def _begun(keeps: str | None) -> None:
+    for owner, held in _caches.items():
+        if owner != keeps:
+            held.clear()
+    give_back()
+
+
+def _given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    handled = 0
+    for batch in batches:
+        if handled >= 4 * SLICE_BYTES:
+            give_back()
+            handled = 0
+        handled += batch.nbytes
+        yield batch
+
+
 # --- order ----------------------------------------------------------------------------------
 
 def cut_points(df: DataFrame, column: str, count: int) -> list[int]:
@@ -131,11 +191,11 @@ def _series(values):
 
 # --- batches of text ----------------------------------------------------------------------------
 
-def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about so many text bytes; a longer text makes a run of its own."""
+def slices(batch: pa.RecordBatch, column: str | pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about so many text bytes; a longer text makes a run of its own. column: the texts, or their name."""
     if batch.num_rows == 0:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column) if isinstance(column, str) else column), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     begin = 0
     while begin < batch.num_rows:
@@ -200,7 +260,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2^64."""
     if not _powers or len(_powers[0]) < n:
-        size = max(2 * SLICE_BYTES, n)
+        size = max(SLICE_BYTES + 1, n)
         up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
         up[0] = down[0] = 1
         np.multiply.accumulate(up, out=up)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import Words, Workspace, lowered, mixed, runs_hashed, signed, slices, utf8
+from seqtables.llm.common import Words, Workspace, lean, lowered, mixed, runs_hashed, signed, slices, utf8
 from seqtables.llm.components import components
 
 SHINGLE = 5
@@ -159,7 +159,7 @@ def _described(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
         if chunk:
             yield frequent()
 
-    return work.save("sets", docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, class long, bits binary, token long"))
+    return work.save("sets", docs.select("doc_id", "text").mapInArrow(lean(describe), f"doc_id {kind}, n long, class long, bits binary, token long"))
 
 
 def _frequent(described: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def _prefix_rows(docs: DataFrame, frequent: np.ndarray, tier: np.ndarray) -> Dat
                     yield pa.RecordBatch.from_arrays([pa.array(signed(columns[0])), *map(pa.array, columns[1:])],
                                                      ["token", "rep", "class", "n"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(emit, "token long, rep long, class long, n int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(emit), "token long, rep long, class long, n int")
     return rows.withColumn("salt", F.when(F.col("token") < 0, F.pmod("class", F.lit(SALTS))).otherwise(0).cast("int"))
 
 
@@ -226,7 +226,7 @@ def _buckets(rows: DataFrame, work: Workspace) -> DataFrame:
 
     return work.save("buckets", rows.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt", "rep", "class")
                      .select("token", "salt", "rep", "class", "n")
-                     .mapInArrow(several, "token long, salt int, rep long, class long, n int, hub_rep long, hub_class long, hub_n int"))
+                     .mapInArrow(lean(several), "token long, salt int, rep long, class long, n int, hub_rep long, hub_class long, hub_n int"))
 
 
 _NEAR_SIZES = f"{DENOMINATOR} * least(n_a, n_b) >= {NUMERATOR} * greatest(n_a, n_b)"
@@ -292,7 +292,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, work: Workspace) -> DataFrame:
                         b.append(cls)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return work.save(work.number("verified"), stars.select("star", "split", "role", "class", "text").mapInArrow(compare, "a long, b long").distinct())
+    return work.save(work.number("verified"), stars.select("star", "split", "role", "class", "text").mapInArrow(lean(compare), "a long, b long").distinct())
 
 
 #: the least overlap of linked sets, as a share of the sum of their sizes
@@ -563,7 +563,7 @@ def _second_pairs(docs: DataFrame, described: DataFrame, buckets: DataFrame, lin
         packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(table.num_rows, -1)
         return {c: table.column(c).to_numpy().astype(np.int64) for c in names}, packed
 
-    return found, _distinct(cells.mapInArrow(traverse, "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"), work), more
+    return found, _distinct(cells.mapInArrow(lean(traverse), "rep_a long, a long, n_a long, rep_b long, b long, n_b long, times long"), work), more
 
 
 def linked(docs: DataFrame, work: Workspace | None = None) -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import mixed, slices, utf8
+from seqtables.llm.common import lean, mixed, slices, utf8
 
 SAMPLE_PER_LANGUAGE = 3000
 NGRAMS_PER_LANGUAGE = 30000
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Filters:
                         [pa.array(np.full(len(keys), length, np.int32)), pa.array(keys), pa.array(counts)],
                         ["length", "key", "n"])
 
-    counted = (labelled.filter(drawn < share).select("text", "lang").mapInArrow(count, "length int, key long, n long")
+    counted = (labelled.filter(drawn < share).select("text", "lang").mapInArrow(lean(count), "length int, key long, n long")
                .groupBy("length", "key").agg(F.sum("n").alias("n")).filter("n >= 3").toPandas())
     rate = np.zeros(0)
     masks = np.zeros(((len(languages) + 7) // 8, SLOTS), np.uint8)
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(
-        predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double, known double")
+        lean(predict), f"doc_id {kind}, held_out boolean, lang_pred string, score double, known double")
 
 
 def accepted(docs: DataFrame, filters: Filters, least_known: float = LEAST_KNOWN) -> DataFrame:
@@ -202,4 +202,4 @@ def accepted(docs: DataFrame, filters: Filters, least_known: float = LEAST_KNOWN
                 lang, _, known = filters.predict(part.column(at))
                 yield part.filter(pa.array([x != UNDETERMINED and k >= least_known for x, k in zip(lang, known)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

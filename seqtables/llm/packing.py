@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import saved, slices
-from seqtables.llm.tokens import SLICE, encoder, vocabulary
+from seqtables.llm.common import lean, saved, slices
+from seqtables.llm.tokens import KEPT, SLICE, encoder, vocabulary
 
 LENGTH = 1024
 WINDOW_SEQUENCES = 64
@@ -66,7 +66,7 @@ def running_totals(rows: DataFrame, group: str, order: list[str], value: str, ke
             part = pa.array(np.full(len(values), TaskContext.get().partitionId(), np.int32))
             yield pa.RecordBatch.from_arrays([part, pa.array(before), *batch.columns], ["_part", "_before", *batch.schema.names])
 
-    local = saved(sorted_rows.mapInArrow(sum_up, schema), "running")
+    local = saved(sorted_rows.mapInArrow(lean(sum_up, KEPT), schema), "running")
     parts = local.groupBy(group, "_part").agg(F.sum(value).alias("_sum"))
     queue = Window.partitionBy(group).orderBy("_part")
     bases = parts.select(F.col(group).alias("_group"), F.col("_part").alias("_place"),
@@ -92,7 +92,7 @@ def tokenised(docs: DataFrame, path: str, end: int) -> DataFrame:
                     ["row", "doc_id", "source", "n", "ids"])
 
     rows = docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("row"))
-    return saved(rows.mapInArrow(encode, f"row long, doc_id {kinds['doc_id']}, source {kinds['source']}, n long, ids binary"), "packed-ids")
+    return saved(rows.mapInArrow(lean(encode, KEPT), f"row long, doc_id {kinds['doc_id']}, source {kinds['source']}, n long, ids binary"), "packed-ids")
 
 
 def schedules(weights: dict, totals: dict, in_all: int, windows: int) -> tuple[dict, int]:
@@ -164,7 +164,7 @@ def layout(tokens: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENC
                                              ["row", "source", "start", "n", "window", "sent"])
 
     sent = queues.select("row", "source", "before", "n", "total").mapInArrow(
-        deal, f"row long, source {kind}, start long, n long, window long, sent long")
+        lean(deal, KEPT), f"row long, source {kind}, start long, n long, window long, sent long")
     stream, _ = running_totals(sent.withColumn("_all", F.lit(0)), "_all", ["window", "source", "sent", "row"], "n", ["n", "start"])
     return stream.select("row", "start", "n", F.col("before").alias("place"), "window")
 
@@ -212,4 +212,4 @@ def pack(docs: DataFrame, length: int = LENGTH, window: int = WINDOW_SEQUENCES,
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window"])
 
     return placed.select("doc_id", "n", "ids", "parts").mapInArrow(
-        cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long")
+        lean(cut, KEPT), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import Words, saved, signed, slices, span_hashes, utf8, runs_hashed, windows_hashed
+from seqtables.llm.common import Words, lean, saved, signed, slices, span_hashes, utf8, runs_hashed, windows_hashed
 
 PASSAGE = 50
 WINDOW = 26
@@ -79,7 +79,7 @@ def _suffixes(docs: DataFrame) -> DataFrame:
                         [pa.array(key), pa.array(marked.classes[of]), pa.array(ids[of]), pa.array((at - marked.first[of]).astype(np.int32))],
                         ["key", "class", "doc_id", "place"])
 
-    return saved(docs.mapInArrow(keep, "key long, class long, doc_id long, place int"), "suffixes")
+    return saved(docs.mapInArrow(lean(keep), "key long, class long, doc_id long, place int"), "suffixes")
 
 
 def _shared(suffixes: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def _shared(suffixes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(held[n][-1:]) for n in ("doc_id", "class", "place")], ["doc_id", "class", "place"])
 
     return (suffixes.filter("key is not null").select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-            .mapInArrow(neighbours, "doc_id long, class long, place int"))
+            .mapInArrow(lean(neighbours), "doc_id long, class long, place int"))
 
 
 def _passages(docs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def _passages(docs: DataFrame, shared: DataFrame) -> DataFrame:
                     ["hash", "doc_id", "class", "start"])
 
     return saved(docs.join(wanted, "doc_id").select("doc_id", "class", "text", "places")
-                 .mapInArrow(extend, "hash long, doc_id long, class long, start int"), "passages")
+                 .mapInArrow(lean(extend), "hash long, doc_id long, class long, start int"), "passages")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def _spans(docs: DataFrame) -> DataFrame:
                 ["doc_id", "class", "start", "n_words", "first"])
 
     return (starts.unionByName(copies).groupBy("doc_id", "class").agg(F.collect_list(F.struct("start", "n_words", "first")).alias("parts"))
-            .mapInArrow(merge, "doc_id long, class long, start int, n_words int, first boolean"))
+            .mapInArrow(lean(merge), "doc_id long, class long, start int, n_words int, first boolean"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -212,9 +212,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     joined = docs.select(row, F.col("doc_id").cast("long").alias("_id")).join(spans, F.col("_id") == F.col("_doc"), "left")
 
     def cut(batches):
-        for batch in batches:
-            held = batch.column("_row")
-            spans, texts, keep = batch.column("_spans").to_pylist(), held.field(at).to_pylist(), []
+        for part in (p for batch in batches for p in slices(batch, batch.column("_row").field(at))):
+            held = part.column("_row")
+            spans, texts, keep = part.column("_spans").to_pylist(), held.field(at).to_pylist(), []
             sizes = held.field(counted).to_pylist() if counted is not None else []
             for i, (text, found) in enumerate(zip(texts, spans)):
                 keep.append(True)
@@ -237,4 +237,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             columns = [pa.array(new[k], held.field(k).type) if k in new else held.field(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("_row", "_spans").mapInArrow(cut, docs.schema)
+    return joined.select("_row", "_spans").mapInArrow(lean(cut), docs.schema)

@@ -24,8 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtables.llm.common import buckets_wanted, cut_points, range_of, saved, slices, working_folder
-from seqtables.llm.tokens import SLICE, encoder, vocabulary
+from seqtables.llm.common import buckets_wanted, cut_points, lean, range_of, saved, slices, working_folder
+from seqtables.llm.tokens import KEPT, SLICE, encoder, vocabulary
 
 END = 2
 BLOCK_TOKENS = 1 << 18
@@ -84,7 +84,7 @@ def _tokenised(docs: DataFrame, path: str, end: int, cuts: list[int]) -> DataFra
                     [pa.array(range_of(key, cuts)), part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
                     ["range", "doc_id", "n", "ids"])
 
-    return saved(docs.select("doc_id", "text").mapInArrow(encode, f"range int, doc_id {kind}, n long, ids binary"), "tokens")
+    return saved(docs.select("doc_id", "text").mapInArrow(lean(encode, KEPT), f"range int, doc_id {kind}, n long, ids binary"), "tokens")
 
 
 def frequencies(tokens: DataFrame, path: str) -> np.ndarray:
@@ -99,7 +99,7 @@ def frequencies(tokens: DataFrame, path: str) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = tokens.select("ids").mapInArrow(lean(count, KEPT), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, np.int64)
     total[rows["id"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return total
@@ -146,7 +146,7 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, e
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (tokens.repartition(parts, "range").sortWithinPartitions("range", "doc_id", "ids")
-     .mapInArrow(pack, f"range int, block long, first long, n long, doc_ids array<{kind}>, lengths array<long>, controls binary, data binary")
+     .mapInArrow(lean(pack, KEPT), f"range int, block long, first long, n long, doc_ids array<{kind}>, lengths array<long>, controls binary, data binary")
      .write.option("compression", "none").parquet(f"{folder}/blocks"))
     spark.createDataFrame([(int(i), int(t)) for i, t in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     return folder
@@ -180,4 +180,4 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     pa.array([zlib.crc32(x) for x in own], pa.int64()), pa.array([bytes(x) for x in own], pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    return blocks.mapInArrow(unpack, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.mapInArrow(lean(unpack, KEPT), f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, ids binary")

@@ -22,12 +22,14 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 
-from seqtables.llm.common import utf8
+from seqtables.llm.common import cache, utf8
 
 #: Text bytes encoded at once.
 SLICE = 1 << 22
-#: Pieces remembered by a worker; about 200 bytes each.
-REMEMBERED = 700_000
+#: Pieces remembered by a worker, and as many older ones; about 200 bytes each.
+REMEMBERED = 250_000
+#: The name under which a worker keeps its encoders.
+KEPT = "tokens"
 _LONGEST_REMEMBERED = 48
 _WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: What each byte is to the cutting.
@@ -40,7 +42,7 @@ _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _WRITTEN = "".join(chr(b if b in _PLAIN else 256 + sum(x not in _PLAIN for x in range(b))) for b in range(256))
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[str, "Encoder"] = cache(KEPT)
 
 
 def vocabulary() -> str:

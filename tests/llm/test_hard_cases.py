@@ -1,5 +1,6 @@
 """Brute force for matching, language filters and fingerprints, and cases that earlier versions got wrong."""
 
+import os
 import random
 import re
 import tracemalloc
@@ -8,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from seqtables.llm import jaccard, langid, mixing, suffixes, syncmers, tokens, toxicity
+from seqtables.llm import common, jaccard, langid, mixing, suffixes, syncmers, tokens, toxicity
 from seqtables.llm.common import Workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -244,3 +245,57 @@ def test_working_tables_reach_python_in_small_batches(spark):
     found = Workspace(spark, "batches").save("measured", rows.mapInArrow(measure, "bytes long, n long")).collect()
     assert sum(r["n"] for r in found) == 6000 and max(r["bytes"] for r in found) < 9 << 20
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != str(4 << 20)
+
+
+def test_saved_tables_reach_python_in_small_batches(spark):
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64()), pa.array([batch.num_rows], pa.int64())], ["bytes", "n"])
+
+    rows = spark.range(0, 6000, 1, 1).selectExpr("repeat('text ', 1000) as text")
+    found = common.saved(rows.mapInArrow(measure, "bytes long, n long"), "batches").collect()
+    assert sum(r["n"] for r in found) == 6000 and max(r["bytes"] for r in found) < 9 << 20
+
+
+def test_work_of_other_operators_drops_what_a_worker_kept():
+    batch = pa.RecordBatch.from_arrays([pa.array(["a text"])], ["text"])
+    coder = tokens.encoder(tokens.vocabulary())
+    list(common.lean(lambda batches: batches, tokens.KEPT)([batch]))
+    assert tokens.encoder(tokens.vocabulary()) is coder
+    assert list(common.lean(lambda batches: batches)([batch])) == [batch]
+    assert not tokens._encoders and tokens.encoder(tokens.vocabulary()) is not coder
+
+
+def test_a_worker_gives_memory_back_between_batches(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * (1 << 20)] * 5)], ["text"])
+    assert len(list(common.lean(lambda batches: batches)([batch] * 6))) == 6
+    assert len(calls) == 7  # at the beginning, before each batch but the first, and at the end
+
+
+def test_memory_that_nothing_holds_leaves_the_process():
+    def held():
+        found = re.search(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())
+        return int(found[1]) >> 10
+
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("no such figures on this system")
+    common.give_back()
+    before = held()
+    buffers = [pa.array(np.ones(40_000)).take(pa.array(np.arange(40_000))) for _ in range(400)]
+    assert held() > before + 100
+    del buffers
+    common.give_back()
+    assert held() < before + 30
+
+
+def test_texts_are_cut_slice_by_slice(spark):
+    """Texts of several slices in one batch; every second one ends with the same passage."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(30_000)) for _ in range(9)]
+    rows = [(i, f"{x} {passage}" if i % 2 else x, "k") for i, x in enumerate(own)] + [(9, None, None), (10, "", "k"), (11, passage, "k")]
+    got = {r["doc_id"]: (r["text"], r["kind"]) for r in suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string, kind string").coalesce(1)).collect()}
+    want = {i: (f"{x} {passage}" if i == 1 else f"{x} " if i % 2 else x, "k") for i, x in enumerate(own)} | {9: (None, None), 10: ("", "k")}
+    assert got == want
