@@ -6,6 +6,7 @@ from __future__ import annotations
 import ctypes
 import sys
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -116,6 +117,9 @@ def buckets_wanted(spark: SparkSession) -> int:
 
 #: What an operator's tasks leave in a worker for its next ones, by the operator's module.
 _caches: dict[str, dict] = {}
+#: Free memory is not given back again within so many seconds, as that costs some hundredths of one; when it was last.
+SELDOM = 0.5
+_given: list[float] = []
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 
 
@@ -132,32 +136,36 @@ def give_back() -> None:
         _trim(0)
 
 
+def _seldom() -> None:
+    if not _given or time.monotonic() - _given[0] >= SELDOM:
+        give_back()
+        _given[:] = [time.monotonic()]
+
+
 def lean(work: Callable, keeps: str | None = None) -> Callable:
     """The same work on batches, without what other operators left in the worker (but for the cache it keeps), and giving
-    memory back after every few megabytes of rows and at its end."""
+    memory back between batches and at its end."""
     def run(batches):
-        _begun(keeps)
+        _drop_others(keeps)
         yield from work(_given_back(batches))
-        give_back()
+        _seldom()
 
     return run
 
 
-def _begun(keeps: str | None) -> None:
+def _drop_others(keeps: str | None) -> None:
     for owner, held in _caches.items():
-        if owner != keeps:
+        if owner != keeps and held:
             held.clear()
-    give_back()
+            _given.clear()
+    _seldom()
 
 
 def _given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    handled = 0
     for batch in batches:
-        if handled >= 4 * SLICE_BYTES:
-            give_back()
-            handled = 0
-        handled += batch.nbytes
         yield batch
+        del batch
+        _seldom()
 
 
 # --- order ----------------------------------------------------------------------------------

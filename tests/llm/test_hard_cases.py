@@ -267,11 +267,20 @@ def test_work_of_other_operators_drops_what_a_worker_kept():
 
 
 def test_a_worker_gives_memory_back_between_batches(monkeypatch):
-    calls = []
-    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
-    batch = pa.RecordBatch.from_arrays([pa.array(["x" * (1 << 20)] * 5)], ["text"])
-    assert len(list(common.lean(lambda batches: batches)([batch] * 6))) == 6
-    assert len(calls) == 7  # at the beginning, before each batch but the first, and at the end
+    calls, now = [], [0.0]
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(now[0]))
+    monkeypatch.setattr(common.time, "monotonic", lambda: now[0])
+    monkeypatch.setattr(common, "_given", [])
+    batch = pa.RecordBatch.from_arrays([pa.array(["text"])], ["text"])
+
+    def slow(batches):
+        for _ in batches:
+            now[0] += 0.2
+            yield batch
+
+    for _ in range(2):
+        assert len(list(common.lean(slow)([batch] * 6))) == 6
+    assert [round(x, 1) for x in calls] == [0, 0.6, 1.2, 1.8, 2.4]  # many short tasks do not pay for it one by one
 
 
 def test_memory_that_nothing_holds_leaves_the_process():
